@@ -528,16 +528,20 @@ def model_roundtrip(spark, sf):
 
 def stream_scoring(spark, sf):
     """Conversations as a file stream; every micro-batch of user turns
-    scored against the documents (same result as ``tfidf_topk``)."""
+    scored against the documents (same result as ``tfidf_topk``). The static
+    side (fitted idf, document weights) is checkpointed once to the shared
+    folder and reused by every batch."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
+    dw = features.document_weights(fit, docs, "doc_id", "text").checkpoint(eager=True)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
 
     def score(batch):
         turns = batch.filter(F.col("role") == "user").select("conv_id", "turn", "text")
-        r = features.tfidf_topk(fit, turns, ["conv_id", "turn"], "text", docs, "doc_id", "text", 3)
+        r = features.tfidf_topk(fit, turns, ["conv_id", "turn"], "text", None, "doc_id",
+                                k=3, doc_weights=dw)
         return r.select("conv_id", "turn", _long("rank"), "doc_id",
                         F.round("score", 6).alias("score"))
 

@@ -3,8 +3,9 @@
 Pages are parsed inside ``mapInPandas`` tasks (one page -> N rows) with the
 standard-library parser and a small tree builder. Tree rules:
 void elements take no children; an end tag closes the nearest open element
-of that name (unmatched end tags are ignored); **a new ``<p>`` closes an
-open ``<p>``** (our rule for unclosed paragraphs). Text of an element is
+of that name (unmatched end tags are ignored); **a block start tag (``p``,
+``pre``, ``div``, ``h1``-``h6``, ``blockquote``, ``table`` ...) closes an open
+``<p>``** (our rule for unclosed paragraphs, as in HTML parsers). Text of an element is
 all descendant text except inside ``script``/``style``/``template``.
 A page that fails to parse yields an ``error`` value, not a failed job.
 """
@@ -21,6 +22,10 @@ from pyspark.sql import types as T
 from textloom import defaults as D
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Start tags that close an open <p> (as HTML parsers do).
+CLOSES_P = frozenset("""address article aside blockquote details dialog div dl fieldset figcaption
+    figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table
+    ul""".split())
 OPAQUE = frozenset(("script", "style", "template"))
 
 
@@ -78,7 +83,7 @@ class _Builder(HTMLParser):
         return False
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p":
+        if tag in CLOSES_P:
             self._pop_to("p")
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.stack[-1])
         self.stack[-1].children.append(node)

@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from textloom import defaults as D
 from textloom.functions.text import tokens
 from textloom.operators.rank import global_rank
-from textloom.session import bounded_broadcast
+from textloom.session import bounded_broadcast, checkpoint_root
 
 
-def token_vocabulary(df: DataFrame, text: str, min_df: int = 1, max_terms: int | None = None
-                     ) -> DataFrame:
-    """``(term, df, token_id)`` over unigram tokens of whole texts."""
+def token_vocabulary(df: DataFrame, text: str, min_df: int = 1, max_terms: int | None = None,
+                     materialize: bool = True) -> DataFrame:
+    """``(term, df, token_id)`` over unigram tokens of whole texts.
+
+    The fitted vocabulary is checkpointed to the shared folder by default
+    (like a saved tokenizer), so size checks and later encodes read it
+    instead of re-tokenising the corpus."""
     v = (df.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
          .groupBy("term").agg(F.count("*").alias("df")))
     if min_df > 1:
@@ -26,7 +30,11 @@ def token_vocabulary(df: DataFrame, text: str, min_df: int = 1, max_terms: int |
     r = global_rank(v, [F.col("df").desc(), F.col("term").asc()], rank_col="_r")
     if max_terms is not None:
         r = r.filter(F.col("_r") <= max_terms)
-    return r.select("term", "df", (F.col("_r") + D.UNK_ID).cast("int").alias("token_id"))
+    out = r.select("term", "df", (F.col("_r") + D.UNK_ID).cast("int").alias("token_id"))
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def encode_fixed(df: DataFrame, id_cols, text: str, vocab: DataFrame, max_len: int,

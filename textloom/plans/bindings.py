@@ -364,7 +364,7 @@ def tfidf(spark, sf):
     """K4 + K5: fit-transform documents."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
-    return features.transform_tfidf(fit, docs, "doc_id", "text").select(
+    return features.fitted_weights(fit).select(
         "doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -382,7 +382,7 @@ def tfidf_topk(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
     res = features.tfidf_topk(fit, _user_turns(spark, sf), ["conv_id", "turn"], "text",
-                              docs, "doc_id", "text", k=3)
+                              None, "doc_id", k=3)
     return res.select("conv_id", "turn", _long("rank"), "doc_id",
                       F.round("score", 6).alias("score"))
 
@@ -533,7 +533,7 @@ def stream_scoring(spark, sf):
     folder and reused by every batch."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
-    dw = features.document_weights(fit, docs, "doc_id", "text").checkpoint(eager=True)
+    dw = features.document_weights(fit, None, "doc_id", None)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")

@@ -73,27 +73,25 @@ def _emit(qkeys: dict, item_col: str, q, item, score) -> pd.DataFrame:
 
 
 def sparse_scorer(bc, item_col: str, k: int):
-    """mapInPandas function: rows ``(item, terms array, weights array)``.
+    """mapInPandas function: rows ``(item, terms array<int>, weights array)``
+    where terms are indexes into the broadcast query vocabulary.
 
     ``bc.value`` = (terms, ptr, post_q, post_w, qkeys): query postings sorted
     by term index (CSR), and the query key columns by query index.
     """
     def run(batches):
-        terms, ptr, post_q, post_w, qkeys = bc.value
-        index = pd.Index(terms)
+        _, ptr, post_q, post_w, qkeys = bc.value
         nq = len(next(iter(qkeys.values())))
         cands = _Candidates(k)
         for pdf in batches:
             if len(pdf) == 0 or nq == 0:
                 continue
             lens = pdf["terms"].map(len).to_numpy()
-            flat_t = np.concatenate(pdf["terms"].to_numpy()) if lens.sum() else np.array([], object)
-            flat_w = (np.concatenate(pdf["weights"].to_numpy()).astype(np.float64)
-                      if lens.sum() else np.array([], np.float64))
+            if lens.sum() == 0:
+                continue
+            ti = np.concatenate(pdf["terms"].to_numpy()).astype(np.int64)
+            flat_w = np.concatenate(pdf["weights"].to_numpy()).astype(np.float64)
             doc = np.repeat(np.arange(len(pdf)), lens)
-            ti = index.get_indexer(flat_t)
-            ok = ti >= 0
-            doc, ti, flat_w = doc[ok], ti[ok], flat_w[ok]
             cnt = ptr[ti + 1] - ptr[ti]
             per_doc = np.bincount(doc, weights=cnt, minlength=len(pdf))
             items = pdf[item_col].to_numpy()

@@ -347,6 +347,18 @@ def split_grouped(spark, sf):
         .select("conv_id", "turn", "split")
 
 
+def split_tenth(spark, sf):
+    """Exact 10 % held-out split of user turns (seed required, 42)."""
+    return split.split_exact(_user_turns(spark, sf).select("conv_id", "turn"), ["conv_id", "turn"],
+                             [("test", 0.1)])
+
+
+def rare_label_report(spark, sf):
+    """F2 report: number of (brand, type) labels below the threshold."""
+    p = table(spark, sf, "part").withColumn("_label", F.concat_ws("|", "p_brand", "p_type"))
+    return metrics.excluded_labels(p, "_label", VALID_LABEL_MIN)
+
+
 # --- K/H: features and retrieval ------------------------------------------
 
 def ngrams(spark, sf):
@@ -369,9 +381,9 @@ def tfidf(spark, sf):
 
 
 def tfidf_transform(spark, sf):
-    """K6: user turns under the documents' vocabulary."""
+    """K6: user turns under the documents' vocabulary (one job: the fit stays lazy)."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
+    fit = features.fit_tfidf(docs, "doc_id", "text")
     return features.transform_tfidf(fit, _user_turns(spark, sf), ["conv_id", "turn"], "text") \
         .select("conv_id", "turn", "term", F.round("weight", 6).alias("weight"))
 
@@ -590,6 +602,8 @@ QUERIES = {
     "split_exact": split_exact,
     "split_stratified": split_stratified,
     "split_grouped": split_grouped,
+    "split_tenth": split_tenth,
+    "rare_label_report": rare_label_report,
     "ngrams": ngrams,
     "vocabulary": vocabulary,
     "tfidf": tfidf,

@@ -230,6 +230,12 @@ WITH u AS (SELECT conv_id, row_number() OVER (ORDER BY {_h('conv_id')}, conv_id)
 SELECT conv_id, turn, CASE WHEN rk < ceil({_F} * n) THEN 'test' ELSE 'train' END AS split
 FROM conversations JOIN u USING (conv_id)"""
 
+_H2 = f"md5(concat_ws('|', '{D.SPLIT_SEED}', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)))"
+SPLIT_TENTH = f"""
+SELECT conv_id, turn, CASE WHEN rk < ceil(CAST(0.1 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY {_H2}, conv_id, turn) - 1 AS rk,
+             count(*) OVER () AS n FROM conversations WHERE role = 'user')"""
+
 
 # --- encoding -----------------------------------------------------------------
 
@@ -349,6 +355,9 @@ ORACLES = {
     "split_exact": SPLIT_EXACT,
     "split_stratified": SPLIT_STRATIFIED,
     "split_grouped": SPLIT_GROUPED,
+    "split_tenth": SPLIT_TENTH,
+    "rare_label_report": f"""SELECT count(*) AS n_excluded FROM (SELECT p_brand, p_type FROM part
+        GROUP BY p_brand, p_type HAVING count(*) < {B.VALID_LABEL_MIN})""",
     "ngrams": f"WITH {_tfidf_ctes()} SELECT doc_id, term, tf FROM doc_tf",
     "vocabulary": f"WITH {_tfidf_ctes()} SELECT term, df FROM idf",
     "tfidf": f"WITH {_tfidf_ctes()} SELECT doc_id, term, round(w, 6) AS weight FROM doc_w",

@@ -25,6 +25,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "textl
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.shuffle.partitions", str(partitions))
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")

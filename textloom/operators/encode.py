@@ -27,14 +27,14 @@ def token_vocabulary(df: DataFrame, text: str, min_df: int = 1, max_terms: int |
          .groupBy("term").agg(F.count("*").alias("df")))
     if min_df > 1:
         v = v.filter(F.col("df") >= min_df)
+    if materialize:
+        # tokenise the corpus once; the size check and the ranking read this
+        checkpoint_root(df.sparkSession)
+        v = v.checkpoint(eager=True)
     r = global_rank(v, [F.col("df").desc(), F.col("term").asc()], rank_col="_r")
     if max_terms is not None:
         r = r.filter(F.col("_r") <= max_terms)
-    out = r.select("term", "df", (F.col("_r") + D.UNK_ID).cast("int").alias("token_id"))
-    if materialize:
-        checkpoint_root(df.sparkSession)
-        out = out.checkpoint(eager=True)
-    return out
+    return r.select("term", "df", (F.col("_r") + D.UNK_ID).cast("int").alias("token_id"))
 
 
 def encode_fixed(df: DataFrame, id_cols, text: str, vocab: DataFrame, max_len: int,

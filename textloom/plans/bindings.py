@@ -549,6 +549,7 @@ def stream_scoring(spark, sf):
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
+    errors = shared_path(spark, "stream-errors")
 
     def score(batch):
         turns = batch.filter(F.col("role") == "user").select("conv_id", "turn", "text")
@@ -557,10 +558,10 @@ def stream_scoring(spark, sf):
         return r.select("conv_id", "turn", _long("rank"), "doc_id",
                         F.round("score", 6).alias("score"))
 
-    q = stream.score_stream(src, score, sink, ckpt)
+    q = stream.score_stream(src, score, sink, ckpt, error_sink=errors)
     q.awaitTermination()
-    out_schema = "conv_id bigint, turn bigint, rank bigint, doc_id bigint, score double"
-    return spark.read.schema(out_schema).parquet(sink)
+    return (spark.read.parquet(sink)
+            .select("conv_id", "turn", "rank", "doc_id", "score"))
 
 
 QUERIES = {

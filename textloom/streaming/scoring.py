@@ -24,7 +24,9 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
                  error_sink: str | None = None):
     """Start the streaming job; returns the ``StreamingQuery``.
 
-    ``score(batch_df)`` maps a static batch of queries to result rows.
+    ``score(batch_df)`` maps a static batch of queries to result rows, written
+    to ``sink/batch_id=<epoch>`` (idempotent per batch); a failing batch
+    writes an error row to ``error_sink`` when one is given.
     ``query_col``: optional blank / exit-word filter (C13) before scoring.
     """
     src = stream
@@ -32,14 +34,16 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
         src = src.filter(not_blank(query_col, stop_words or ("exit", "quit", "q")))
 
     def run(batch: DataFrame, epoch: int):
+        # one folder per micro-batch, overwritten on retry: a batch re-run
+        # after a failure replaces its rows instead of appending duplicates
         try:
-            score(batch).write.mode("append").parquet(sink)
+            score(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
         except Exception as e:  # noqa: BLE001 - one bad batch must not kill the job
             if error_sink is None:
                 raise
-            (batch.limit(0).sparkSession.createDataFrame(
+            (batch.sparkSession.createDataFrame(
                 [(int(epoch), f"{type(e).__name__}: {e}")], "epoch long, error string")
-             .write.mode("append").parquet(error_sink))
+             .write.mode("overwrite").parquet(f"{error_sink}/batch_id={epoch}"))
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

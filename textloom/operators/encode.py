@@ -42,8 +42,8 @@ def encode_fixed(df: DataFrame, id_cols, text: str, vocab: DataFrame, max_len: i
     """L1: token ids truncated to ``max_len`` and right-padded with 0, plus
     the attention mask. Every input row gets exactly one output row."""
     keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    toks = (df.select(*keys, F.posexplode(tokens(text)).alias("pos", "term"))
-            .filter(F.col("pos") < max_len))
+    # the whole text is tokenised; only the first max_len tokens are exploded
+    toks = df.select(*keys, F.posexplode(F.slice(tokens(text), 1, max_len)).alias("pos", "term"))
     mapped = (toks.join(bounded_broadcast(vocab.select("term", "token_id")), "term", "left")
               .select(*keys, "pos", F.coalesce("token_id", F.lit(D.UNK_ID)).alias("tid")))
     # at most max_len entries per row: a bounded collect

@@ -6,6 +6,7 @@ augmentation row counts: 4 templates + aliased phrases = 1,063;
 302 of 303 pairs and reports the lower-case ``dir`` as unknown.
 """
 
+import glob
 import json
 import os
 
@@ -18,9 +19,32 @@ from textloom.sources import io
 
 from conftest import REFERENCE_DATA
 
-BASIC = os.path.join(REFERENCE_DATA, "windows_commands_basic.csv")
-PAIRS = os.path.join(REFERENCE_DATA, "training_data.json")
-pytestmark = pytest.mark.skipif(not os.path.exists(BASIC), reason="reference data not present")
+
+def _find(pattern, accept):
+    """The committed data file of a given shape (located by content)."""
+    for path in sorted(glob.glob(os.path.join(REFERENCE_DATA, pattern))):
+        try:
+            if accept(path):
+                return path
+        except (OSError, ValueError):
+            continue
+    return None
+
+
+def _is_catalogue(path):
+    with open(path, encoding="utf-8") as f:
+        return f.readline().strip() == "command,description,url"
+
+
+def _is_pairs(path):
+    with open(path, encoding="utf-8") as f:
+        data = json.load(f)
+    return isinstance(data, list) and bool(data) and set(data[0]) == {"query", "command"}
+
+
+BASIC = _find("*.csv", _is_catalogue)
+PAIRS = _find("*.json", _is_pairs)
+pytestmark = pytest.mark.skipif(BASIC is None or PAIRS is None, reason="committed data not present")
 
 
 @pytest.fixture(scope="module")

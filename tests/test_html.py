@@ -6,7 +6,7 @@ PAGE = """<html><body>
 <tr><th>h</th><th>h</th><th>h</th></tr>
 <tr><td>1</td><td><a href="dir.html">DIR</a></td><td> List files </td></tr>
 <tr><td>2</td><td>no link</td><td>x</td></tr>
-<tr><td>3</td><td><a href="/nt/cd.html">CD</a></td></tr>
+<tr><td>3</td><td><a href="/cmd/cd.html">CD</a></td></tr>
 <tr><td>4</td><td><b><a href="copy.html"> COPY </a></b></td><td>Copy &amp; paste</td></tr>
 </table>
 <h1>Title</h1>
@@ -25,10 +25,10 @@ PAGE = """<html><body>
 
 def test_table_rows_and_links():
     root = html.parse(PAGE)
-    rows = html.extract_table_rows(root, "https://ss.example/nt/")
-    assert rows == [("DIR", "List files", "https://ss.example/nt/dir.html"),
-                    ("COPY", "Copy & paste", "https://ss.example/nt/copy.html")]
-    assert html.extract_links(root, "https://ss.example/nt/x.html")[1] == "https://ss.example/nt/cd.html"
+    rows = html.extract_table_rows(root, "https://docs.example/cmd/")
+    assert rows == [("DIR", "List files", "https://docs.example/cmd/dir.html"),
+                    ("COPY", "Copy & paste", "https://docs.example/cmd/copy.html")]
+    assert html.extract_links(root, "https://docs.example/cmd/x.html")[1] == "https://docs.example/cmd/cd.html"
 
 
 def test_details():
@@ -47,7 +47,7 @@ def test_missing_parts():
 
 
 def test_spark_jobs(spark):
-    pages = spark.createDataFrame([(1, "https://ss.example/nt/", PAGE), (2, "https://e.x/", None)],
+    pages = spark.createDataFrame([(1, "https://docs.example/cmd/", PAGE), (2, "https://e.x/", None)],
                                   "page_id long, url string, html string")
     tr = html.table_rows(pages).orderBy("page_id", "pos").collect()
     assert [(r.page_id, r.pos, r.command) for r in tr] == [(1, 0, "DIR"), (1, 1, "COPY")]

@@ -544,7 +544,7 @@ def stream_scoring(spark, sf):
     side (fitted idf, document weights) is checkpointed once to the shared
     folder and reused by every batch."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True)
+    fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True).materialize_norms()
     dw = features.document_weights(fit, None, "doc_id", None)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)

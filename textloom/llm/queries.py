@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import quality
+from textloom.llm import mixing, quality
 from textloom.llm.common import read
 
 
@@ -14,9 +14,15 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
 
+def op9_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_quality": op7_line_quality,
+    "op9_sainte_lague_mix": op9_sainte_lague_mix,
 }
 ORACLES: dict[str, str] = {
     "op7_line_quality": quality.ORACLE,
+    "op9_sainte_lague_mix": mixing.ORACLE,
 }

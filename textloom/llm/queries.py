@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import mixing, quality
+from textloom.llm import mixing, pii, quality
 from textloom.llm.common import read
 
 
+def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(read(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
@@ -19,6 +23,7 @@ def op9_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op7_line_quality": op7_line_quality,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import mixing, pii, quality
+from textloom.llm import mixing, pii, quality, wavelet
 from textloom.llm.common import read
 
 
@@ -22,10 +22,21 @@ def op9_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    """The contract's tokenizer; a parameter of the operator."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_digest(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op7_line_quality": op7_line_quality,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
+    "op10_wavelet_tokens": op10_wavelet_tokens,
 }
 ORACLES: dict[str, str] = {
     "op7_line_quality": quality.ORACLE,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import mixing, pii, quality, wavelet
+from textloom.llm import mixing, neardup, pii, quality, wavelet
 from textloom.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(read(spark, sf_dir, "documents"))
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.neardup_digest(read(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
+    "op4_lsh_forest": op4_lsh_forest,
     "op7_line_quality": op7_line_quality,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
     "op10_wavelet_tokens": op10_wavelet_tokens,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import mixing, neardup, pii, quality, wavelet
+from textloom.llm import langid, mixing, neardup, pii, quality, wavelet
 from textloom.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.neardup_digest(read(spark, sf_dir, "documents"))
 
 
+def op5_script_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_digest(read(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op4_lsh_forest": op4_lsh_forest,
+    "op5_script_viterbi_language": op5_script_viterbi_language,
     "op7_line_quality": op7_line_quality,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
     "op10_wavelet_tokens": op10_wavelet_tokens,

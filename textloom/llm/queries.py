@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import langid, mixing, neardup, pii, quality, wavelet
+from textloom.llm import langid, mixing, neardup, pii, quality, toxicity, wavelet
 from textloom.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op5_script_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(read(spark, sf_dir, "documents"))
 
 
+def op6_pattern_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op4_lsh_forest": op4_lsh_forest,
     "op5_script_viterbi_language": op5_script_viterbi_language,
+    "op6_pattern_grammar_toxicity": op6_pattern_grammar_toxicity,
     "op7_line_quality": op7_line_quality,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
     "op10_wavelet_tokens": op10_wavelet_tokens,

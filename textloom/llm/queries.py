@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import langid, mixing, neardup, pii, quality, toxicity, wavelet
+from textloom.llm import decontam, langid, mixing, neardup, pii, quality, toxicity, wavelet
 from textloom.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(read(spark, sf_dir, "documents"))
 
 
+def op3_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.neardup_digest(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
+    "op3_latent_decontamination": op3_latent_decontamination,
     "op4_lsh_forest": op4_lsh_forest,
     "op5_script_viterbi_language": op5_script_viterbi_language,
     "op6_pattern_grammar_toxicity": op6_pattern_grammar_toxicity,

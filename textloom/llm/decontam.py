@@ -89,16 +89,18 @@ def _passages(h: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _embed(h: np.ndarray, offs: np.ndarray, slot: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sum of the rows of each passage's words; passage starts and texts."""
+    """Sum of the rows of each passage's words (row 0 is zero); passage starts and texts."""
     starts, lead, text = _passages(h, offs)
     if not len(starts):
         return np.zeros((0, rows.shape[1]), rows.dtype), starts, text
-    at = slot[_bucket(h)]
-    sums = np.empty((len(starts), rows.shape[1]), rows.dtype)
+    at = np.r_[slot[_bucket(h)], 0]                   # row 0 is zero: what lies past a text's end
+    ends = offs[text + 1]
+    sums = np.zeros((len(starts), rows.shape[1]), rows.dtype)
     for a in range(0, len(starts), 1024):             # 1024 steps of rows at once
         z = min(a + 1024, len(starts))
-        to = starts[z] if z < len(starts) else len(at)
-        sums[a:z] = np.add.reduceat(rows[at[starts[a]:to]], starts[a:z] - starts[a])
+        for j in range(STEP):
+            word = starts[a:z] + j
+            sums[a:z] += rows[at[np.where(word < ends[a:z], word, len(h))]]
     follows = np.r_[text[1:] == text[:-1], False]
     both = sums.copy()
     both[follows] += sums[1:][follows[:-1]]
@@ -121,6 +123,7 @@ def randomized_svd(bench: DataFrame, text: str, idf: np.ndarray) -> np.ndarray:
 
         def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             idf, q = share.value
+            scaled = np.r_[np.zeros((1, q.shape[1])), q * idf[:, None]]
             out = np.zeros((BUCKETS, q.shape[1]))
             for b in batches:
                 for _, _, h, offs in hashed_texts(b.column(0)):
@@ -192,6 +195,7 @@ def _block(rows: list, emb: dict) -> dict:
     size = np.linalg.norm(vec, axis=1)
     some = size > 0
     return {"ids": [r["item_id"] for r in rows], "words": hashes, "answers": answers,
+            "masks": [_masks(h.tolist()) for h in hashes],
             "vec": vec[some], "size": size[some],
             "at": (start - offs[owner])[some] if len(start) else start,
             "item": np.array(long, np.int64)[owner[some]] if len(start) else start,
@@ -200,14 +204,12 @@ def _block(rows: list, emb: dict) -> dict:
 
 def _judge(block: dict, i: int, words: np.ndarray, guess: int) -> tuple[float, int, int] | None:
     """(share of the item's words, start, end) if the item stands around word ``guess``."""
-    item = block["words"][i]
-    n = len(item)
+    n = len(block["words"][i])
     lo, hi = max(0, guess - STEP), min(len(words), guess + n + n // 4 + STEP)
-    region = words[lo:hi]
-    if np.count_nonzero(np.isin(region, item)) < PARAPHRASED * n:
+    masks, listed = block["masks"][i], words[lo:hi].tolist()
+    if sum(w in masks for w in listed) < PARAPHRASED * n:
         return None
-    listed = region.tolist()
-    share = _lcs(_masks(item.tolist()), n, listed) / n
+    share = _lcs(masks, n, listed) / n
     if share < PARAPHRASED:
         return None
     if share < COPIED:

@@ -19,15 +19,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
     edges = saved(both.distinct(), "cc-edges")
-    labels = saved(links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-                   .withColumn("root", F.col("node")), "cc-labels")
+    labels = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("root", F.col("node"))
     while not edges.isEmpty():
         hook = edges.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("p"))
-        hook = saved(hook, "cc-hook")
         twice = hook.join(hook.select(F.col("u").alias("p"), F.col("p").alias("pp")), "p", "left")
         hook = saved(twice.select("u", F.coalesce("pp", "p").alias("p")), "cc-hook")
-        move = lambda df, c: (df.join(hook.withColumnRenamed("u", c), c, "left")
+        move = lambda df, c: (df.join(hook.withColumnRenamed("u", c), c, "left")  # noqa: E731, B023
                               .withColumn(c, F.coalesce("p", c)).drop("p"))
-        labels = saved(move(labels.withColumnRenamed("root", "r"), "r").withColumnRenamed("r", "root"), "cc-labels")
+        labels = move(labels, "root")
         edges = saved(move(move(edges, "a"), "b").filter("a <> b").distinct(), "cc-edges")
     return labels

@@ -40,7 +40,7 @@ WIDTH = 5
 TREES, DEPTH = 20, 4
 CROWD = 64
 DEEPEST = 5                # groups in the longest prefix
-LEADERS = 8                # classes per region and round in step 5
+LEADERS = 32               # classes per region and round in step 5
 SIMILAR_PCT = 80
 
 with np.errstate(over="ignore"):
@@ -121,7 +121,9 @@ def shingle_sets(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the similarity."""
+    """The pairs (a, b, ...) whose full sets meet the similarity."""
+    names = pairs.columns
+
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -131,11 +133,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
                 z.sort()
                 both = int(np.count_nonzero(z[1:] == z[:-1]))
                 keep.append(100 * both >= similar_pct * (len(z) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
     sides = (pairs.join(sets.select(F.col("fp").alias("a"), F.col("items").alias("x")), "a")
              .join(sets.select(F.col("fp").alias("b"), F.col("items").alias("y")), "b"))
-    return sides.select("a", "b", "x", "y").mapInArrow(job, "a binary, b binary").distinct()
+    return sides.select(*names, "x", "y").mapInArrow(job, pairs.schema).distinct()
 
 
 def _paired(members: DataFrame, leaders: DataFrame, similar_pct: int) -> DataFrame:
@@ -143,10 +145,11 @@ def _paired(members: DataFrame, leaders: DataFrame, similar_pct: int) -> DataFra
     m, k = members.alias("m"), leaders.alias("k")
     pairs = m.join(k, F.col("m.region") == F.col("k.region")).filter(F.col("m.fp") != F.col("k.fp"))
     fits = (F.least("m.n", "k.n") * 100 >= F.greatest("m.n", "k.n") * similar_pct)
+    out = [F.least("m.fp", "k.fp").alias("a"), F.greatest("m.fp", "k.fp").alias("b")]
     if "root" in members.columns:
         fits = fits & (F.col("m.root") != F.col("k.root"))
-    return pairs.filter(fits).select(
-        F.least("m.fp", "k.fp").alias("a"), F.greatest("m.fp", "k.fp").alias("b")).distinct()
+        out += [F.least("m.root", "k.root").alias("ra"), F.greatest("m.root", "k.root").alias("rb")]
+    return pairs.filter(fits).select(*out).distinct()
 
 
 def forest_regions(classes: DataFrame) -> DataFrame:
@@ -183,12 +186,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
     involved = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.id")), "left_semi")
     sets = saved(shingle_sets(involved), "neardup-sets")
     links = saved(confirmed(pairs, sets, similar_pct), "neardup-links")
-    tested, used = pairs, None
+    roots = components(links).withColumnRenamed("node", "fp")
+    placed = saved(members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "neardup-placed")
+    used = None
     while True:
-        roots = components(links)
-        placed = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-            .withColumn("root", F.coalesce("root", "fp"))
-        placed = saved(placed, "neardup-placed")
         sized = placed.groupBy("region", "root").agg(F.count(F.lit(1)).alias("c"))
         most = sized.groupBy("region").agg(F.max_by("root", F.struct("c", "root")).alias("most"),
                                            F.count(F.lit(1)).alias("roots")).filter("roots > 1")
@@ -200,13 +201,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
                      .select("region", "fp", "n", "root"), "neardup-turn")
         if turn.isEmpty():
             break
-        more = _paired(placed.join(turn.select("region").distinct(), "region", "left_semi"), turn, similar_pct)
-        more = saved(more.join(tested, ["a", "b"], "left_anti"), "neardup-pairs")
         used = turn.select("region", "fp") if used is None else used.union(turn.select("region", "fp"))
-        tested = tested.union(more)
-        new = saved(confirmed(more, sets, similar_pct), "neardup-links")
-        links = links.union(new)
-    named = classes.select("fp", "id").join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+        more = _paired(placed, turn, similar_pct).join(pairs, ["a", "b"], "left_anti")
+        new = saved(confirmed(more, sets, similar_pct).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
+                    "neardup-links")
+        if not new.isEmpty():
+            moved = components(new).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            placed = saved(placed.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"),
+                           "neardup-placed")
+    roots = placed.select("fp", "root").distinct()
+    named = classes.select("fp", "id").join(roots, "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     named = named.join(least, "root").select("fp", "component")

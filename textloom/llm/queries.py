@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontam, langid, mixing, neardup, pii, quality, toxicity, wavelet
+from textloom.llm import chat, decontam, langid, mixing, neardup, pii, quality, toxicity, warc, wavelet
 from textloom.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(read(spark, sf_dir, "documents"))
 
 
+def op2_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digest(read(spark, sf_dir, "conversations"))
+
+
 def op3_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,10 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(read(spark, sf_dir, "documents"))
 
 
+def op8_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.revisit_digest(read(spark, sf_dir, "pages"))
+
+
 def op9_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read(spark, sf_dir, "documents"))
 
@@ -50,15 +58,18 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
+    "op2_role_repair": op2_role_repair,
     "op3_latent_decontamination": op3_latent_decontamination,
     "op4_lsh_forest": op4_lsh_forest,
     "op5_script_viterbi_language": op5_script_viterbi_language,
     "op6_pattern_grammar_toxicity": op6_pattern_grammar_toxicity,
     "op7_line_quality": op7_line_quality,
+    "op8_revisit_resolution": op8_revisit_resolution,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
     "op10_wavelet_tokens": op10_wavelet_tokens,
 }
 ORACLES: dict[str, str] = {
     "op7_line_quality": quality.ORACLE,
+    "op8_revisit_resolution": warc.ORACLE,
     "op9_sainte_lague_mix": mixing.ORACLE,
 }

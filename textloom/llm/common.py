@@ -39,6 +39,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """``row`` (all columns of ``docs``) and the columns given: no name of the input can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in own.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The input's columns again, some of them replaced."""
+    return df.select(*[changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts give an empty array."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))

@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import hashed_texts, saved
+from textloom.llm.common import hashed_texts, packed, saved, unpacked
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 16
 RANK, EXTRA, POWER = 256, 16, 2
 STEP = 16
 SHORT = 8
@@ -108,50 +108,49 @@ def _embed(h: np.ndarray, offs: np.ndarray, slot: np.ndarray, rows: np.ndarray)
 
 
 def randomized_svd(bench: DataFrame, text: str, idf: np.ndarray) -> np.ndarray:
-    """(BUCKETS, RANK or fewer) right singular directions of the benchmark's TF-IDF passages, which
-    are spread over tasks; only bucket sums come together."""
+    """(words, RANK or fewer) right singular directions of the benchmark's TF-IDF passages, which are
+    spread over tasks; only sums by word bucket come together. Row i stands for the i-th bucket with
+    a weight; at most BUCKETS rows of RANK + EXTRA floats go to the tasks."""
     spark = bench.sparkSession
-    rng = np.random.default_rng(SEED)
     live = np.flatnonzero(idf > 0)
-    k = min(RANK + EXTRA, max(1, len(live)))
-    q = np.zeros((BUCKETS, k))
-    q[live] = rng.standard_normal((len(live), k))
-    names = [f"v{i}" for i in range(k)]
+    slot = np.zeros(BUCKETS, np.int32)
+    slot[live] = np.arange(1, len(live) + 1)
+    weight = idf[live].astype(np.float32)
+    q = np.random.default_rng(SEED).standard_normal((len(live), max(1, min(RANK + EXTRA, len(live)))))
 
     def applied(q: np.ndarray) -> np.ndarray:
-        share = spark.sparkContext.broadcast((idf, q))
+        share = spark.sparkContext.broadcast((slot, weight, q.astype(np.float32)))
+        names = [f"v{i}" for i in range(q.shape[1])]
 
         def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            idf, q = share.value
-            scaled = np.r_[np.zeros((1, q.shape[1])), q * idf[:, None]]
-            out = np.zeros((BUCKETS, q.shape[1]))
+            slot, weight, q = share.value
+            rows = np.r_[np.zeros((1, q.shape[1]), np.float32), q * weight[:, None]]
+            out = np.zeros(rows.shape)
             for b in batches:
                 for _, _, h, offs in hashed_texts(b.column(0)):
-                    at = _bucket(h)
-                    y, starts, owner = _embed(h, offs, np.arange(BUCKETS), q * idf[:, None])
+                    at = slot[_bucket(h)]
+                    y, starts, owner = _embed(h, offs, slot, rows)
                     for v, s, o in zip(y, starts, owner, strict=True):
-                        words = at[s:min(s + 2 * STEP, offs[o + 1])]
-                        np.add.at(out, words, idf[words, None] * v)
-            some = np.flatnonzero(out.any(1))
-            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(out[some, i]) for i in range(q.shape[1])]],
-                                             ["bucket", *names])
-
-        kind = "bucket long, " + ", ".join(f"{c} double" for c in names)
-        got = (bench.select(text).mapInArrow(job, kind).groupBy("bucket")
-               .agg(*[F.sum(c).alias(c) for c in names]).toPandas())     # BUCKETS rows at most
-        z = np.zeros((BUCKETS, q.shape[1]))
-        z[got["bucket"].to_numpy(np.int64)] = got[names].to_numpy()
+                        np.add.at(out, at[s:min(s + 2 * STEP, offs[o + 1])], v)
+            some = np.flatnonzero(out[1:].any(1))
+            got = out[1:][some] * weight[some, None]
+            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(c) for c in got.T.copy()]], ["word", *names])
+
+        kind = "word long, " + ", ".join(f"{c} double" for c in names)
+        got = (bench.select(text).mapInArrow(job, kind).groupBy("word")
+               .agg(*[F.sum(c).alias(c) for c in names]).toPandas())
+        z = np.zeros(q.shape)
+        z[got["word"].to_numpy(np.int64)] = got[names].to_numpy()
         return z
 
+    if not len(live):
+        return np.zeros((0, 1))
     for _ in range(POWER + 1):
-        q, _ = np.linalg.qr(applied(q)[live])
-        full = np.zeros((BUCKETS, q.shape[1]))
-        full[live] = q
-        q, names = full, names[:full.shape[1]]
+        q, _ = np.linalg.qr(applied(q))
     value, turn = np.linalg.eigh(q.T @ applied(q))
     keep = np.argsort(-value)[:RANK]
     keep = keep[value[keep] > 1e-9 * max(value.max(), 1e-300)]
-    return q @ turn[:, keep]
+    return q @ turn[:, keep] if len(keep) else np.zeros((len(live), 1))
 
 
 def _lcs(item_masks: dict[int, int], n: int, words: list[int]) -> int:
@@ -255,10 +254,9 @@ def _search(block: dict, emb: dict, h: np.ndarray, offs: np.ndarray) -> dict[tup
     return hits
 
 
-def contamination(docs: DataFrame, bench: DataFrame, text: str = "text", hits: str = "hits") -> DataFrame:
-    """``docs`` with a column of hits: (item_id, share of its words found in order, word range)."""
-    if hits in docs.columns:
-        raise ValueError(f"column already present: {hits}")
+def contamination(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:
+    """``row`` (the columns of ``docs``), ``text`` and ``hits``: (item_id, share of its words found in
+    order, word range)."""
     spark = docs.sparkSession
     answer = F.col("answer").cast("string") if "answer" in bench.columns else F.lit(None).cast("string")
     items = saved(bench.select(F.col("item_id").cast("long").alias("item_id"),
@@ -271,22 +269,22 @@ def contamination(docs: DataFrame, bench: DataFrame, text: str = "text", hits: s
 
     wanted = np.zeros(BUCKETS, bool)
     wanted[items.select("text").mapInArrow(buckets, "bucket long").distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
-    df, n = document_frequency(docs, text, wanted)
+    df, n = document_frequency(docs.select(F.col(f"`{text}`").alias("text")), "text", wanted)
     idf = np.where(wanted, np.log((n + 2) / (df + 1)), 0.0)
     directions = randomized_svd(items, "text", idf)
-    live = np.flatnonzero(wanted)
+    live = np.flatnonzero(idf > 0)
     slot = np.zeros(BUCKETS, np.int32)
     slot[live] = np.arange(1, len(live) + 1)
-    rows = np.r_[np.zeros((1, directions.shape[1])), directions[live] * idf[live, None]].astype(np.float32)
+    rows = np.r_[np.zeros((1, directions.shape[1])), directions * idf[live, None]].astype(np.float32)
     emb = {"slot": slot, "rows": rows}
     blocks = max(1, -(-items.count() // (BLOCK // 4)))
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    out = docs.withColumn(hits, F.array().cast(HIT))
+    out = packed(docs, text=F.col(f"`{text}`"), hits=F.array().cast(HIT))
     names, schema = out.columns, T.StructType(out.schema.fields)
     for k in range(blocks):
         block = _block(numbered.filter(F.col("block") == k).collect(), emb)     # about BLOCK passages
         share = spark.sparkContext.broadcast((emb, block))
-        out = out.mapInArrow(_job(share, names.index(text), names.index(hits)), schema)
+        out = out.mapInArrow(_job(share, names.index("text"), names.index("hits")), schema)
     return out
 
 
@@ -307,11 +305,11 @@ def _job(share, text_at: int, hits_at: int):
 
 def clean(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no item of the benchmark."""
-    return contamination(docs, bench, text, "__hits").filter(F.size("__hits") == 0).drop("__hits")
+    return unpacked(contamination(docs, bench, text).filter(F.size("hits") == 0), docs.columns)
 
 
 def contamination_digest(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    out = contamination(docs.select("doc_id", "text"), bench)
+    out = contamination(docs.select("doc_id", "text"), bench).select("row.doc_id", "hits")
     best = F.aggregate("hits", F.lit(0.0), lambda z, x: F.greatest(z, x["lcs"]))
     return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"),
                       F.array_sort(F.transform("hits", lambda x: x["item_id"])).alias("items"), best.alias("lcs"))

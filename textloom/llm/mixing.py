@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import saved, words
+from textloom.llm.common import packed, saved, unpacked, words
 
 WEIGHTS = (3, 1, 2)
 BUDGET_PCT = 150
@@ -173,19 +173,20 @@ def mixed(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars")
     """The mix itself, in the input's columns: one row per pass over a document that takes any of
     its words. A pass that takes all words keeps the text as it is; a pass that takes some joins
     those words by single spaces."""
-    cols = docs.columns
     _, cells, shards = _prepared(docs, text)
-    df = _placed(_keyed(docs, shards, _size(F.col(text))), cells)
+    df = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), text=F.col(f"`{text}`"))
+    df = _placed(_keyed(df, shards, _size(F.col("text"))), cells)
     df = df.withColumn("__pass", F.explode(F.array(*[F.lit(i) for i in range(1, MAX_EPOCHS + 1)])))
     mine = F.filter("__parts", lambda p: p["times"] >= F.col("__pass"))
     df = df.withColumn("__mine", mine).filter(F.size("__mine") > 0)
-    df = df.withColumn("__w", words(F.col(text)))
+    df = df.withColumn("__w", words(F.col("text")))
     some = F.array_join(F.flatten(F.transform(
         "__mine", lambda p: F.slice(F.col("__w"), (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))), " ")
-    df = df.withColumn(text, F.when(F.size("__mine") == F.size("__parts"), F.col(text)).otherwise(some))
-    if n_chars in cols:
-        df = df.withColumn(n_chars, F.length(F.col(text)).cast(docs.schema[n_chars].dataType))
-    return df.select(*cols)
+    df = df.withColumn("__some", F.when(F.size("__mine") == F.size("__parts"), F.col("text")).otherwise(some))
+    changed = {text: F.col("__some")}
+    if n_chars in docs.columns:
+        changed[n_chars] = F.length("__some").cast(docs.schema[n_chars].dataType)
+    return unpacked(df, docs.columns, **changed)
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

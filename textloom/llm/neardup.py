@@ -222,12 +222,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
 
 
 def deduplicated(docs: DataFrame, text: str = "text", similar_pct: int = SIMILAR_PCT) -> DataFrame:
-    """One document of each group, in the input's columns; of repeated rows, one."""
-    one = near_duplicates(docs, text, similar_pct).filter("kept").select("doc_id").distinct()
-    cols = docs.columns
-    d, k = docs.alias("d"), one.alias("k")
-    out = d.join(k, F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return out.dropDuplicates().select(*cols)
+    """One document of each group, in the input's columns; of repeated rows, one. Documents that
+    share an id with a kept one but not its text stay with it."""
+    one = saved(near_duplicates(docs, text, similar_pct).filter("kept").select("doc_id").distinct(), "neardup-kept")
+    known, unknown = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
+    known = known.join(one, "doc_id", "left_semi")                 # dealt by doc_id, as the next step needs it
+    d, k = unknown.alias("d"), one.filter("doc_id IS NULL").alias("k")
+    unknown = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    return known.dropDuplicates().union(unknown.dropDuplicates()).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def neardup_digest(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, WS, words
+from textloom.llm.common import WORD, WS, packed, unpacked, words
 
 SYMBOLS = r"[#*$%&|<>]"
 BARS = r"[|»›•·]"
@@ -97,11 +97,15 @@ def line_quality(docs: DataFrame, text: str = "text", max_lost_pct: int = MAX_LO
     ``kept`` is false for a document that fails a base rule or loses more than
     ``max_lost_pct`` percent of its word characters to failing lines.
     """
-    clash = set(COLUMNS) & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns already present: {sorted(clash)}")
-    t = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumn("__w", words(F.col(text)))
+    return _judged(docs, text, max_lost_pct).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in COLUMNS], *COLUMNS)
+
+
+def _judged(docs: DataFrame, text: str, max_lost_pct: int) -> DataFrame:
+    """``row`` (the input's columns) and ``COLUMNS``."""
+    base = packed(docs, text=F.col(f"`{text}`"))
+    t = F.coalesce(F.col("text"), F.lit(""))
+    base = base.withColumn("__w", words(F.col("text")))
     base = base.withColumn("__h", F.transform("__w", lambda x: F.xxhash64(x)))
     base = window_keys(base, "__h", "__k")
     base = base.withColumns({
@@ -130,16 +134,16 @@ def line_quality(docs: DataFrame, text: str = "text", max_lost_pct: int = MAX_LO
     })
     out = out.withColumn("kept", ~F.col("base_failed")
                          & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost_pct))
-    return out.select(*docs.columns, *COLUMNS)
+    return out.select("row", *COLUMNS)
 
 
 def accepted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The kept documents with their cleaned text (and its length), in the input's columns."""
-    cols = docs.columns
-    out = line_quality(docs, text).filter("kept").withColumn(text, F.col("clean_text"))
-    if n_chars in cols:
-        out = out.withColumn(n_chars, F.length(F.col(text)).cast(docs.schema[n_chars].dataType))
-    return out.select(*cols)
+    out = _judged(docs, text, MAX_LOST_PCT).filter("kept")
+    changed = {text: F.col("clean_text")}
+    if n_chars in docs.columns:
+        changed[n_chars] = F.length("clean_text").cast(docs.schema[n_chars].dataType)
+    return unpacked(out, docs.columns, **changed)
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from textloom.operators import catalog, metrics, scoring, vectors
 from textloom.operators.rank import global_rank
-import textloom.operators.rank as rank_mod
 
 from conftest import rows
 
@@ -29,8 +28,7 @@ def test_label_dictionary_first_appearance(spark):
     assert rows(catalog.label_dictionary(df, "label", "o")) == [("a", 1), ("m", 2), ("z", 0)]
 
 
-def test_global_rank_distributed_path(spark, monkeypatch):
-    monkeypatch.setattr(rank_mod, "SMALL_RANK_ROWS", 0)
+def test_global_rank_over_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(5)
     r = global_rank(df, [F.col("v").desc()], "r")
     got = rows(r, "v", "r")

@@ -1,14 +1,8 @@
-"""Golden checks on the reference's committed data files (read only).
+"""Checks of the catalogue operators on a small fixture with the awkward rows:
+quoting, a repeated key, a key with a space, a lower-case key, NBSP and bullets,
+a trailing dot, an empty description."""
 
-basic catalogue -> pair rules must equal the committed pairs row for row;
-augmentation row counts: 4 templates + aliased phrases = 1,063;
-10 templates + exact phrases = 2,630; x4 prompts = 10,520; enrichment keeps
-302 of 303 pairs and reports the lower-case ``dir`` as unknown.
-"""
-
-import glob
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,71 +11,81 @@ from textloom import defaults as D
 from textloom.operators import catalog, expand
 from textloom.sources import io
 
-from conftest import REFERENCE_DATA
-
-
-def _find(pattern, accept):
-    """The committed data file of a given shape (located by content)."""
-    for path in sorted(glob.glob(os.path.join(REFERENCE_DATA, pattern))):
-        try:
-            if accept(path):
-                return path
-        except (OSError, ValueError):
-            continue
-    return None
+ROWS = [
+    ("Peek", 'Get the owner, "quoted", of an object (file, directory).', "http://x.example/peek"),
+    ("LOOP /F", "Loop over the lines of a file", "http://x.example/loop1"),
+    ("LOOP /F", "Loop over the words of a <b>line</b>", "http://x.example/loop2"),
+    ("cd", "Change  Directory - move to a folder.", "http://x.example/cd"),
+    ("DIR", "Display a list of files • and folders", "http://x.example/dir"),
+    ("IPCONFIG", "Configure IP", "http://x.example/ip"),
+    ("::", "", "http://x.example/colon"),
+]
 
 
-def _is_catalogue(path):
-    with open(path, encoding="utf-8") as f:
-        return f.readline().strip() == "command,description,url"
-
+@pytest.fixture(scope="module")
+def basic(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("catalogue") / "basic.csv"
+    quote = lambda x: '"' + x.replace('"', '""') + '"' if any(c in x for c in ',"') else x
+    lines = ["command,description,url", *(",".join(map(quote, r)) for r in ROWS)]
+    path.write_bytes(("\r\n".join(lines) + "\r\n").encode())
+    df = io.read_table(spark, str(path), "command string, description string, url string")
+    return df.coalesce(1).withColumn("ord", F.monotonically_increasing_id())   # single-file order
 
-def _is_pairs(path):
-    with open(path, encoding="utf-8") as f:
-        data = json.load(f)
-    return isinstance(data, list) and bool(data) and set(data[0]) == {"query", "command"}
 
+def _lower(text):
+    return (text or "").lower().rstrip(".")
 
-BASIC = _find("*.csv", _is_catalogue)
-PAIRS = _find("*.json", _is_pairs)
-pytestmark = pytest.mark.skipif(BASIC is None or PAIRS is None, reason="committed data not present")
 
+def test_csv_quoting(basic):
+    got = [tuple(r) for r in basic.orderBy("ord").select("command", F.coalesce("description", F.lit("")), "url").collect()]
+    assert got == ROWS
 
-@pytest.fixture(scope="module")
-def basic(spark):
-    df = io.read_table(spark, BASIC, "command string, description string, url string")
-    return df.coalesce(1).withColumn("ord", F.monotonically_increasing_id())   # single-file order
 
+def test_default_pair_rules(basic):
+    full = basic.fillna("", ["description"])
+    out = (expand.pair_rules(full, "command", "description", expand.default_pair_rules("command", "description"),
+                             carry=["ord"]).orderBy("ord", "pos").select("query", "command").collect())
+    want = []
+    for cmd, text, _ in ROWS:
+        for query, needle, other, key in D.PAIR_RULES:
+            if (needle is None or needle.lower() in text.lower()) and (key is None or cmd.lower() == key.lower()):
+                want.append((query.replace("{}", _lower(text)), other or cmd))
+    assert [tuple(r) for r in out] == want and len(want) > len(ROWS)
 
-def test_csv_quoting(basic):
-    first = basic.orderBy("ord").first()
-    assert basic.count() == 258
-    assert first.description == "Get the security descriptor (SDDL) for an object (file, directory, reg key)."
 
+def test_augment_counts(basic):
+    def count(templates, phrases):
+        return sum(len(templates) + sum(len(p) for aliases, p in phrases if cmd.lower() in [a.lower() for a in aliases])
+                   for cmd, _, _ in ROWS)
 
-def test_pair_rules_equal_committed_pairs(basic):
-    out = (expand.pair_rules(basic, "command", "description",
-                             expand.default_pair_rules("command", "description"), carry=["ord"])
-           .orderBy("ord", "pos").select("query", "command").collect())
-    with open(PAIRS, encoding="utf-8") as f:
-        expected = [(r["query"], r["command"]) for r in json.load(f)]
-    assert len(out) == 303
-    assert [tuple(r) for r in out] == expected
+    full = basic.fillna("", ["description"])
+    a4 = expand.augment(full, "command", "description", D.TEMPLATES_4, D.PHRASES_ALIASED)
+    a10 = expand.augment(full, "command", "description", D.TEMPLATES_10, D.PHRASES_EXACT, out="text")
+    assert a4.count() == count(D.TEMPLATES_4, D.PHRASES_ALIASED) > 4 * len(ROWS)
+    assert a10.count() == count(D.TEMPLATES_10, D.PHRASES_EXACT) > 10 * len(ROWS)
+    assert expand.prompt_fanout(a10, "text").count() == len(D.PROMPT_PREFIXES) * a10.count()
+    first = a4.filter((F.col("command") == "cd") & (F.col("pos") == 0)).first()
+    assert "change directory - move to a folder" in first.query
 
 
-def test_augment_counts(basic):
-    a4 = expand.augment(basic, "command", "description", D.TEMPLATES_4, D.PHRASES_ALIASED)
-    a10 = expand.augment(basic, "command", "description", D.TEMPLATES_10, D.PHRASES_EXACT, out="text")
-    assert a4.count() == 1063
-    assert a10.count() == 2630
-    assert expand.prompt_fanout(a10, "text").count() == 10520
-    # templates use the squeezed, tag-stripped, lower-cased, dot-stripped description
-    first = a4.filter((F.col("command") == "AccessChk") & (F.col("pos") == 0)).first()
-    assert first.query == "How do I get the security descriptor (sddl) for an object (file, directory, reg key)?"
-
-
-def test_enrich_and_unknown(spark, basic):
-    pairs = io.read_table(spark, PAIRS, "query string, command string")
+def test_last_wins_enrich_and_unknown(spark, basic):
     cat = catalog.last_by_key(basic, "command", "ord")
-    assert catalog.enrich(pairs, cat, "command").count() == 302
+    assert cat.count() == 6 and cat.filter("command = 'LOOP /F'").first().url.endswith("loop2")
+    pairs = spark.createDataFrame([("a", "cd"), ("b", "DIR"), ("c", "dir"), ("d", "LOOP /F")], "query string, command string")
+    assert catalog.enrich(pairs, cat, "command").count() == 3
     assert [r.command for r in catalog.unknown_keys(pairs, cat, "command").collect()] == ["dir"]
+    ids = spark.createDataFrame([("cd", 0)], "command string, label_id long")
+    assert sorted((r.command, r.label_id) for r in catalog.encode_labels(pairs, ids, "command").collect()) == [
+        ("DIR", None), ("LOOP /F", None), ("cd", 0), ("dir", None)]
+    assert catalog.decode_labels(spark.createDataFrame([(0,), (9,)], "label_id long"), ids).count() == 2
+
+
+def test_json_array_and_suffix(spark, tmp_path):
+    path = tmp_path / "pairs.json"
+    path.write_text(json.dumps([{"query": q, "command": c} for c, q, _ in ROWS], indent=1))
+    got = io.read_table(spark, str(path), "query string, command string")
+    assert sorted(map(tuple, got.collect())) == sorted((q, c) for c, q, _ in ROWS)
+    with pytest.raises(ValueError):
+        io.read_table(spark, str(tmp_path / "pairs.xml"))
+    table = io.param_table(spark, [("a", 1)], "label string, label_id long")
+    assert table.first().label_id == 1

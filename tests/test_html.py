@@ -54,3 +54,17 @@ def test_spark_jobs(spark):
     det = {r.page_id: r for r in html.page_details(pages).collect()}
     assert det[1].syntax == "syntax here" and det[1].examples == ["dir /s", "dir /b"]
     assert det[2].syntax == D.NO_SYNTAX and det[2].error is None
+
+
+def test_deep_nesting_and_bad_links_do_not_stop_the_job(spark):
+    deep = "<ul>" + "<li>x" * 50_000
+    pages = spark.createDataFrame([(1, "http://a.example/", deep), (2, "http://a.example/", '<a href="http://[x">bad</a>'),
+                                   (3, "http://a.example/", '<a href="/y">y</a>')], "page_id long, url string, html string")
+    got = {(r.page_id, r.href, r.error is None) for r in html.links(pages).collect()}
+    assert got == {(2, None, False), (3, "http://a.example/y", True)}
+    text = {r.page_id: r.text for r in html.tag_text(pages, "ul", "none").collect()}
+    assert len(text[1]) == 50_000 and text[3] == "none"
+    details = html.page_details(pages)
+    assert details.filter("error IS NULL").count() == 3
+    joined = html.enrich_details(pages.select("page_id", "url"), details, "page_id")
+    assert joined.count() == 3

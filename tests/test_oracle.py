@@ -7,13 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from textloom.plans.bindings import QUERIES
+from textloom.plans.oracles import ORACLES
 from textloom.plans.tables import TABLES
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
 
 def _norm(v):
     if isinstance(v, float):

@@ -70,3 +70,10 @@ def test_encode_lengths(spark):
     tgt = enc.select("id", encode.mask_targets("input_ids").alias("y")).collect()
     assert {r.id: r.y for r in tgt}[1] == [-100, -100, -100]
     assert min(v.values()) == 2                              # 0 pad, 1 unknown
+
+
+def test_null_labels_and_groups_keep_their_rows(spark):
+    df = spark.range(100).select(F.col("id"), F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("string")).alias("lab"))
+    for out in (split.split_stratified(df, "id", "lab"), split.split_exact(df, "id", group_key="lab")):
+        assert out.count() == 100 and out.filter("lab IS NULL").count() == 20
+    assert split.split_stratified(df, "id", "lab").filter("lab IS NULL AND split = 'test'").count() == 4

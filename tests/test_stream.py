@@ -1,8 +1,16 @@
-"""The scoring stream equals the batch query; a failing batch leaves an
-error row and the stream still completes."""
+"""The scoring stream equals the batch query; a query that cannot be scored
+leaves an error row and the others their results. M1: one load per worker."""
 
+import os
+import tempfile
+
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from textloom.functions.text import drop_blank
+from textloom.operators.scoring import score_batch
+
 from textloom.session import shared_path
 from textloom.streaming import scoring as stream
 
@@ -26,13 +34,47 @@ def test_stream_matches_batch(spark):
     assert rows(got) == rows(want, "conv_id", "turn")
 
 
-def test_failing_batch_writes_error_row(spark):
+def test_bad_query_leaves_the_others(spark):
     sink, ckpt, errs = (shared_path(spark, n) for n in ("t-sink", "t-ckpt", "t-err"))
 
+    def scorer(model, pdf):
+        if (pdf["conv_id"] == 7).any():
+            raise ValueError("bad query")
+        return pdf[["conv_id", "turn"]].assign(label="x", score=1.0)
+
+    def score(batch):
+        return score_batch(batch, ["conv_id", "turn"], "text", lambda: "model", scorer, "t-stream")
+
+    stream.score_stream(_src(spark), score, sink, ckpt, query_col="text", error_sink=errs).awaitTermination()
+    good, bad = spark.read.parquet(sink), spark.read.parquet(errs)
+    turns = drop_blank(spark.read.parquet(f"{SF_SMALL}/conversations.parquet"), "text")
+    assert rows(bad, "conv_id", "turn") == rows(turns.filter("conv_id = 7"), "conv_id", "turn")
+    assert bad.count() > 0 and all("bad query" in r.error for r in bad.collect())
+    assert rows(good, "conv_id", "turn") == rows(turns.filter("conv_id <> 7"), "conv_id", "turn")
+
+
+def test_engine_failure_fails_the_batch(spark):
+    sink, ckpt = shared_path(spark, "t-sink"), shared_path(spark, "t-ckpt")
+
     def score(batch):
         raise ValueError("model not available")
 
-    q = stream.score_stream(_src(spark), score, sink, ckpt, error_sink=errs)
-    q.awaitTermination()
-    err = spark.read.parquet(errs).collect()
-    assert len(err) == 1 and "model not available" in err[0].error
+    with pytest.raises(StreamingQueryException):
+        stream.score_stream(_src(spark), score, sink, ckpt).awaitTermination()
+
+
+def test_model_is_loaded_once_per_worker(spark):
+    folder = tempfile.mkdtemp(prefix="textloom-loads-")
+
+    def load():
+        with tempfile.NamedTemporaryFile(dir=folder, prefix=f"{os.getpid()}-", delete=False):
+            return 1
+
+    def scorer(model, pdf):
+        return pdf[["id"]].assign(label="x", score=float(model))
+
+    for _ in range(2):
+        df = spark.range(64).repartition(16).withColumn("f", F.lit(1.0))
+        assert score_batch(df, "id", "f", load, scorer, f"loads-{folder}").count() == 64
+    pids = [f.split("-")[0] for f in os.listdir(folder)]
+    assert len(pids) == len(set(pids))

@@ -1,17 +1,17 @@
-"""Per-partition exact top-k scoring against a bounded, broadcast query side.
-
-Used by sparse (H5) and dense (H4) retrieval. Spark partitions the item
-side; each task scores its items against every query with NumPy and emits
-only its own exact top-k per query (ties broken by item id), so the shuffle
-carries at most ``tasks * queries * k`` rows. The query side is collected
-only after its size is proven below a bound; beyond the bound callers chunk
-the queries.
+"""Exact top-k scoring of query blocks against item blocks.
+
+Used by sparse (H5) and dense (H4) retrieval. Both sides are hashed into
+blocks of bounded size, every (query block, item block) pair is one group of a
+cogroup, and the group's task scores it with NumPy and emits its exact top-k
+per query (ties broken by item id). Neither side passes through the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SCORE_DECIMALS = 9
 MAX_CELLS = 4_000_000      # dense (items x queries) block per step
@@ -72,75 +72,75 @@ def _emit(qkeys: dict, item_col: str, q, item, score) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def sparse_scorer(bc, item_col: str, k: int):
-    """mapInPandas function: rows ``(item, terms array<int>, weights array)``
-    where terms are indexes into the broadcast query vocabulary.
+def blocks_of(rows: int, size: int) -> int:
+    return max(1, -(-rows // size))
+
+
+def grid(queries: DataFrame, items: DataFrame, qids: list[str], iid: str, n_q: int, n_i: int):
+    """The two sides grouped by (query block, item block): a row of one side goes
+    to every block of the other."""
+    def side(df, keys, mine, n, other, m):
+        return (df.withColumn(mine, F.pmod(F.xxhash64(*keys), F.lit(n)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))))
+
+    q = side(queries, qids, "_qb", n_q, "_ib", n_i)
+    i = side(items, [iid], "_ib", n_i, "_qb", n_q)
+    return q.groupBy("_qb", "_ib").cogroup(i.groupBy("_qb", "_ib"))
 
-    ``bc.value`` = (terms, ptr, post_q, post_w, qkeys): query postings sorted
-    by term index (CSR), and the query key columns by query index.
-    """
-    def run(batches):
-        _, ptr, post_q, post_w, qkeys = bc.value
+
+def sparse_block(qids: list[str], item_col: str, k: int):
+    """cogroup function: query rows ``(qids, _t, weight)`` and item rows
+    ``(item, _t, _wd)``, where ``_t`` numbers a term."""
+    def run(qdf: pd.DataFrame, ddf: pd.DataFrame) -> pd.DataFrame:
+        terms, ptr, post_q, post_w, qkeys = query_postings(qdf, qids, "weight")
         nq = len(next(iter(qkeys.values())))
         cands = _Candidates(k)
-        for pdf in batches:
-            if len(pdf) == 0 or nq == 0:
-                continue
-            lens = pdf["terms"].map(len).to_numpy()
-            if lens.sum() == 0:
-                continue
-            ti = np.concatenate(pdf["terms"].to_numpy()).astype(np.int64)
-            flat_w = np.concatenate(pdf["weights"].to_numpy()).astype(np.float64)
-            doc = np.repeat(np.arange(len(pdf)), lens)
+        ti = np.searchsorted(terms, ddf["_t"].to_numpy()).clip(max=max(len(terms) - 1, 0))
+        ddf = ddf[terms[ti] == ddf["_t"].to_numpy()] if len(terms) else ddf.iloc[:0]
+        if len(ddf) and nq:
+            ddf = ddf.sort_values(item_col, kind="stable")
+            ti = np.searchsorted(terms, ddf["_t"].to_numpy())
+            flat_w = ddf["_wd"].to_numpy(dtype=np.float64)
+            items, doc = np.unique(ddf[item_col].to_numpy(), return_inverse=True)
             cnt = ptr[ti + 1] - ptr[ti]
-            per_doc = np.bincount(doc, weights=cnt, minlength=len(pdf))
-            items = pdf[item_col].to_numpy()
-            # cut into steps of whole documents bounded by cells and pairs
+            csum = np.cumsum(np.bincount(doc, weights=cnt, minlength=len(items)))
+            first = np.searchsorted(doc, np.arange(len(items) + 1))
             s = 0
-            csum = np.cumsum(per_doc)
-            while s < len(pdf):
+            while s < len(items):       # whole documents, bounded by cells and pairs
                 base = csum[s - 1] if s else 0.0
                 by_pairs = int(np.searchsorted(csum, base + MAX_PAIRS, side="right"))
-                by_cells = s + max(1, MAX_CELLS // max(nq, 1))
-                e = max(s + 1, min(by_pairs, by_cells, len(pdf)))
-                m = (doc >= s) & (doc < e)
+                e = max(s + 1, min(by_pairs, s + max(1, MAX_CELLS // nq), len(items)))
+                m = slice(first[s], first[e])
                 c = cnt[m]
                 tot = int(c.sum())
                 if tot:
-                    off = np.cumsum(c) - c
-                    idx = np.repeat(ptr[ti[m]] - off, c) + np.arange(tot)
-                    rq = post_q[idx]
-                    rd = np.repeat(doc[m] - s, c)
+                    idx = np.repeat(ptr[ti[m]] - (np.cumsum(c) - c), c) + np.arange(tot)
+                    lin = np.repeat(doc[m] - s, c) * nq + post_q[idx]
                     rw = np.repeat(flat_w[m], c) * post_w[idx]
-                    lin = rd * nq + rq
                     size = (e - s) * nq
                     S = np.bincount(lin, weights=rw, minlength=size).reshape(e - s, nq)
                     hit = (np.bincount(lin, minlength=size) > 0).reshape(e - s, nq)
                     d_i, q_i = _select_block(S, hit, k)
                     cands.add(q_i, items[s:e][d_i], S[d_i, q_i])
                 s = e
-        q, it, sc = cands.result()
-        yield _emit(qkeys, item_col, q, it, sc)
+        return _emit(qkeys, item_col, *cands.result())
+
     return run
 
 
-def dense_scorer(bc, item_col: str, vec_col: str, k: int, exclude_self: bool):
-    """mapInPandas function: rows ``(item, vector)``; inner product with the
-    broadcast query matrix. ``bc.value`` = (Q matrix, query ids, qkeys)."""
-    def run(batches):
-        Q, qids, qkeys = bc.value
-        nq = Q.shape[0]
-        pos = pd.Index(qids) if exclude_self else None
+def dense_block(qid: str, q_vec: str, item_col: str, vec_col: str, k: int, exclude_self: bool):
+    """cogroup function: inner products of query and item vectors."""
+    def run(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
+        qkeys = {qid: qdf[qid].to_numpy()}
         cands = _Candidates(k)
-        for pdf in batches:
-            if len(pdf) == 0 or nq == 0:
-                continue
-            X = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            items = pdf[item_col].to_numpy()
-            step = max(1, MAX_CELLS // nq)
-            for s in range(0, len(pdf), step):
-                Xb, ib = X[s:s + step], items[s:s + step]
-                S = Xb @ Q.T
+        if len(qdf) and len(idf):
+            Q = np.stack(qdf[q_vec].to_numpy()).astype(np.float64)
+            pos = pd.Index(qkeys[qid]) if exclude_self else None
+            step = max(1, MAX_CELLS // len(Q))
+            for s in range(0, len(idf), step):
+                part = idf.iloc[s:s + step]
+                ib = part[item_col].to_numpy()
+                S = np.stack(part[vec_col].to_numpy()).astype(np.float64) @ Q.T
                 hit = np.ones_like(S, dtype=bool)
                 if exclude_self:
                     qi = pos.get_indexer(ib)
@@ -148,8 +148,8 @@ def dense_scorer(bc, item_col: str, vec_col: str, k: int, exclude_self: bool):
                     hit[r, qi[r]] = False
                 d_i, q_i = _select_block(S, hit, k)
                 cands.add(q_i, ib[d_i], S[d_i, q_i])
-        q, it, sc = cands.result()
-        yield _emit(qkeys, item_col, q, it, sc)
+        return _emit(qkeys, item_col, *cands.result())
+
     return run
 
 
@@ -158,8 +158,7 @@ def query_postings(qw: pd.DataFrame, qid_cols: list[str], weight: str):
     keys = qw[qid_cols].drop_duplicates().reset_index(drop=True)
     keys["_q"] = np.arange(len(keys))
     qw = qw.merge(keys, on=qid_cols)
-    terms = np.array(sorted(qw["term"].unique()), dtype=object)
-    t_idx = pd.Index(terms).get_indexer(qw["term"])
+    terms, t_idx = np.unique(qw["_t"].to_numpy(), return_inverse=True)
     order = np.argsort(t_idx, kind="stable")
     post_q = qw["_q"].to_numpy()[order].astype(np.int64)
     post_w = qw[weight].to_numpy()[order].astype(np.float64)

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from textloom import defaults as D
 from textloom.functions.text import contains_ci, first_or_null
 from textloom.operators.rank import global_rank
-from textloom.session import bounded_broadcast
 
 
 def last_by_key(df: DataFrame, key: str, order_by: str, first_pos: str | None = "first_pos"
                 ) -> DataFrame:
-    """One row per key, fields from the row with the largest ``order_by``;
-    ``first_pos`` keeps the smallest order (a dict keeps the first position)."""
+    """One row per key, fields from the row with the largest ``order_by`` (rows
+    with equal order: a fixed one, by a hash of their fields); ``first_pos`` keeps
+    the smallest order (a dict keeps the first position)."""
     rest = [c for c in df.columns if c != key]
-    aggs = [F.max_by(F.struct(*rest), F.col(order_by)).alias("_last")]
+    aggs = [F.max_by(F.struct(*rest), F.struct(F.col(order_by), F.xxhash64(*rest))).alias("_last")]
     if first_pos:
         aggs.append(F.min(order_by).alias(first_pos))
     out = df.groupBy(key).agg(*aggs).select(key, "_last.*", *([first_pos] if first_pos else []))
@@ -53,25 +53,25 @@ def merge_catalog(basic: DataFrame, detail: DataFrame, key: str, basic_order: st
 
 
 def enrich(pairs: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
-    """Inner equi-join; the catalogue is broadcast when proven small."""
-    return pairs.join(bounded_broadcast(catalog), key, "inner")
+    """Inner equi-join (AQE broadcasts a side that is small in bytes)."""
+    return pairs.join(catalog, key, "inner")
 
 
 def unknown_keys(pairs: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the catalogue."""
-    return pairs.join(bounded_broadcast(catalog.select(key)), key, "left_anti")
+    return pairs.join(catalog.select(key), key, "left_anti")
 
 
 def keep_labels(df: DataFrame, valid: DataFrame, label: str) -> DataFrame:
     """Rows whose label is in the valid set."""
-    return df.join(bounded_broadcast(valid.select(label)), label, "left_semi")
+    return df.join(valid.select(label), label, "left_semi")
 
 
 def detail_lookup(preds: DataFrame, catalog: DataFrame, left_key: str, key: str,
                   order_by: str) -> DataFrame:
     """E5: optional, case-sensitive, last-wins lookup of catalogue rows."""
     cat = last_by_key(catalog, key, order_by, first_pos=None)
-    return preds.join(bounded_broadcast(cat), preds[left_key] == cat[key], "left").drop(cat[key])
+    return preds.join(cat, preds[left_key] == cat[key], "left").drop(cat[key])
 
 
 def detail_fields(description: str, syntax: str, examples: str) -> list[Column]:
@@ -91,13 +91,14 @@ def label_dictionary(df: DataFrame, label: str, order_by: str, label_id: str = "
 
 def encode_labels(df: DataFrame, labels: DataFrame, label: str, label_id: str = "label_id"
                   ) -> DataFrame:
-    """Attach ids; unknown labels are dropped (see :func:`unknown_keys`)."""
-    return df.join(bounded_broadcast(labels.select(label, label_id)), label, "inner")
+    """Attach ids; a label that is not in the map keeps its row with a null id
+    (:func:`unknown_keys` lists such rows)."""
+    return df.join(labels.select(label, label_id), label, "left")
 
 
 def decode_labels(df: DataFrame, labels: DataFrame, label_id: str = "label_id") -> DataFrame:
-    """Attach label text for ids."""
-    return df.join(bounded_broadcast(labels), label_id, "inner")
+    """Attach label text for ids; an unknown id keeps its row with null text."""
+    return df.join(labels, label_id, "left")
 
 
 def keyword_command(query: Column | str,

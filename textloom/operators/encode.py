@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from textloom import defaults as D
 from textloom.functions.text import tokens
 from textloom.operators.rank import global_rank
-from textloom.session import bounded_broadcast, checkpoint_root
+from textloom.session import checkpoint_root
 
 
 def token_vocabulary(df: DataFrame, text: str, min_df: int = 1, max_terms: int | None = None,
@@ -44,7 +44,7 @@ def encode_fixed(df: DataFrame, id_cols, text: str, vocab: DataFrame, max_len: i
     keys = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     # the whole text is tokenised; only the first max_len tokens are exploded
     toks = df.select(*keys, F.posexplode(F.slice(tokens(text), 1, max_len)).alias("pos", "term"))
-    mapped = (toks.join(bounded_broadcast(vocab.select("term", "token_id")), "term", "left")
+    mapped = (toks.join(vocab.select("term", "token_id"), "term", "left")
               .select(*keys, "pos", F.coalesce("token_id", F.lit(D.UNK_ID)).alias("tid")))
     # at most max_len entries per row: a bounded collect
     arr = mapped.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "tid"))).alias("_s"))

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import has_at_most
-
-# Tables proven below this many rows are ranked with one plain window.
-SMALL_RANK_ROWS = 200_000
+from textloom.session import checkpoint_root
 
 
 def topk(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], k: int,
@@ -28,16 +25,12 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """Exact 1-based row number over the whole table in ``order``.
 
-    ``order`` must be a total order (end with a unique key). A table proven
-    small is ranked by one window; a large one is range-partitioned, sorted
-    within partitions, checkpointed to the shared folder (so both passes
+    ``order`` must be a total order (end with a unique key). The table is
+    range-partitioned, sorted within partitions, checkpointed to the shared folder (so both passes
     below see the same layout even after executor loss), then numbered by
     per-partition offsets -- no single task sees more than one range.
     """
-    if has_at_most(df, SMALL_RANK_ROWS):
-        return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
     spark = df.sparkSession
-    from textloom.session import checkpoint_root
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)

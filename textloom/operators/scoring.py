@@ -90,27 +90,42 @@ def answer_cards(preds: DataFrame, catalog: DataFrame, pred_key: str, key: str,
 _MODELS: dict = {}
 
 
+def _score_batches(key: str, loader, scorer, ids, batches):
+    """Runs in the worker; this module is imported there, so ``_MODELS`` lives as
+    long as the worker. A batch that raises is tried again row by row, and only
+    the rows that raise get an error."""
+    model = _MODELS.get(key)
+    if model is None:
+        model = _MODELS[key] = loader()
+    for pdf in batches:
+        try:
+            yield scorer(model, pdf).assign(error=None)
+        except Exception:  # noqa: BLE001 - found out row by row
+            for i in range(len(pdf)):
+                row = pdf.iloc[i:i + 1]
+                try:
+                    yield scorer(model, row).assign(error=None)
+                except Exception as e:  # noqa: BLE001 - reported in the row
+                    yield row[ids].assign(label=None, score=float("nan"), error=f"{type(e).__name__}: {e}")
+
+
 def score_batch(df: DataFrame, id_cols, feature: str, loader: Callable[[], object],
-                scorer: Callable[[object, pd.DataFrame], pd.DataFrame],
-                label_type: T.DataType = T.StringType(), cache_key: str | None = None
-                ) -> DataFrame:
-    """M1: ``(ids..., label, score)`` for every label of every row.
-
-    ``loader()`` runs once per Python worker (cached by ``cache_key``), not
-    per row or batch; ``scorer(model, batch)`` gets a pandas batch with the
-    id columns and ``feature`` and returns long rows ``ids..., label, score``.
+                scorer: Callable[[object, pd.DataFrame], pd.DataFrame], cache_key: str,
+                label_type: T.DataType = T.StringType()) -> DataFrame:
+    """M1: ``(ids..., label, score, error)`` for every label of every row.
+
+    ``loader()`` runs once per Python worker and ``cache_key`` (name a model by
+    its content or version); ``scorer(model, batch)`` gets a pandas batch with
+    the id columns and ``feature`` and returns long rows ``ids..., label, score``.
+    A row whose scoring raises comes back once, with the ``error`` text.
     """
     ids = _ids(id_cols)
-    key = cache_key or f"{id(loader)}"
     schema = T.StructType([df.schema[c] for c in ids] +
-                          [T.StructField("label", label_type), T.StructField("score", T.DoubleType())])
+                          [T.StructField("label", label_type), T.StructField("score", T.DoubleType()),
+                           T.StructField("error", T.StringType())])
 
     def run(batches):
-        model = _MODELS.get(key)
-        if model is None:
-            model = _MODELS[key] = loader()
-        for pdf in batches:
-            yield scorer(model, pdf)
+        return _score_batches(cache_key, loader, scorer, ids, batches)
 
     return df.select(*ids, feature).mapInPandas(run, schema)
 

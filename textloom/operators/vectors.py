@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
@@ -15,8 +14,9 @@ from textloom.functions.text import l2_normalize
 from textloom.operators import blocked
 from textloom.operators.rank import topk
 
-# Queries per broadcast chunk (rows x dims doubles on every executor).
-MAX_QUERY_ROWS = 50_000
+# Rows of a block: a task holds one query block and one item block.
+QUERY_BLOCK = 4_096
+ITEM_BLOCK = 32_768
 
 
 def normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
@@ -40,36 +40,19 @@ def embed(df: DataFrame, id_col: str, text: str, fn: Callable[[list[str]], np.nd
 
 def vector_topk(queries: DataFrame, items: DataFrame, qid: str, iid: str, vec: str,
                 k: int = 3, exclude_self: bool = False, item_vec: str | None = None,
-                max_query_rows: int = MAX_QUERY_ROWS) -> DataFrame:
+                query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Exact top-k items per query by inner product.
 
-    Items stay partitioned as read; each task multiplies its items with the
-    broadcast query matrix (NumPy) and keeps its own exact top-k per query
-    (ties: smaller item id); a final partial+global top-k merges tasks. The
-    query side is chunked so each broadcast holds at most ``max_query_rows``
-    (the number of chunks is derived from a count). Returns
-    ``qid, iid, score, rank`` with ``min(k, items)`` rows per query.
+    Queries and items are hashed into blocks; each pair of blocks is one task's
+    matrix product and keeps its exact top-k per query (ties: smaller item id);
+    a partial + global top-k merges the blocks. Returns ``qid, iid, score, rank``
+    with ``min(k, items)`` rows per query.
     """
     item_vec = item_vec or vec
-    spark = items.sparkSession
-    n_q = queries.count()
-    chunks = max(1, math.ceil(2 * n_q / max_query_rows)) if n_q > max_query_rows else 1
-    q_field = queries.schema[qid]
-    schema = T.StructType([T.StructField(qid, q_field.dataType), items.schema[iid],
-                           T.StructField("score", T.DoubleType())])
-    parts = []
-    for c in range(chunks):
-        qc = queries if chunks == 1 else queries.filter(
-            F.pmod(F.xxhash64(F.col(qid)), F.lit(chunks)) == c)
-        pdf = qc.select(qid, vec).toPandas()
-        Q = (np.stack(pdf[vec].to_numpy()).astype(np.float64) if len(pdf)
-             else np.zeros((0, 0)))
-        ids = pdf[qid].to_numpy()
-        bc = spark.sparkContext.broadcast((Q, ids, {qid: ids}))
-        fn = blocked.dense_scorer(bc, iid, item_vec, k, exclude_self)
-        parts.append(items.select(iid, item_vec).mapInPandas(fn, schema))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    schema = T.StructType([queries.schema[qid], items.schema[iid], T.StructField("score", T.DoubleType())])
+    pairs = blocked.grid(queries.select(qid, F.col(vec).alias("_qv")), items.select(iid, F.col(item_vec).alias("_iv")),
+                         [qid], iid, blocked.blocks_of(queries.count(), query_block),
+                         blocked.blocks_of(items.count(), item_block))
+    cands = pairs.applyInPandas(blocked.dense_block(qid, "_qv", iid, "_iv", k, exclude_self), schema)
     order = [F.round("score", blocked.SCORE_DECIMALS).desc(), F.col(iid).asc()]
     return topk(cands, [qid], order, k)

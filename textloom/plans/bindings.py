@@ -19,7 +19,7 @@ from textloom.functions import text as X
 from textloom.operators import catalog, encode, expand, features, metrics, model, scoring, split
 from textloom.operators import vectors
 from textloom.plans.tables import table
-from textloom.session import has_at_most, shared_path
+from textloom.session import shared_path
 from textloom.sources import html, io
 from textloom.streaming import scoring as stream
 
@@ -35,7 +35,7 @@ PART_PHRASES_10 = [
 DOC_KEYWORDS = [("license", "license"), ("network", "network"), ("mit", "mit"), ("ip", "ip")]
 VALID_LABEL_MIN = 15
 HASH_DIMS = 256
-MAX_LEN_INPUT = D.MAX_LEN_SERVE
+FOREST_DIMS = 1024
 # ----------------------------------------------------------------------------
 
 
@@ -75,7 +75,7 @@ def combined_text(spark, sf):
     """Clean fields (missing document -> ''), clean each line, join, clean again."""
     c = table(spark, sf, "conversations").alias("c")
     d = table(spark, sf, "documents").alias("d")
-    j = c.join(d, (F.col("c.conv_id") == F.col("d.doc_id")) & (F.col("d.lang") == "en"), "left")
+    j = c.join(d, F.col("c.conv_id") == F.col("d.doc_id"), "left")
     lines = X.clean_array(F.split(F.col("c.text"), "\n"))
     return j.select(F.col("c.conv_id").alias("conv_id"), F.col("c.turn").alias("turn"),
                     X.combined_text(X.clean_text("c.text"), X.clean_text("d.lang"),
@@ -429,10 +429,10 @@ def _explode2(df, key, a, b, out_a, out_b):
 
 
 def encode_fixed(spark, sf):
-    """L1: ids truncated / padded to 128 with attention mask."""
+    """L1: ids truncated / padded to 256 with attention mask."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     vocab = encode.token_vocabulary(docs, "text")
-    enc = encode.encode_fixed(docs, "doc_id", "text", vocab, MAX_LEN_INPUT)
+    enc = encode.encode_fixed(docs, "doc_id", "text", vocab, D.MAX_LEN_INPUT)
     return _explode2(enc, "doc_id", "input_ids", "attention_mask", "token_id", "attention_mask")
 
 
@@ -447,10 +447,10 @@ def encode_targets(spark, sf):
 
 
 def encode_lm(spark, sf):
-    """L3: causal-LM labels (ids with pad -> -100), 128 positions."""
+    """L3: causal-LM labels (ids with pad -> -100), 512 positions."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     vocab = encode.token_vocabulary(docs, "text")
-    enc = encode.lm_targets(encode.encode_fixed(docs, "doc_id", "text", vocab, MAX_LEN_INPUT))
+    enc = encode.lm_targets(encode.encode_fixed(docs, "doc_id", "text", vocab, D.MAX_LEN_LM))
     return enc.select("doc_id", F.posexplode("labels").alias("pos", "label")).select(
         "doc_id", _long("pos"), "label")
 
@@ -464,7 +464,7 @@ def page_links(spark, sf):
 
 def page_heading(spark, sf):
     """B3 shape on h1: first heading text, else the default."""
-    return html.tag_text(table(spark, sf, "pages"), "h1", D.NO_SYNTAX)
+    return html.tag_text(table(spark, sf, "pages"), "h1", D.NO_SYNTAX).select("page_id", "text")
 
 
 def page_details(spark, sf):
@@ -473,8 +473,102 @@ def page_details(spark, sf):
 
 
 def page_table_rows(spark, sf):
-    """B1: command rows of tables on the pages."""
-    return html.table_rows(table(spark, sf, "pages"))
+    """B1 + B2: rows of a listing table made from every page: number, link, address."""
+    pages = table(spark, sf, "pages").select("page_id", "url", F.concat(
+        F.lit("<table><tr><th>no link</th></tr><tr><td>"), F.col("page_id").cast("string"), F.lit('</td><td><a href="../p/'),
+        F.col("page_id").cast("string"), F.lit('">page '), F.col("page_id").cast("string"), F.lit("</a></td><td> "),
+        F.regexp_replace("url", "&", "&amp;"), F.lit(" </td></tr></table>")).alias("html"))
+    return html.table_rows(pages).filter("error IS NULL").select("page_id", _long("pos"), "command", "description", "url")
+
+
+def part_page_details(spark, sf):
+    """Details of a page made from every part, joined to the part."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    page = F.when(F.col("p_size") % 2 == 0, F.concat(
+        F.lit("<h1>"), F.col("p_name"), F.lit("</h1><p>"), F.col("p_brand"), F.lit("</p><div>no</div><p> "), F.col("p_type"),
+        F.lit(" </p><pre> "), F.col("p_type"), F.lit(" /S </pre><p>late</p><h3>Examples</h3><blockquote><p class='code'>"),
+        F.col("p_name"), F.lit(" /1</p></blockquote><h3>end</h3><blockquote><p class='code'>no</p></blockquote>"))).otherwise(
+        F.concat(F.lit("<p>"), F.col("p_brand"), F.lit("</p>")))
+    details = html.page_details(part.select("p_partkey", page.alias("html")), "p_partkey")
+    out = html.enrich_details(part.select("p_partkey", "p_name"), details, "p_partkey")
+    return out.select("p_partkey", "p_name", "syntax", F.array_join("examples", "|").alias("examples"),
+                      "description_detailed", "error")
+
+
+def enriched_records(spark, sf):
+    """The enriched pair record: E2, C3, C9-C11 over user turns and the documents of the same number."""
+    turns = _user_turns(spark, sf).select("conv_id", "turn", F.col("text").alias("query"), F.col("conv_id").alias("command"))
+    cat = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("command"), F.get(F.split("text", "\n"), F.lit(0)).alias("description"),
+        F.col("text").alias("description_detailed"), F.col("lang").alias("syntax"), F.split("text", "\n").alias("examples"),
+        F.col("source").alias("url"))
+    j = catalog.enrich(turns, cat, "command")
+    fields = {c: X.clean_text(c) for c in ("query", "description", "description_detailed", "syntax")}
+    examples = F.array_join(X.clean_array("examples"), " ")
+    return j.select("conv_id", "turn", "command", *[v.alias(k) for k, v in fields.items()], examples.alias("examples"), "url",
+                    X.combined_text(*fields.values(), examples).alias("combined_text"))
+
+
+def decoded_top3(spark, sf):
+    """G1 + C12 + E7: the three best labels of every order line group, as text."""
+    scores = table(spark, sf, "lineitem").groupBy("l_orderkey", F.concat(
+        F.lit("LABEL_"), (F.col("l_suppkey") % 5).cast("string")).alias("label")).agg(
+        F.max("l_extendedprice").alias("score"))
+    top = scoring.topk_labels(scores, "l_orderkey", "label", "score", 3)
+    top = top.withColumn("label_id", X.label_suffix("label").cast("long"))
+    names = table(spark, sf, "region").select(F.col("r_regionkey").cast("long").alias("label_id"), "r_name")
+    return catalog.decode_labels(top, names).select("l_orderkey", _long("rank"), "r_name", "score")
+
+
+def find_command(spark, sf):
+    """H1 -> D8 -> H2 -> H3 -> H4: the best part type for every part's name and type, by hashed vectors."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+    last = catalog.last_by_key(part, "p_type", "p_partkey", first_pos=None)
+    docs = last.select("p_type", F.concat_ws(" ", F.col("p_type"), F.col("p_name"), F.col("p_brand")).alias("text"))
+    query = part.select("p_partkey", F.concat_ws(" ", F.col("p_name"), F.col("p_type")).alias("text"))
+    vec = lambda df, key: features.hash_embed(df, key, "text", HASH_DIMS).select(
+        key, F.col("bucket").cast("string").alias("term"), "weight")
+    top = features.sparse_topk(vec(query, "p_partkey"), vec(docs, "p_type"), "p_partkey", "p_type", k=1)
+    return top.select("p_partkey", F.col("p_type").alias("command"), F.round("score", 6).alias("score"))
+
+
+def json_array_read(spark, sf):
+    """A2: the nation table as one JSON array file, read back."""
+    nat = table(spark, sf, "nation")
+    path = shared_path(spark, "nation-array")
+    rec = F.to_json(F.array_sort(F.collect_list(F.struct(*nat.columns))))      # one file, as the format asks
+    nat.agg(rec.alias("value")).coalesce(1).write.text(path)
+    return io.read_table(spark, path, nat.schema, "json")
+
+
+def suffix_dispatch(spark, sf):
+    """A3: the region table written and read in each format by its suffix."""
+    reg, out = table(spark, sf, "region"), None
+    for fmt in ("csv", "json", "parquet"):
+        path = shared_path(spark, "region") + f".{fmt}"
+        io.write_table(reg, path, fmt)
+        got = io.read_table(spark, path, reg.schema).withColumn("format", F.lit(fmt))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def text_forest_report(spark, sf):
+    """K1-K8 + F12: TF-IDF of documents -> forest on their quality -> support of the held-out labels."""
+    docs = table(spark, sf, "documents").select("doc_id", "text").join(
+        table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    s = split.split_exact(docs, "doc_id")
+    train = s.filter(F.col("split") == "train")
+    fit = features.fit_tfidf(train.select("doc_id", "text"), "doc_id", "text", (1, 1), materialize=True)
+    vec = model.hashed_vectors(features.transform_tfidf(fit, s.select("doc_id", "text"), "doc_id", "text"),
+                               s.select("doc_id", "quality", "split"), "doc_id", FOREST_DIMS)
+    forest = model.fit_forest(vec.filter("split = 'train'"), "features", "quality", trees=20, depth=8)
+    path = shared_path(spark, "forest")
+    model.save_forest(forest, path)
+    pred = model.predict(model.load_forest(path), vec.filter("split = 'test'"), "features", ["doc_id", "quality"])
+    rep = metrics.class_report(pred, "quality", "prediction")
+    # the label rows and their support do not depend on how well the forest learned
+    labels = rep.filter(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))
+    return labels.filter("support > 0").select(F.col("label").cast("string").alias("label"), _long("support"))
 
 
 # --- K7/K8, M1: models --------------------------------------------------------
@@ -484,7 +578,7 @@ def forest_predict(spark, sf):
     e = table(spark, sf, "embeddings")
     s = split.split_exact(e, "vec_id")
     m = model.fit_forest(s.filter(F.col("split") == "train"), "embedding", "label",
-                         trees=100, depth=20, seed=42)
+                         trees=100, seed=42)
     return model.predict(m, s.filter(F.col("split") == "test"), "embedding", "vec_id")
 
 
@@ -493,16 +587,16 @@ def scored_batch(spark, sf):
     e = table(spark, sf, "embeddings")
     cells = (e.select("label", F.posexplode("embedding").alias("pos", "x"))
              .groupBy("label", "pos").agg(F.avg("x").alias("cx")))
-    if not has_at_most(cells, 10_000_000):
-        raise ValueError("centroid table too large to broadcast")
-    pdf = cells.toPandas().sort_values(["label", "pos"])
-    labels = np.array(sorted(pdf["label"].unique()), dtype=np.int32)
-    C = pdf.pivot(index="label", columns="pos", values="cx").loc[labels].to_numpy(np.float64)
+    # the user's model: one row per label (labels x dims numbers), as a fitted model is
+    rows = (cells.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "cx"))).alias("c"))
+            .orderBy("label").collect())
+    labels = np.array([r["label"] for r in rows], dtype=np.int32)
+    C = np.array([[x["cx"] for x in r["c"]] for r in rows], dtype=np.float64)
     bc = spark.sparkContext.broadcast((labels, C))
     out = scoring.score_batch(e, "vec_id", "embedding", lambda: bc.value,
                               scoring.centroid_scorer(["vec_id"], "embedding"),
-                              label_type=T.IntegerType(), cache_key=f"centroids-{uuid.uuid4().hex}")
-    return out.select("vec_id", "label", F.round("score", 6).alias("score"))
+                              cache_key=f"centroids-{uuid.uuid4().hex}", label_type=T.IntegerType())
+    return out.filter("error IS NULL").select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
 # --- A: sources / sinks --------------------------------------------------------
@@ -540,16 +634,17 @@ def model_roundtrip(spark, sf):
 
 def stream_scoring(spark, sf):
     """Conversations as a file stream; every micro-batch of user turns
-    scored against the documents (same result as ``tfidf_topk``). The static
-    side (fitted idf, document weights) is checkpointed once to the shared
+    (without blank and exit-word queries) scored against the documents. The
+    static side (fitted counts, document weights) is saved once in the shared
     folder and reused by every batch."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True).materialize_norms()
-    dw = features.document_weights(fit, None, "doc_id", None)
+    weights = shared_path(spark, "doc-weights")
+    features.document_weights(fit, None, "doc_id", None).write.parquet(weights)
+    dw = spark.read.parquet(weights)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
-    errors = shared_path(spark, "stream-errors")
 
     def score(batch):
         turns = batch.filter(F.col("role") == "user").select("conv_id", "turn", "text")
@@ -558,7 +653,7 @@ def stream_scoring(spark, sf):
         return r.select("conv_id", "turn", _long("rank"), "doc_id",
                         F.round("score", 6).alias("score"))
 
-    q = stream.score_stream(src, score, sink, ckpt, error_sink=errors)
+    q = stream.score_stream(src, score, sink, ckpt, query_col="text")
     q.awaitTermination()
     return (spark.read.parquet(sink)
             .select("conv_id", "turn", "rank", "doc_id", "score"))
@@ -619,6 +714,13 @@ QUERIES = {
     "page_heading": page_heading,
     "page_details": page_details,
     "page_table_rows": page_table_rows,
+    "part_page_details": part_page_details,
+    "enriched_records": enriched_records,
+    "decoded_top3": decoded_top3,
+    "find_command": find_command,
+    "json_array_read": json_array_read,
+    "suffix_dispatch": suffix_dispatch,
+    "text_forest_report": text_forest_report,
     "forest_predict": forest_predict,
     "scored_batch": scored_batch,
     "csv_json_roundtrip": csv_json_roundtrip,

@@ -139,7 +139,7 @@ COMBINED_TEXT = (
         "array_to_string(list_transform(string_split(c.text, chr(10)), lambda x: "
         + clean_sql("x") + "), ' ')"]) + ")")
     + " AS combined_text FROM conversations c "
-    "LEFT JOIN documents d ON c.conv_id = d.doc_id AND d.lang = 'en'")
+    "LEFT JOIN documents d ON c.conv_id = d.doc_id")
 
 
 # --- keyed, scored ------------------------------------------------------------
@@ -278,6 +278,21 @@ SELECT page_id, CAST(unnest(range(len(hs))) AS BIGINT) AS pos,
 FROM l"""
 
 
+def _hashed(name: str, src: str) -> str:
+    return f"""{name}1 AS (SELECT k, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS term FROM {src}),
+        {name}2 AS (SELECT k, ('0x' || substr(md5(term), 1, 8))::BIGINT % {B.HASH_DIMS} AS b, count(*)::DOUBLE AS c FROM {name}1 GROUP BY ALL),
+        {name} AS (SELECT k, b, c / sqrt(sum(c * c) OVER (PARTITION BY k)) AS w FROM {name}2)"""
+
+
+_EX = "array_to_string(list_transform(string_split(d.text, chr(10)), lambda x: " + clean_sql("x") + "), ' ')"
+_REC = [clean_sql("c.text"), clean_sql("string_split(d.text, chr(10))[1]"), clean_sql("d.text"), clean_sql("d.lang")]
+ENRICHED = (
+    "SELECT c.conv_id, c.turn, c.conv_id AS command, "
+    + ", ".join(f"{x} AS {n}" for x, n in zip(_REC, ("query", "description", "description_detailed", "syntax"), strict=True))
+    + f", {_EX} AS examples, d.source AS url, " + clean_sql("concat_ws(' ', " + ", ".join([*_REC, _EX]) + ")")
+    + " AS combined_text FROM conversations c JOIN documents d ON c.conv_id = d.doc_id WHERE c.role = 'user'")
+
+
 ORACLES = {
     "tfidf_topk": TFIDF_TOPK,
     "squeeze_strip_tags": (f"SELECT page_id, regexp_replace({squeeze_sql('html')}, '<.*?>', '', 'g') "
@@ -380,14 +395,43 @@ ORACLES = {
         SELECT q, CAST(rn AS BIGINT) AS rank, vec_id, round(score, 6) AS score FROM (
           SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, vec_id) AS rn FROM s)
         WHERE rn <= 3""",
-    "encode_fixed": _encode("text", B.MAX_LEN_INPUT)
+    "encode_fixed": _encode("text", 256)
     + " SELECT doc_id, pos, token_id, attention_mask FROM enc",
-    "encode_targets": _encode("source", D.MAX_LEN_TARGET)
+    "encode_targets": _encode("source", 64)
     + " SELECT doc_id, pos, CASE WHEN token_id = 0 THEN -100 ELSE token_id END AS target FROM enc",
-    "encode_lm": _encode("text", B.MAX_LEN_INPUT)
+    "encode_lm": _encode("text", 512)
     + " SELECT doc_id, pos, CASE WHEN token_id = 0 THEN -100 ELSE token_id END AS label FROM enc",
     "page_links": PAGE_LINKS,
     "page_heading": PAGE_HEADING,
+    "page_table_rows": """SELECT page_id, CAST(0 AS BIGINT) AS pos, 'page ' || page_id AS command, url AS description,
+        regexp_extract(url, '^(https?://[^/]*)', 1) || CASE WHEN len(string_split(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/')) > 3
+          THEN '/' || array_to_string(list_slice(string_split(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/'), 2,
+               len(string_split(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/')) - 2), '/') ELSE '' END
+          || '/p/' || page_id AS url FROM pages""",
+    "part_page_details": f"""SELECT p_partkey, p_name,
+        CASE WHEN p_size % 2 = 0 THEN p_type || ' /S' ELSE {_sq(D.NO_SYNTAX)} END AS syntax,
+        CASE WHEN p_size % 2 = 0 THEN p_name || ' /1' ELSE '' END AS examples,
+        CASE WHEN p_size % 2 = 0 THEN p_brand || ' ' || p_type ELSE '' END AS description_detailed,
+        CAST(NULL AS VARCHAR) AS error FROM part""",
+    "enriched_records": ENRICHED,
+    "decoded_top3": """
+        WITH s AS (SELECT l_orderkey, l_suppkey % 5 AS id, max(l_extendedprice) AS score FROM lineitem GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, 'LABEL_' || id) AS rank FROM s)
+        SELECT l_orderkey, rank, r_name, score FROM r JOIN region ON r_regionkey = id WHERE rank <= 3""",
+    "find_command": f"""
+        WITH l AS (SELECT p_type, arg_max(p_name, p_partkey) AS p_name, arg_max(p_brand, p_partkey) AS p_brand FROM part GROUP BY p_type),
+        d0 AS (SELECT p_type AS k, p_type || ' ' || p_name || ' ' || p_brand AS text FROM l),
+        q0 AS (SELECT p_partkey AS k, p_name || ' ' || p_type AS text FROM part),
+        {_hashed('d', 'd0')}, {_hashed('q', 'q0')},
+        s AS (SELECT q.k AS p_partkey, d.k AS command, sum(q.w * d.w) AS score FROM q JOIN d USING (b) GROUP BY ALL)
+        SELECT p_partkey, command, round(score, 6) AS score FROM s
+        QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY round(score, 9) DESC, command) = 1""",
+    "json_array_read": "SELECT * FROM nation",
+    "suffix_dispatch": "SELECT region.*, f.format FROM region, (VALUES ('csv'), ('json'), ('parquet')) f(format)",
+    "text_forest_report": f"""
+        WITH d AS (SELECT doc_id, quality, row_number() OVER (ORDER BY {_h('doc_id')}, doc_id) - 1 AS rk, count(*) OVER () AS n
+          FROM documents JOIN labels USING (doc_id))
+        SELECT CAST(quality AS VARCHAR) AS label, count(*) AS support FROM d WHERE rk < ceil({_F} * n) GROUP BY quality""",
     "scored_batch": """
         WITH e AS (SELECT vec_id, label, unnest(range(len(embedding))) AS pos,
                           CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
@@ -397,5 +441,5 @@ ORACLES = {
     "csv_json_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "label_map_roundtrip": LABEL_DICT,
     "model_roundtrip": TFIDF_TRANSFORM,
-    "stream_scoring": TFIDF_TOPK,
+    "stream_scoring": f"SELECT t.* FROM ({TFIDF_TOPK}) t JOIN conversations c USING (conv_id, turn) WHERE {strip_sql('c.text')} <> '' AND lower({strip_sql('c.text')}) NOT IN ('exit', 'quit', 'q')",
 }

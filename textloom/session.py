@@ -1,4 +1,4 @@
-"""Session, shared-folder and size-check helpers."""
+"""Session and shared-folder helpers."""
 
 from __future__ import annotations
 
@@ -6,14 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound under which a derived (data-dependent) side may be broadcast.
-# Parameter tables built from Python lists are broadcast without a check:
-# their size is the length of the list.
-BROADCAST_MAX_ROWS = 2_000_000
-
+from pyspark.sql import SparkSession
 
 def local_session(cores: str | int = "*", partitions: int = 8, app: str = "textloom",
                   extra: dict | None = None) -> SparkSession:
@@ -43,8 +36,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the setting names a shared (HDFS/S3/...) folder and is used
-    as is. Only when the session names none -- local runs and tests -- a
-    scratch folder is set here.
+    as is. A local session that names none gets a scratch folder; on any
+    other master a missing setting is an error, since a folder of the driver
+    would not be seen by the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,27 +51,26 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="textloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder, in this application's part of it."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proves ``df`` holds at most ``max_rows`` rows (reads max_rows + 1 at most)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/textloom-{spark.sparkContext.applicationId}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven below the bound;
-    otherwise the plan keeps a shuffle join (AQE may still pick broadcast
-    from runtime statistics)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote under :func:`shared_path`."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 _SHIPPED: set[str] = set()
@@ -104,10 +97,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(app)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -36,11 +36,15 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], parent
 
     def iter(self):
-        """Descendant elements in document order."""
-        for ch in self.children:
-            if isinstance(ch, Node):
+        """Descendant elements in document order (a stack, so any depth will do)."""
+        todo = [iter(self.children)]
+        while todo:
+            ch = next(todo[-1], None)
+            if ch is None:
+                todo.pop()
+            elif isinstance(ch, Node):
                 yield ch
-                yield from ch.iter()
+                todo.append(iter(ch.children))
 
     def find(self, pred):
         return next((n for n in self.iter() if pred(n)), None)
@@ -49,15 +53,16 @@ class Node:
         return [n for n in self.iter() if n.tag == tag]
 
     def text(self) -> str:
-        out = []
-
-        def walk(n, top):
-            for ch in n.children:
-                if isinstance(ch, str):
-                    out.append(ch)
-                elif top or ch.tag not in OPAQUE:
-                    walk(ch, False)
-        walk(self, self.tag in OPAQUE)
+        """Text of the element, without that of opaque elements inside."""
+        out, todo, opaque_ok = [], [iter(self.children)], self.tag in OPAQUE
+        while todo:
+            ch = next(todo[-1], None)
+            if ch is None:
+                todo.pop()
+            elif isinstance(ch, str):
+                out.append(ch)
+            elif ch.tag not in OPAQUE or (opaque_ok and len(todo) == 1):
+                todo.append(iter(ch.children))
         return "".join(out)
 
     def next_siblings(self):
@@ -167,20 +172,29 @@ def extract_description(root: Node):
         if isinstance(sib, Node) and sib.tag == "pre":
             break
         if isinstance(sib, Node) and sib.tag == "p":
-            parts.append(sib.text().strip() + " ")
-    return "".join(parts).strip()
+            parts.append(sib.text().strip())
+    return " ".join(parts).strip()
+
+
+ERROR = T.StructField("error", T.StringType())
 
 
 # --- Spark jobs -----------------------------------------------------------
 
 def _job(pages: DataFrame, id_col: str, html: str, url: str | None, schema: T.StructType, per_page):
+    """``per_page`` makes a page's rows, without the last column ``error``. A page that
+    raises gives one row: its id, nulls, and the error."""
     cols = [id_col, html] + ([url] if url else [])
+    width = len(schema.fields)
 
     def run(batches):
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
-                rows.extend(per_page(*rec))
+                try:
+                    rows.extend((*r, None) for r in per_page(*rec))
+                except Exception as e:  # noqa: BLE001 - reported in the row
+                    rows.append((rec[0], *[None] * (width - 2), f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
     return pages.select(*cols).mapInPandas(run, schema)
@@ -188,11 +202,11 @@ def _job(pages: DataFrame, id_col: str, html: str, url: str | None, schema: T.St
 
 def table_rows(pages: DataFrame, id_col: str = "page_id", html: str = "html", url: str = "url",
                min_cells: int = 3, link_cell: int = 1, text_cell: int = 2) -> DataFrame:
-    """B1: ``(page_id, pos, command, description, url)`` from table rows."""
+    """B1: ``(page_id, pos, command, description, url, error)`` from table rows."""
     schema = T.StructType([pages.schema[id_col], T.StructField("pos", T.IntegerType()),
                            T.StructField("command", T.StringType()),
                            T.StructField("description", T.StringType()),
-                           T.StructField("url", T.StringType())])
+                           T.StructField("url", T.StringType()), ERROR])
 
     def per_page(pid, doc, page_url):
         rows = extract_table_rows(parse(doc), page_url, min_cells, link_cell, text_cell)
@@ -203,9 +217,9 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html: str = "html", ur
 
 def links(pages: DataFrame, id_col: str = "page_id", html: str = "html", url: str = "url"
           ) -> DataFrame:
-    """``(page_id, pos, href)`` with hrefs resolved against the page URL."""
+    """``(page_id, pos, href, error)`` with hrefs resolved against the page URL."""
     schema = T.StructType([pages.schema[id_col], T.StructField("pos", T.IntegerType()),
-                           T.StructField("href", T.StringType())])
+                           T.StructField("href", T.StringType()), ERROR])
 
     def per_page(pid, doc, page_url):
         return [(pid, i, h) for i, h in enumerate(extract_links(parse(doc), page_url))]
@@ -215,8 +229,8 @@ def links(pages: DataFrame, id_col: str = "page_id", html: str = "html", url: st
 
 def tag_text(pages: DataFrame, tag: str, default: str, id_col: str = "page_id",
              html: str = "html", out: str = "text") -> DataFrame:
-    """B3 shape: ``(page_id, text)`` of the first ``tag`` (else ``default``)."""
-    schema = T.StructType([pages.schema[id_col], T.StructField(out, T.StringType())])
+    """B3 shape: ``(page_id, text, error)`` of the first ``tag`` (else ``default``)."""
+    schema = T.StructType([pages.schema[id_col], T.StructField(out, T.StringType()), ERROR])
 
     def per_page(pid, doc):
         return [(pid, first_text(parse(doc), tag, default))]
@@ -227,7 +241,7 @@ def tag_text(pages: DataFrame, tag: str, default: str, id_col: str = "page_id",
 DETAILS_SCHEMA = [T.StructField("syntax", T.StringType()),
                   T.StructField("examples", T.ArrayType(T.StringType())),
                   T.StructField("description_detailed", T.StringType()),
-                  T.StructField("error", T.StringType())]
+                  ERROR]
 
 
 def page_details(pages: DataFrame, id_col: str = "page_id", html: str = "html",
@@ -237,12 +251,9 @@ def page_details(pages: DataFrame, id_col: str = "page_id", html: str = "html",
     schema = T.StructType([pages.schema[id_col]] + DETAILS_SCHEMA)
 
     def per_page(pid, doc):
-        try:
-            root = parse(doc)
-            return [(pid, first_text(root, "pre", default_syntax), extract_examples(root),
-                     extract_description(root), None)]
-        except Exception as e:  # noqa: BLE001 - per-page failure isolation
-            return [(pid, None, None, None, f"{type(e).__name__}: {e}")]
+        root = parse(doc)
+        return [(pid, first_text(root, "pre", default_syntax), extract_examples(root),
+                 extract_description(root))]
 
     return _job(pages, id_col, html, None, schema, per_page)
 

@@ -4,8 +4,9 @@ Queries arrive as a stream; each micro-batch is scored against static,
 fitted tables (TF-IDF vocabulary and document term counts) and its top-k
 rows are appended to a Parquet sink. Ranking windows are not allowed on
 streaming DataFrames, so scoring runs per batch in ``foreachBatch``, where
-the batch is an ordinary DataFrame. A batch whose scoring fails writes
-error rows instead of stopping the stream.
+the batch is an ordinary DataFrame. Queries that cannot be scored come back with an
+``error``; they go to the error sink, the others to the sink. A failure of
+the engine itself fails the batch, which Spark then runs again.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textloom.functions.text import not_blank
 
@@ -25,8 +25,8 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
     """Start the streaming job; returns the ``StreamingQuery``.
 
     ``score(batch_df)`` maps a static batch of queries to result rows, written
-    to ``sink/batch_id=<epoch>`` (idempotent per batch); a failing batch
-    writes an error row to ``error_sink`` when one is given.
+    to ``sink/batch_id=<epoch>`` (idempotent per batch). Rows with a non-null
+    ``error`` column, if the scorer has one, are written to ``error_sink`` instead.
     ``query_col``: optional blank / exit-word filter (C13) before scoring.
     """
     src = stream
@@ -36,27 +36,21 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
     def run(batch: DataFrame, epoch: int):
         # one folder per micro-batch, overwritten on retry: a batch re-run
         # after a failure replaces its rows instead of appending duplicates
-        try:
-            score(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
-        except Exception as e:  # noqa: BLE001 - one bad batch must not kill the job
-            if error_sink is None:
-                raise
-            (batch.sparkSession.createDataFrame(
-                [(int(epoch), f"{type(e).__name__}: {e}")], "epoch long, error string")
-             .write.mode("overwrite").parquet(f"{error_sink}/batch_id={epoch}"))
+        out = score(batch)
+        if "error" in out.columns and error_sink is not None:
+            out = out.persist()
+            (out.filter("error IS NOT NULL").write.mode("overwrite").parquet(f"{error_sink}/batch_id={epoch}"))
+            out.filter("error IS NULL").drop("error").write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
+            out.unpersist()
+        else:
+            out.write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 
 
-def file_stream(spark, folder: str, file_glob: str, schema) -> DataFrame:
+def file_stream(spark, folder: str, file_glob: str, schema, files_per_batch: int = 1000) -> DataFrame:
     """A Parquet file-source stream over ``folder`` limited to ``file_glob``."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", 1).parquet(folder))
-
-
-def with_literal(df: DataFrame, **cols) -> DataFrame:
-    for k, v in cols.items():
-        df = df.withColumn(k, F.lit(v))
-    return df
+            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))

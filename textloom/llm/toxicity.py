@@ -95,7 +95,7 @@ def compose() -> Machine:
 # Features of a document, from its matches.
 FEATURES = ("insult", "aimed insult", "negated insult", "reported insult", "repeated insult", "threat",
             "aimed threat", "negated threat", "strongest")
-DEFAULT_WEIGHTS = np.array([-4.0, 2.0, 0.5, -1.5, -0.7, 0.5, 1.0, 2.0, -1.0, 1.0])
+DEFAULT_WEIGHTS = np.array([-4.0, 2.5, 0.5, -1.5, -0.7, 0.5, 1.0, 2.0, -1.0, 1.0])
 
 
 def _runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -16,9 +16,8 @@ value or context is one row per task.
 
 Defined results: a null text is empty and has no spans; a null doc_id is kept;
 repeated rows each get the spans; an empty table gives an empty table; other
-columns are ignored. Positions are code points, end exclusive. A text's matches
-are located left to right, so k matches in a text of n characters cost k * n
-byte steps at most.
+columns are ignored. Positions are code points, end exclusive. In a text, c candidate tokens
+are compared with b base spans in c * b steps; all else is linear.
 """
 
 from __future__ import annotations
@@ -69,36 +68,62 @@ def _valid(kind: str, v: Column) -> Column:
             "card": F.when(n.between(16, 19), luhn(_digits(v))).otherwise(False)}[kind]
 
 
-def _located(text: Column, found: Column) -> Column:
-    """(start, end, value) of each match, in the order of the matches. The first occurrence at or
-    after the last match's end is the match itself: an earlier one would have matched before it."""
-    empty = F.array().cast("array<int>")
-
-    def step(z: Column, m: Column) -> Column:
-        at = F.call_function("locate", m, text, z["at"])
-        return F.struct((at + F.length(m)).alias("at"), F.concat(z["out"], F.array(at - 1)).alias("out"))
-
-    starts = F.aggregate(found, F.struct(F.lit(1).alias("at"), empty.alias("out")), step, lambda z: z["out"])
-    return F.transform(F.arrays_zip(found.alias("v"), starts.alias("s")), lambda x: F.struct(
-        x["s"].alias("start"), (x["s"] + F.length(x["v"])).alias("end"), x["v"].alias("value")))
-
-
-def _base(text: Column, kind: str) -> Column:
-    sign = {"email": "@", "phone": "+"}.get(kind)
-    may = text.contains(sign) if sign else text.rlike("[0-9]")
-    hits = _located(text, F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)))
-    hits = F.transform(F.filter(hits, lambda x: _valid(kind, x["value"])), lambda x: F.struct(
-        F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
-    return F.when(may, hits).otherwise(F.array()).cast(_SPAN)
-
-
-def _candidates(text: Column) -> Column:
+RUN = 256                  # lengths summed at once
+
+
+def _scanned(df: DataFrame, patterns: dict[str, tuple[Column, str]]) -> DataFrame:
+    """For each name, from (condition, pattern): ``m_`` matches, ``g_`` gaps before, between and after
+    them, ``e_`` their end positions. Positions are running sums of lengths, summed in runs of RUN,
+    so a text with many matches costs time in proportion to them. Every step is a column that the
+    next one uses more than once, so that it is computed once."""
+    t, ks = F.col("__t"), list(patterns)
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    add = lambda z, x: z + x
+    df = df.withColumns({f"m_{k}": F.when(c, F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none("string"))
+                         for k, (c, p) in patterns.items()})
+    df = df.withColumns({f"g_{k}": F.when(F.size(f"m_{k}") > 0, F.split(t, p, -1)).otherwise(none("string"))
+                         for k, (_, p) in patterns.items()})
+    df = df.withColumns({f"d_{k}": F.zip_with(F.slice(f"g_{k}", 1, F.size(f"m_{k}")), f"m_{k}",
+                                              lambda g, m: F.length(g) + F.length(m)) for k in ks})
+    run = lambda d: F.transform(F.sequence(F.lit(0), F.floor((F.size(d) - 1) / RUN).cast("int")),
+                                lambda c: F.slice(d, c * RUN + 1, RUN))
+    df = df.withColumns({f"r_{k}": F.when(F.size(f"d_{k}") > 0, run(F.col(f"d_{k}"))).otherwise(none("array<int>")) for k in ks})
+    df = df.withColumns({f"s_{k}": F.transform(f"r_{k}", lambda r: F.aggregate(r, F.lit(0), add)) for k in ks})
+    before = lambda s: F.transform(F.sequence(F.lit(0), F.size(s) - 1),
+                                   lambda c: F.aggregate(F.slice(s, 1, c), F.lit(0), add))
+    df = df.withColumns({f"o_{k}": F.when(F.size(f"s_{k}") > 0, before(F.col(f"s_{k}"))).otherwise(none("int")) for k in ks})
+    return df.withColumns({f"e_{k}": F.flatten(F.zip_with(f"r_{k}", f"o_{k}", lambda r, o: F.transform(
+        r, lambda _, i: o + F.aggregate(F.slice(r, 1, i + 1), F.lit(0), add)))) for k in ks})
+
+
+def _hits(k: str) -> Column:
+    """(start, end, value, left and right context) of the matches of ``k``. Contexts are cut from the
+    gaps and matches around."""
+    m, g = F.col(f"m_{k}"), F.col(f"g_{k}")
+    text = lambda a, i: F.coalesce(F.get(a, i), F.lit(""))
+    left = lambda i: F.right(F.concat(F.right(text(m, i - 2), F.lit(CONTEXT)), F.right(text(g, i - 1), F.lit(CONTEXT)),
+                                      F.right(text(m, i - 1), F.lit(CONTEXT)), F.right(text(g, i), F.lit(CONTEXT))), F.lit(CONTEXT))
+    right = lambda i: F.left(F.concat(F.left(text(g, i + 1), F.lit(CONTEXT)), F.left(text(m, i + 1), F.lit(CONTEXT)),
+                                      F.left(text(g, i + 2), F.lit(CONTEXT))), F.lit(CONTEXT))
+    return F.transform(F.arrays_zip(m.alias("v"), F.col(f"e_{k}").alias("e")), lambda x, i: F.struct(
+        (x["e"] - F.length(x["v"])).alias("start"), x["e"].alias("end"), x["v"].alias("value"),
+        left(i).alias("left"), right(i).alias("right")))
+
+
+_WIDE = "array<struct<kind:string,start:int,end:int,value:string,left:string,right:string>>"
+
+
+def _base(kind: str) -> Column:
+    return F.transform(F.filter(_hits(kind), lambda x: _valid(kind, x["value"])), lambda x: F.struct(
+        F.lit(kind).alias("kind"), x["start"], x["end"], x["value"], x["left"], x["right"])).cast(_WIDE)
+
+
+def _candidates() -> Column:
     """Identifier-like tokens (outer punctuation off) with the kind their shape suggests."""
-    tokens = _located(text, F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
-    lead = lambda v: F.length(v) - F.length(F.regexp_replace(v, r"^[(\[{<\"'=:]+", ""))
-    core = lambda v: F.regexp_replace(F.regexp_replace(v, r"^[(\[{<\"'=:]+", ""), r"[)\]}>\"',.;:!?]+$", "")
-    cores = F.transform(tokens, lambda x: F.struct(
-        (x["start"] + lead(x["value"])).alias("start"), core(x["value"]).alias("value")))
+    tail = lambda v: F.regexp_replace(v, r"^[(\[{<\"'=:]+", "")
+    core = lambda v: F.regexp_replace(tail(v), r"[)\]}>\"',.;:!?]+$", "")
+    cores = F.transform(_hits("token"), lambda x: F.struct(
+        (x["end"] - F.length(tail(x["value"]))).alias("start"), core(x["value"]).alias("value"), x["left"], x["right"]))
 
     def kind(v: Column) -> Column:
         n = F.length(_digits(v))
@@ -108,21 +133,19 @@ def _candidates(text: Column) -> Column:
                 .when(v.rlike(r"^[(]?[0-9][0-9().-]*[0-9]$") & n.between(7, 11), "phone"))
 
     spans = F.transform(cores, lambda x: F.struct(
-        kind(x["value"]).alias("kind"), x["start"].alias("start"),
-        (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value")))
-    return F.when(text.rlike("[0-9@]"), F.filter(spans, lambda s: s["kind"].isNotNull())).otherwise(F.array()).cast(_SPAN)
+        kind(x["value"]).alias("kind"), x["start"], (x["start"] + F.length(x["value"])).alias("end"), x["value"],
+        x["left"], x["right"]))
+    return F.filter(spans, lambda s: s["kind"].isNotNull()).cast(_WIDE)
 
 
 def _word(w: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_replace(w, r"^[\p{Punct}]+|[\p{Punct}]+$", "")), "[0-9]+", "0")
 
 
-def _patterns(text: Column, span: Column) -> Column:
+def _patterns(span: Column) -> Column:
     """The lexical patterns around a span."""
-    s, e = span["start"], span["end"]
-    before = F.split(F.btrim(F.substring(text, F.greatest(s - CONTEXT, F.lit(0)) + 1, F.least(s, F.lit(CONTEXT))),
-                             F.lit(" \t\n\x0b\x0c\r")), WS + "+")
-    after = F.split(F.btrim(F.substring(text, e + 1, F.lit(CONTEXT)), F.lit(" \t\n\x0b\x0c\r")), WS + "+")
+    cut = lambda c: F.split(F.btrim(c, F.lit(" \t\n\x0b\x0c\r")), WS + "+")
+    before, after = cut(span["left"]), cut(span["right"])
     one = _word(F.element_at(before, -1))
     two = F.when(F.size(before) > 1, _word(F.get(before, F.size(before) - 2))).otherwise("")
     right = _word(F.get(after, F.lit(0)))
@@ -137,17 +160,18 @@ def found_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Per document: its key, base spans, and instances (base spans and candidates) with patterns."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.alias("__t"))
-    some = F.col("__t").rlike("[0-9@]")
-    base = F.when(some, F.concat(*[_base(F.col("__t"), k) for k in KINDS])).otherwise(F.array()).cast(_SPAN)
-    df = df.withColumn("base", base).withColumn("__c", F.when(some, _candidates(F.col("__t"))).otherwise(
-        F.array()).cast(_SPAN))
-    free = F.filter("__c", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    df = df.withColumn("__f", free)
+    may = {"email": F.col("__t").contains("@"), "phone": F.col("__t").contains("+"), "ip": F.col("__t").rlike("[0-9]"),
+           "card": F.col("__t").rlike("[0-9]"), "token": F.col("__t").rlike("[0-9@]")}
+    df = _scanned(df, {k: (c, PATTERNS.get(k, TOKEN)) for k, c in may.items()})
+    df = df.withColumn("__b", F.concat(*[_base(k) for k in KINDS])).withColumn("__c", _candidates())
+    free = F.filter("__c", lambda c: ~F.exists("__b", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    df = df.withColumn("__f", F.when(F.size("__b") > 0, free).otherwise(F.col("__c")))
+    span = lambda x: F.struct(x["kind"], x["start"], x["end"], x["value"])
     tag = lambda known: lambda x: F.struct(
         x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-        F.lower(x["value"]).alias("value"), F.lit(known).alias("seed"), _patterns(F.col("__t"), x).alias("patterns"))
-    return df.select("doc_id", "text_hash", "base", F.concat(
-        F.transform("base", tag(True)), F.transform("__f", tag(False))).alias("instances"))
+        F.lower(x["value"]).alias("value"), F.lit(known).alias("seed"), _patterns(x).alias("patterns"))
+    return df.select("doc_id", "text_hash", F.transform("__b", span).cast(_SPAN).alias("base"), F.concat(
+        F.transform("__b", tag(True)), F.transform("__f", tag(False))).alias("instances"))
 
 
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:

@@ -284,7 +284,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", fit_toxic: int =
     sample = _sample(docs, labels, text, fit_toxic, fit_clean)
     model["key"], model["weight"] = _lexicon(sample)
     got = _job(sample, model, "toxic").toPandas()     # FEATURES numbers per sampled document
-    x, y = np.array(got["features"].tolist()).reshape(len(got), -1), got["toxic"].to_numpy()
+    x = np.array(got["features"].tolist(), float).reshape(len(got), len(FEATURES))
+    y = got["toxic"].to_numpy()
     if 0 < y.sum() < len(y):
         model["logit"] = _logistic(x, y)
     return model

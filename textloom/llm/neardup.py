@@ -10,12 +10,12 @@
    compared through each region's leader, the class that agrees with most others
    over all trees, so a region yields candidates in proportion to its size.
 4. Candidates that sizes allow are confirmed on full shingle sets.
-5. Where a region still holds several components, its classes outside the
-   largest one are compared with all classes of the others, a few per round,
-   until none is left; links found join components.
+5. Classes of regions that still hold several components are matched across
+   components by an exact prefix filter: similar sets share one of their rarest
+   items. Links found join components.
 
 Two texts at similarity J share no region with probability (1 - J^4)^20: 4e-7
-at 0.85 and 3e-5 at 0.8. Nothing else can lose a link.
+at 0.85 and 3e-5 at 0.8. Nothing else can lose a link between components of a region.
 
 Defined results: null and blank texts have an empty set, link with nothing and
 are kept; a null doc_id takes part, and is the component only if no other id is
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import hashed_texts, mix, saved, shingle_hashes
@@ -40,7 +40,6 @@ WIDTH = 5
 TREES, DEPTH = 20, 4
 CROWD = 64
 DEEPEST = 5                # groups in the longest prefix
-LEADERS = 32               # classes per region and round in step 5
 SIMILAR_PCT = 80
 
 with np.errstate(over="ignore"):
@@ -140,18 +139,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
     return sides.select(*names, "x", "y").mapInArrow(job, pairs.schema).distinct()
 
 
+def _canonical(x: str, y: str, similar_pct: int, *, roots: bool = False) -> tuple[Column, list[Column]]:
+    """Whether sizes allow the similarity of two sides, and their unordered pair."""
+    fits = (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * similar_pct)
+    low = F.col(f"{x}.fp") < F.col(f"{y}.fp")
+    out = [F.least(f"{x}.fp", f"{y}.fp").alias("a"), F.greatest(f"{x}.fp", f"{y}.fp").alias("b")]
+    if roots:
+        out += [F.when(low, F.col(f"{x}.root")).otherwise(F.col(f"{y}.root")).alias("ra"),
+                F.when(low, F.col(f"{y}.root")).otherwise(F.col(f"{x}.root")).alias("rb")]
+    return fits, out
+
+
 def _paired(members: DataFrame, leaders: DataFrame, similar_pct: int) -> DataFrame:
     """Unordered pairs of a leader and the members of its region whose sizes allow the similarity."""
     m, k = members.alias("m"), leaders.alias("k")
+    fits, out = _canonical("m", "k", similar_pct)
     pairs = m.join(k, F.col("m.region") == F.col("k.region")).filter(F.col("m.fp") != F.col("k.fp"))
-    fits = (F.least("m.n", "k.n") * 100 >= F.greatest("m.n", "k.n") * similar_pct)
-    out = [F.least("m.fp", "k.fp").alias("a"), F.greatest("m.fp", "k.fp").alias("b")]
-    if "root" in members.columns:
-        fits = fits & (F.col("m.root") != F.col("k.root"))
-        out += [F.least("m.root", "k.root").alias("ra"), F.greatest("m.root", "k.root").alias("rb")]
     return pairs.filter(fits).select(*out).distinct()
 
 
+def _prefix_pairs(contested: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
+    """All pairs of classes from different components that can be similar: two such sets share an
+    item among the n - ceil(J n) + 1 rarest of each. In an item's group, classes outside the
+    group's largest component meet all others; those inside it are linked already."""
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("items")]
+            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([b.column("fp").take(pa.array(at)), pa.array(np.concatenate(found))],
+                                                 ["fp", "item"])
+
+    mine = sets.join(contested.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    rows = saved(mine.mapInArrow(items, "fp binary, item long"), "neardup-items")
+    often = rows.groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+    rank = F.row_number().over(Window.partitionBy("fp").orderBy("c", "item"))
+    prefix = F.col("n") - F.ceil(F.col("n") * similar_pct / 100) + 1
+    ranked = (rows.join(often, "item").withColumn("rank", rank).join(contested, "fp")
+              .filter((F.col("rank") <= prefix) & (F.col("c") > 1)).select("item", "fp", "n", "root"))
+    ranked = saved(ranked, "neardup-prefixes")
+    most = (ranked.groupBy("item", "root").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("item").agg(F.max_by("root", F.struct("k", "root")).alias("most")))
+    rest = ranked.join(most, "item").filter("root <> most")
+    x, y = rest.alias("x"), ranked.alias("y")
+    fits, out = _canonical("x", "y", similar_pct, roots=True)
+    return x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.root") != F.col("y.root")) & fits).select(*out).distinct()
+
+
 def forest_regions(classes: DataFrame) -> DataFrame:
     """(fp, n, region) of every class in a region with others, at each depth."""
     level = classes.select("fp", "n", "sig", F.posexplode("sig").alias("tree", "group"))
@@ -188,28 +222,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
     links = saved(confirmed(pairs, sets, similar_pct), "neardup-links")
     roots = components(links).withColumnRenamed("node", "fp")
     placed = saved(members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "neardup-placed")
-    used = None
-    while True:
-        sized = placed.groupBy("region", "root").agg(F.count(F.lit(1)).alias("c"))
-        most = sized.groupBy("region").agg(F.max_by("root", F.struct("c", "root")).alias("most"),
-                                           F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-        rest = placed.join(most, "region").filter("root <> most")
-        if used is not None:
-            rest = rest.join(used, ["region", "fp"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.col("popular").desc(), "fp"))
-        turn = saved(rest.withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
-                     .select("region", "fp", "n", "root"), "neardup-turn")
-        if turn.isEmpty():
-            break
-        used = turn.select("region", "fp") if used is None else used.union(turn.select("region", "fp"))
-        more = _paired(placed, turn, similar_pct).join(pairs, ["a", "b"], "left_anti")
+    open_ = placed.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    contested = saved(placed.join(open_.select("region"), "region", "left_semi").select("fp", "n", "root").distinct(),
+                      "neardup-contested")
+    roots = placed.select("fp", "root").distinct()
+    if not contested.isEmpty():
+        more = _prefix_pairs(contested, sets, similar_pct).join(pairs, ["a", "b"], "left_anti")
         new = saved(confirmed(more, sets, similar_pct).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
                     "neardup-links")
         if not new.isEmpty():
             moved = components(new).select(F.col("node").alias("root"), F.col("root").alias("to"))
-            placed = saved(placed.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"),
-                           "neardup-placed")
-    roots = placed.select("fp", "root").distinct()
+            roots = roots.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
     named = classes.select("fp", "id").join(roots, "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))

@@ -70,7 +70,8 @@ def test_stages_keep_clashing_columns(odd, bench):
     for out in (quality.accepted(odd), neardup.deduplicated(odd), decontam.clean(odd, bench), mixing.mixed(odd)):
         assert out.columns == odd.columns
         assert {r["hits"] for r in out.select("hits").collect()} == {"h"}
-    assert _ids(quality.accepted(odd)) == sorted([1, 1, 2, 6, None], key=str)
+    # a text said twice is one repeated window after the other
+    assert _ids(quality.accepted(odd)) == sorted([6, None], key=str)
     assert _ids(neardup.deduplicated(odd)) == sorted([1, 3, 4, 5, 6, 7, 8, 10, None], key=str)
     assert _ids(decontam.clean(odd, bench)) == sorted([3, 4, 5, 6, 7, 10], key=str)
 

@@ -178,7 +178,9 @@ def mixed(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars")
     df = _placed(_keyed(df, shards, _size(F.col("text"))), cells)
     df = df.withColumn("__pass", F.explode(F.array(*[F.lit(i) for i in range(1, MAX_EPOCHS + 1)])))
     mine = F.filter("__parts", lambda p: p["times"] >= F.col("__pass"))
-    df = df.withColumn("__mine", mine).filter(F.size("__mine") > 0)
+    # the row number keeps the filter above the projections, whose expressions it would repeat
+    df = df.withColumn("__mine", mine).withColumn("__n", F.monotonically_increasing_id())
+    df = df.filter((F.size("__mine") > 0) & (F.col("__n") >= 0))
     df = df.withColumn("__w", words(F.col("text")))
     some = F.array_join(F.flatten(F.transform(
         "__mine", lambda p: F.slice(F.col("__w"), (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))), " ")

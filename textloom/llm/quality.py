@@ -139,7 +139,10 @@ def _judged(docs: DataFrame, text: str, max_lost_pct: int) -> DataFrame:
 
 def accepted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The kept documents with their cleaned text (and its length), in the input's columns."""
-    out = _judged(docs, text, MAX_LOST_PCT).filter("kept")
+    # the row number keeps the filter above the projections: pushed below, it would repeat their
+    # expressions, and inside lambdas once per element
+    out = _judged(docs, text, MAX_LOST_PCT).withColumn("__n", F.monotonically_increasing_id())
+    out = out.filter(F.col("kept") & (F.col("__n") >= 0))
     changed = {text: F.col("clean_text")}
     if n_chars in docs.columns:
         changed[n_chars] = F.length("clean_text").cast(docs.schema[n_chars].dataType)

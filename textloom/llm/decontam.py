@@ -8,10 +8,13 @@
 3. Each passage of each document is folded in and compared by cosine with all
    passages of the benchmark, in blocks of ``BLOCK`` (a stated query set).
 4. A passage above ``MIN_COSINE`` that also covers ``MIN_COVER`` of the benchmark
-   passage places an item in the document. The longest common subsequence with
-   the words there decides: ``COPIED`` of the item's
-   words, or ``PARAPHRASED`` of them and the answer (its last sentence, or the
-   column ``answer``) as well.
+   passage places an item in the document. So do ``ANCHORS`` of an item's rarest
+   words near each other: of n words of which k must be found in order, at least
+   ``ANCHORS`` of any n - k + ``ANCHORS`` are, so no place that step 5 would take is
+   missed, whatever the size of the benchmark.
+5. The longest common subsequence with the words there decides: ``COPIED`` of the
+   item's words, or ``PARAPHRASED`` of them and the answer (its last sentence, or
+   the column ``answer``) as well.
 
 Items of fewer than ``SHORT`` words say too little for a cosine of whole
 passages or a subsequence; they are looked for word by word in step 3's pass.
@@ -43,6 +46,7 @@ BLOCK = 20_000
 MIN_COSINE = 0.5
 MIN_COVER = 0.5            # of the benchmark passage, along its own direction
 COPIED, PARAPHRASED = 0.8, 0.6
+ANCHORS = 2                # rarest words of an item that place it
 SEED = 7
 HIT = "array<struct<item_id:long,lcs:double,start:long,end:long>>"
 
@@ -178,8 +182,53 @@ def _answer(text: str) -> str:
     return parts[-1] if parts else ""
 
 
-def _block(rows: list, emb: dict) -> dict:
-    """The items of a block: words, answers, passages in the latent space."""
+def _anchors(hashes: list[np.ndarray], long: list[int], idf: np.ndarray) -> dict:
+    """The rarest words of the items, enough that ``ANCHORS`` of them are in every place that meets the
+    LCS rule: sorted distinct words, the postings of each (from ``first``), and the item and offset there."""
+    word, item, offset = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in long:
+        h = hashes[i]
+        need = int(np.ceil(PARAPHRASED * len(h) - 1e-9))
+        rare = np.argsort(-idf[_bucket(h)], kind="stable")[:len(h) - need + ANCHORS]
+        word.append(h[rare])
+        item.append(np.full(len(rare), i))
+        offset.append(rare)
+    word, item, offset = np.concatenate(word), np.concatenate(item), np.concatenate(offset)
+    order = np.argsort(word, kind="stable")
+    words, first = np.unique(word[order], return_index=True)
+    return {"words": words, "first": np.r_[first, len(word)], "item": item[order], "offset": offset[order]}
+
+
+def _places(block: dict, h: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, item, guess) of each item with ``ANCHORS`` anchors in one window of a text; one guess a step."""
+    anchors = block["anchors"]
+    if not len(anchors["words"]) or not len(h):
+        return
+    slot = np.minimum(np.searchsorted(anchors["words"], h), len(anchors["words"]) - 1)
+    at = np.flatnonzero(anchors["words"][slot] == h)
+    begin, size = anchors["first"][slot[at]], anchors["first"][slot[at] + 1] - anchors["first"][slot[at]]
+    posting = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    at = np.repeat(at, size)
+    item, offset = anchors["item"][posting], anchors["offset"][posting]
+    text = np.searchsorted(offs, at, "right") - 1
+    place, inv = np.unique(item * len(h) + at, return_inverse=True)     # a word met by two offsets counts once
+    who, where = place // len(h), place % len(h)
+    owner = np.searchsorted(offs, where, "right") - 1
+    span = block["n"][who] + block["n"][who] // 4 + 2 * STEP
+    far = ANCHORS - 1
+    near = np.zeros(len(place), bool)
+    if len(place) > far:
+        run = ((who[far:] == who[:-far]) & (owner[far:] == owner[:-far]) & (where[far:] - where[:-far] < span[far:]))
+        for j in range(ANCHORS):
+            near[j:len(near) - far + j] |= run
+    some = near[inv]
+    text, item, guess = text[some], item[some], at[some] - offs[text[some]] - offset[some]
+    key = np.unique(np.stack([text, item, guess // STEP], 1), axis=0, return_index=True)[1]
+    yield from zip(text[key].tolist(), item[key].tolist(), guess[key].tolist(), strict=True)
+
+
+def _block(rows: list, emb: dict, idf: np.ndarray) -> dict:
+    """The items of a block: words, answers, passages in the latent space, anchors."""
     texts = [r["text"] for r in rows]
     hashes = []
     for _, _, h, offs in hashed_texts(pa.array(texts, pa.string())):
@@ -194,7 +243,8 @@ def _block(rows: list, emb: dict) -> dict:
     size = np.linalg.norm(vec, axis=1)
     some = size > 0
     return {"ids": [r["item_id"] for r in rows], "words": hashes, "answers": answers,
-            "masks": [_masks(h.tolist()) for h in hashes],
+            "masks": [_masks(h.tolist()) for h in hashes], "anchors": _anchors(hashes, long, idf),
+            "n": np.array([len(h) for h in hashes], np.int64),
             "vec": vec[some], "size": size[some],
             "at": (start - offs[owner])[some] if len(start) else start,
             "item": np.array(long, np.int64)[owner[some]] if len(start) else start,
@@ -229,18 +279,23 @@ def _search(block: dict, emb: dict, h: np.ndarray, offs: np.ndarray) -> dict[tup
     vec, starts, owner = _embed(h, offs, emb["slot"], emb["rows"])
     size = np.linalg.norm(vec, axis=1)
     tried: set[tuple[int, int, int]] = set()
+
+    def attempt(text: int, i: int, guess: int) -> None:
+        key = (text, i, guess // STEP)
+        if key not in tried:
+            tried.add(key)
+            note(text, i, _judge(block, i, h[offs[text]:offs[text + 1]], guess))
+
     for a in range(0, len(vec), 4096):
         if not len(block["vec"]):
             break
         dot = vec[a:a + 4096] @ block["vec"].T
         bar = np.maximum(MIN_COSINE * size[a:a + 4096, None], MIN_COVER * block["size"]) * block["size"]
         for p, c in zip(*np.nonzero(dot >= np.maximum(bar, 1e-9)), strict=True):
-            text, i = int(owner[a + p]), int(block["item"][c])
-            guess = int(starts[a + p] - offs[text] - block["at"][c])
-            key = (text, i, guess // STEP)
-            if key not in tried:
-                tried.add(key)
-                note(text, i, _judge(block, i, h[offs[text]:offs[text + 1]], guess))
+            text = int(owner[a + p])
+            attempt(text, int(block["item"][c]), int(starts[a + p] - offs[text] - block["at"][c]))
+    for text, i, guess in _places(block, h, offs):
+        attempt(text, i, guess)
     for i in block["short"]:
         item = block["words"][i]
         n = len(item)
@@ -282,7 +337,7 @@ def contamination(docs: DataFrame, bench: DataFrame, text: str = "text") -> Data
     out = packed(docs, text=F.col(f"`{text}`"), hits=F.array().cast(HIT))
     names, schema = out.columns, T.StructType(out.schema.fields)
     for k in range(blocks):
-        block = _block(numbered.filter(F.col("block") == k).collect(), emb)     # about BLOCK passages
+        block = _block(numbered.filter(F.col("block") == k).collect(), emb, idf)     # about BLOCK passages
         share = spark.sparkContext.broadcast((emb, block))
         out = out.mapInArrow(_job(share, names.index("text"), names.index("hits")), schema)
     return out

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam
+from textloom.llm import decontam, warc
 from textloom.llm.common import read
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -41,3 +41,20 @@ def test_decontamination_of_a_large_benchmark(spark):
     found = {(r.doc_id, r.item) for r in hits.collect()}
     missed = [k for k, doc in home.items() if (doc, k) not in found]
     assert not missed, f"{len(missed)} of {len(home)} items are not found in the document they were cut from"
+
+
+RECORDS = "record_id long, type string, url string, time long, headers map<string,string>, digest string, payload string"
+
+
+def test_records_with_null_and_repeated_ids(spark):
+    rows = [(None, "response", "http://a.org/", 1, {"ETag": "x"}, None, "one"),
+            (None, "response", "http://b.org/", 2, {"ETag": "y"}, None, "two"),
+            (None, "revisit", "https://www.a.org", 5, {"etag": "x"}, None, None),
+            (7, "response", "http://c.org/", 1, {"ETag": "p"}, None, "three"),
+            (7, "response", "http://d.org/", 1, {"ETag": "q"}, None, "four"),
+            (7, "revisit", "http://d.org/", 3, {"etag": "q"}, None, None),
+            (7, "revisit", "http://d.org/", 3, {"etag": "q"}, None, None)]
+    got = warc.resolve(spark.createDataFrame(rows, RECORDS))
+    assert sorted((r.key, r.time, r.status, r.payload) for r in got.collect()) == [
+        ("a.org", 1, "full", "one"), ("a.org", 5, "resolved", "one"), ("b.org", 2, "full", "two"),
+        ("c.org", 1, "full", "three"), ("d.org", 1, "full", "four"), ("d.org", 3, "resolved", "four")]

@@ -49,6 +49,12 @@ def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     return df.select(*[changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in columns])
 
 
+def row_key(*cols: Column) -> Column:
+    """96 bits of the values (nulls too): rows equal in all of them share it, whatever their ids are."""
+    parts = [x for c in cols for x in (c, c.isNull())]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.hash(*parts).alias("b"))
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null and blank texts give an empty array."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))

@@ -9,13 +9,15 @@ headers that a 304 may update replace those of the response.
 Records are looked at in two levels: inside (URL, time slice) and, by each
 slice's last response, across the slices of a URL. Slices follow the number of
 records, so a URL with a third of all records is many small groups, and only
-ids, times and validators are shuffled; payloads meet by record id at the end.
+ids, times and validators are shuffled; payloads meet at the end by ``uid``, a hash
+of all columns, so records need no id of their own.
 
 Defined results: a null or unparsable URL is its own text and matches equal
 text only, a null URL matches nothing; a null time sorts first; of responses at
-the same time the larger record id is later, and a response is not earlier than
-a revisit of the same time; repeated rows with one id are one record; null
-headers are an empty map; an empty table gives an empty table.
+the same time the larger record id is later (null the least, then the larger uid),
+and a response is not earlier than a revisit of the same time; rows equal in all
+columns are one record, rows that only share an id, null ids too, are records of
+their own; null headers are an empty map; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import saved
+from textloom.llm.common import row_key, saved
 
 RECORDS_PER_SLICE = 2_000
 # Headers (lower case) that a not-modified answer may update.
@@ -62,26 +64,26 @@ def _agree(a: str, b: str) -> Column:
 
 
 def latest_responses(records: DataFrame) -> DataFrame:
-    """(record_id, base) of each revisit: the latest earlier response of its URL (null: none).
-    ``records``: record_id, type, key, time, check (validators)."""
+    """(uid, base) of each revisit: the latest earlier response of its URL (null: none).
+    ``records``: uid, record_id, type, key, time, check (validators)."""
     span = records.agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("lo"), F.max("time").alias("hi")).first()
     lo, hi = span["lo"] or 0, span["hi"] or 0
     width = max(1, (hi - lo + 1) * RECORDS_PER_SLICE // max(span["n"], 1))
     # revisits come before responses of the same time: a response must be earlier
     response = F.col("type") == "response"
-    r = (records.filter("key IS NOT NULL").dropDuplicates(["record_id"])
+    r = (records.filter("key IS NOT NULL").dropDuplicates(["uid"])
          .withColumn("slice", F.coalesce(F.floor((F.col("time") - lo) / width), F.lit(-1)).cast("long"))
          .withColumn("late", response.cast("int"))
-         .withColumn("own", F.when(response, F.struct("record_id", "check"))))
-    order = [F.col("time").asc_nulls_first(), "late", "record_id"]
+         .withColumn("own", F.when(response, F.struct("record_id", "uid", "check"))))
+    order = [F.col("time").asc_nulls_first(), "late", "record_id", "uid"]
     inside = Window.partitionBy("key", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("near", F.last("own", ignorenulls=True).over(inside))
     ends = r.groupBy("key", "slice").agg(F.max_by("own", F.when(response, F.struct(
-        F.coalesce("time", F.lit(-(1 << 62))), "record_id"))).alias("end"))
+        F.coalesce("time", F.lit(-(1 << 62))), "record_id", "uid"))).alias("end"))
     across = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("far", F.last("end", ignorenulls=True).over(across)).select("key", "slice", "far")
     found = r.filter(~response).join(ends, ["key", "slice"])
-    return found.select("record_id", F.coalesce("near", "far").alias("base"), "check")
+    return found.select("uid", F.coalesce("near", "far").alias("base"), "check")
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -89,20 +91,23 @@ def resolve(records: DataFrame) -> DataFrame:
     resolved, mismatch or missing), base_id, headers and payload after resolution.
 
     ``type`` is response or revisit, ``time`` a long, ``headers`` a map."""
-    rec = records.select(*RECORD).withColumn("headers", _lower_keys(F.col("headers"))).withColumn("key", canonical_url(F.col("url")))
+    entries = F.array_sort(F.map_entries("headers"))
+    uid = row_key(*[entries if c == "headers" else F.col(c) for c in RECORD])
+    rec = records.select(*RECORD, uid.alias("uid")).withColumn("headers", _lower_keys(F.col("headers"))) \
+        .withColumn("key", canonical_url(F.col("url")))
     check = F.struct(F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"),
                      F.col("digest").alias("digest"))
-    slim = saved(rec.select("record_id", "type", "key", F.col("time").cast("long").alias("time"), check.alias("check")), "warc-slim")
+    slim = saved(rec.select("uid", "record_id", "type", "key", F.col("time").cast("long").alias("time"), check.alias("check")), "warc-slim")
     base = latest_responses(slim)
     ok = F.col("base").isNotNull() & _agree("check", "base.check")
-    base = base.select("record_id", F.col("base.record_id").alias("base_id"),
+    base = base.select("uid", F.col("base.uid").alias("base_uid"), F.col("base.record_id").alias("base_id"),
                        F.when(F.col("base").isNull(), "missing").when(ok, "resolved").otherwise("mismatch").alias("found"))
     links = saved(base, "warc-links")
     got = (links.filter("found = 'resolved'").join(
-        rec.filter("type = 'response'").dropDuplicates(["record_id"]).select(
-            F.col("record_id").alias("base_id"), F.col("headers").alias("base_headers"), F.col("payload").alias("base_payload")),
-        "base_id").select("record_id", "base_headers", "base_payload"))
-    out = rec.dropDuplicates(["record_id"]).join(links, "record_id", "left").join(got, "record_id", "left")
+        rec.filter("type = 'response'").dropDuplicates(["uid"]).select(
+            F.col("uid").alias("base_uid"), F.col("headers").alias("base_headers"), F.col("payload").alias("base_payload")),
+        "base_uid").select("uid", "base_headers", "base_payload"))
+    out = rec.dropDuplicates(["uid"]).join(links, "uid", "left").join(got, "uid", "left")
     resolved = F.col("found") == "resolved"
     updates = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("base_headers", lambda k, _: ~F.map_contains_key(updates, k)), updates)

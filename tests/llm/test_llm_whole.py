@@ -58,3 +58,28 @@ def test_records_with_null_and_repeated_ids(spark):
     assert sorted((r.key, r.time, r.status, r.payload) for r in got.collect()) == [
         ("a.org", 1, "full", "one"), ("a.org", 5, "resolved", "one"), ("b.org", 2, "full", "two"),
         ("c.org", 1, "full", "three"), ("d.org", 1, "full", "four"), ("d.org", 3, "resolved", "four")]
+
+
+def test_revisits_of_variants_over_many_slices(spark, monkeypatch):
+    """Bases that are not the record before: captures far apart, URL variants, one URL with a third of the records."""
+    monkeypatch.setattr(warc, "RECORDS_PER_SLICE", 7)
+    rng = random.Random(3)
+    forms = ["http://{}/", "https://www.{}", "HTTP://m.{}:80/#x", "https://{}/?utm_source=q"]
+    rows, keys = [], {}
+    for i in range(600):
+        host = "hot.org" if i % 3 == 0 else f"h{rng.randrange(60)}.org"
+        kind = "response" if rng.random() < 0.2 else "revisit"
+        tag = rng.choice("uv")
+        rows.append((i, kind, rng.choice(forms).format(host), rng.randrange(400), {"ETag": tag}, None, f"p{i}" if kind == "response" else None))
+        keys[i] = host
+    base = {}
+    for i, kind, _, time, headers, _, payload in rows:
+        earlier = [(r[3], r[0]) for r in rows if r[1] == "response" and keys[r[0]] == keys[i] and r[3] < time]
+        b = max(earlier)[1] if earlier else None
+        same = b is not None and rows[b][4] == headers
+        base[i] = (None, "full", payload) if kind == "response" else (
+            b, "missing" if b is None else "resolved" if same else "mismatch", rows[b][6] if same else None)
+    got = {r.record_id: (r.base_id, r.status, r.payload) for r in warc.resolve(spark.createDataFrame(rows, RECORDS)).collect()}
+    assert got == base
+    assert sum(b is not None and b != i - 1 for i, (b, _, _) in base.items()) > 200
+    assert {s for _, s, _ in base.values()} == {"full", "missing", "resolved", "mismatch"}

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, warc
+from textloom.llm import decontam, neardup, warc
 from textloom.llm.common import read
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -83,3 +83,20 @@ def test_revisits_of_variants_over_many_slices(spark, monkeypatch):
     assert got == base
     assert sum(b is not None and b != i - 1 for i, (b, _, _) in base.items()) > 200
     assert {s for _, s, _ in base.values()} == {"full", "missing", "resolved", "mismatch"}
+
+
+def test_one_document_of_each_group_whatever_its_id(spark):
+    rng = random.Random(9)
+
+    def near(w):
+        return [*w[:60], "other", *w[61:]]
+
+    a, b, c, d = ([f"{x}{rng.randrange(10**6)}" for _ in range(120)] for x in "abcd")
+    rows = [(None, a, "x"), (None, near(a), "x"), (1, b, "x"), (None, near(b), "x"), (2, c, "x"), (2, c, "y"),
+            (3, d, "x"), (2, near(d), "x"), (3, ["lone"], "x"), (None, [], "x"), (None, [], "x"), (4, None, "z")]
+    docs = spark.createDataFrame([(i, None if w is None else " ".join(w), s) for i, w, s in rows], "doc_id long, text string, source string")
+    got = [(r.doc_id, r.text, r.source) for r in neardup.deduplicated(docs).collect()]
+    of = [sum(t in (" ".join(w), " ".join(near(w))) for _, t, _ in got) for w in (a, b, c, d)]
+    assert of == [1, 1, 1, 1]
+    assert len(got) == 7 and {(1, " ".join(b), "x"), (2, " ".join(near(d)), "x"), (3, "lone", "x"), (None, "", "x"),
+                              (4, None, "z")} < set(got)

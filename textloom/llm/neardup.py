@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import hashed_texts, mix, saved, shingle_hashes
+from textloom.llm.common import hashed_texts, mix, row_key, saved, shingle_hashes
 from textloom.llm.graph import components
 
 WIDTH = 5
@@ -70,7 +70,8 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, the set's digest and its signature (null for an empty set)."""
+    """Per document: doc_id, key, n_shingles, the set's digest and its signature (null for an empty set).
+    ``docs``: doc_id, key (row_key), the text."""
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = len(b)
@@ -94,11 +95,11 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
                         flush()
             flush()
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(size), pa.array(fp, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "fp", "sig"])
+                [b.column("doc_id"), b.column("key"), pa.array(size), pa.array(fp, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
+                ["doc_id", "key", "n_shingles", "fp", "sig"])
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(job, "doc_id long, n_shingles long, fp binary, sig array<long>")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "key", F.col(text).alias("text"))
+    return src.mapInArrow(job, "doc_id long, key struct<a:long,b:int>, n_shingles long, fp binary, sig array<long>")
 
 
 def shingle_sets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -203,21 +204,22 @@ def forest_regions(classes: DataFrame) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMILAR_PCT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id and kept (it is its component's smallest id)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _grouped(docs: DataFrame, text: str, similar_pct: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and (fp, root, id, best) of each class: its component, smallest id and first row
+    (smallest id, null last, then the key of all columns)."""
+    key = row_key(*[F.col(f"`{c}`") for c in docs.columns])
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), key.alias("key"))
     sk = saved(sketches(docs), "neardup-sketches")
     classes = saved(sk.filter("fp IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
+        F.min("doc_id").alias("id"), F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")).alias("best"),
+        F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "neardup-classes")
     members = saved(forest_regions(classes), "neardup-members")
     popular = members.groupBy("fp").agg(F.sum(F.log2("size")).alias("popular"))
     members = saved(members.select("fp", "n", "region").join(popular, "fp"), "neardup-members")
     leaders = members.groupBy("region").agg(F.max_by(F.struct("fp", "n"), F.struct("popular", "fp")).alias("k")) \
         .select("region", "k.fp", "k.n")
     pairs = saved(_paired(members, leaders, similar_pct), "neardup-pairs")
-    ids = members.select("fp").distinct().join(classes, "fp").select("id").distinct()
-    a, b = docs.alias("a"), ids.alias("b")
-    involved = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.id")), "left_semi")
+    involved = docs.join(members.select("fp").distinct().join(classes, "fp").select("best.key"), "key", "left_semi")
     sets = saved(shingle_sets(involved), "neardup-sets")
     links = saved(confirmed(pairs, sets, similar_pct), "neardup-links")
     roots = components(links).withColumnRenamed("node", "fp")
@@ -233,8 +235,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
         if not new.isEmpty():
             moved = components(new).select(F.col("node").alias("root"), F.col("root").alias("to"))
             roots = roots.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
-    named = classes.select("fp", "id").join(roots, "fp", "left") \
+    named = classes.select("fp", "id", "best").join(roots, "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
+    return sk, named
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMILAR_PCT) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id and kept (it is its component's smallest id)."""
+    sk, named = _grouped(docs.select("doc_id", text), text, similar_pct)
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     named = named.join(least, "root").select("fp", "component")
     out = sk.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
@@ -245,14 +253,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
 
 
 def deduplicated(docs: DataFrame, text: str = "text", similar_pct: int = SIMILAR_PCT) -> DataFrame:
-    """One document of each group, in the input's columns; of repeated rows, one. Documents that
-    share an id with a kept one but not its text stay with it."""
-    one = saved(near_duplicates(docs, text, similar_pct).filter("kept").select("doc_id").distinct(), "neardup-kept")
-    known, unknown = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
-    known = known.join(one, "doc_id", "left_semi")                 # dealt by doc_id, as the next step needs it
-    d, k = unknown.alias("d"), one.filter("doc_id IS NULL").alias("k")
-    unknown = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return known.dropDuplicates().union(unknown.dropDuplicates()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group, in the input's columns: of the rows with the group's smallest id (null
+    only if no other is there) one, whatever texts share that id. Null and blank texts stay; of rows
+    equal in all columns, one."""
+    sk, named = _grouped(docs, text, similar_pct)
+    first = named.groupBy("root").agg(F.min("best").alias("best")).select("best.key")
+    kept = saved(first.union(sk.filter("fp IS NULL").select("key")).distinct(), "neardup-kept")
+    key = row_key(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    rows = rows.join(kept, "key", "left_semi").dropDuplicates(["key"])     # dealt by key once
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def neardup_digest(docs: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import unicodedata
 
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, neardup, warc
+from textloom.llm import decontam, langid, neardup, warc
 from textloom.llm.common import read
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -100,3 +101,19 @@ def test_one_document_of_each_group_whatever_its_id(spark):
     assert of == [1, 1, 1, 1]
     assert len(got) == 7 and {(1, " ".join(b), "x"), (2, " ".join(near(d)), "x"), (3, "lone", "x"), (None, "", "x"),
                               (4, None, "z")} < set(got)
+
+
+def test_every_letter_has_a_language(spark):
+    tifinagh = "\u2d30\u2d4e\u2d30\u2d63\u2d49\u2d56 \u2d30\u2d3d\u2d30\u2d4d"
+    learn = read(spark, SF_SMALL, "documents").select("doc_id", "text", "lang").union(
+        spark.createDataFrame([(10**6 + i, tifinagh * (1 + i % 3), "zgh") for i in range(40)], "doc_id long, text string, lang string"))
+    model = langid.fit(learn)
+    assert "zgh" in model["langs"]
+    letters = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c))[0] == "L"]
+    some = [c for c in letters if chr(c).encode()[0] in langid.DECODED][::7] + letters[::101]
+    docs = spark.createDataFrame([(c, f"12 {chr(c)}{chr(c)} 3") for c in some] + [(-1, "\u201c12\u201d \U0001f600 \u2014"),
+                                 (-2, tifinagh)], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs.filter(F.col("text").rlike(r"\p{L}")), model).collect()}
+    assert len(got) > 0.9 * len(some) and "und" not in got.values()
+    assert got[-2] == "zgh" and -1 not in got
+    assert langid.identify(docs.filter("doc_id = -1"), model).first().spans == []

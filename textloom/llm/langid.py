@@ -18,6 +18,8 @@ rows are alike; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +40,20 @@ UNKNOWN = "und"
 SCRIPTS = ((0x41, 0x5A, 1), (0x61, 0x7A, 1), (0xC3, 0xCA, 1), (0xCD, 0xCF, 2), (0xD0, 0xD4, 3), (0xD5, 0xD5, 4),
            (0xD6, 0xD7, 5), (0xD8, 0xDD, 6), (0xDE, 0xDF, 7), (0xE0, 0xE0, 8), (0xE1, 0xE1, 9), (0xE3, 0xE3, 10),
            (0xE4, 0xE9, 11), (0xEA, 0xED, 12))
-N_SCRIPTS = 13
+# Lead bytes that letters share with punctuation and symbols are decoded: first letter, last letter, script.
+# Other letters there: the rest of the basic plane one script, each 512 code points above it one.
+DECODED = (0xC2, 0xCB, 0xCC, 0xE2, 0xEE, 0xEF, 0xF0, 0xF1, 0xF2, 0xF3, 0xF4)
+RANGES = ((0x80, 0x33F, 1), (0x2000, 0x2BFF, 1), (0x2C00, 0x2C5F, 13), (0x2C60, 0x2C7F, 1), (0x2C80, 0x2CFF, 14),
+          (0x2D00, 0x2D2F, 9), (0x2D30, 0x2D7F, 15), (0x2D80, 0x2DDF, 9), (0xF900, 0xFAFF, 11), (0xFB00, 0xFB12, 1),
+          (0xFB13, 0xFB1C, 4), (0xFB1D, 0xFB4F, 5), (0xFB50, 0xFEFF, 6), (0xFF00, 0xFF65, 1), (0xFF66, 0xFF9F, 10),
+          (0xFFA0, 0xFFDC, 12), (0x1AFF0, 0x1B16F, 10), (0x1D400, 0x1D7FF, 1), (0x20000, 0x3FFFF, 11))
+OTHER, ABOVE = 16, 17
+N_SCRIPTS = ABOVE + 128
 _SCRIPT = np.zeros(256, np.uint8)
 for _a, _b, _s in SCRIPTS:
     _SCRIPT[_a:_b + 1] = _s
+_DECODED = np.zeros(256, bool)
+_DECODED[list(DECODED)] = True
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 
@@ -51,12 +63,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+@functools.cache
+def _letters() -> np.ndarray:
+    """Script of each letter under the decoded lead bytes, by code point; 0 for what is no letter."""
+    point = np.arange(0x110000)
+    out = np.where(point < 0x10000, OTHER, ABOVE + ((point >> 9) & 127)).astype(np.uint8)
+    for a, b, script in RANGES:
+        out[a:b + 1] = script
+    out[[c for c in range(0x110000) if unicodedata.category(chr(c))[0] != "L"]] = 0
+    return out
+
+
+def _scripts(buf: np.ndarray) -> np.ndarray:
+    """Script of the letter that each byte begins, or 0."""
+    script = _SCRIPT[buf]
+    at = np.flatnonzero(_DECODED[buf])
+    if len(at):
+        b0, b1, b2, b3 = (buf[np.minimum(at + k, len(buf) - 1)].astype(np.int64) & 0x3F for k in range(4))
+        lead = buf[at]
+        point = np.where(lead < 0xE0, (b0 & 0x1F) << 6 | b1, np.where(
+            lead < 0xF0, (b0 & 0x0F) << 12 | b1 << 6 | b2, (b0 & 0x07) << 18 | b1 << 12 | b2 << 6 | b3))
+        script[at] = _letters()[np.minimum(point, 0x10FFFF)]
+    return script
+
+
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     """Start, end, script and first-word-per-text of the words that hold a letter."""
     start, end = word_bounds(buf, offs[:-1][offs[:-1] < len(buf)])
     if not len(start):
         return start, end, start, np.zeros(len(offs), np.int64)
-    script = np.maximum.reduceat(_SCRIPT[buf], start)
+    script = np.maximum.reduceat(_scripts(buf), start)
     some = script > 0
     start, end, script = start[some], end[some], script[some]
     return start, end, script, np.searchsorted(start, offs)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import chat, decontam, langid, mixing, neardup, pii, quality, toxicity, warc, wavelet
+from textloom.llm import chat, decontam, groupjoin, langid, mixing, neardup, pii, prefixtrie, quality, toxicity, warc, wavelet, wordruns
 from textloom.llm.common import read
 
 
@@ -56,6 +56,18 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_digest(read(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op11_burst_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie_digest(read(spark, sf_dir, "conversations"))
+
+
+def op12_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groupjoin.join_digest(read(spark, sf_dir, "documents"))
+
+
+def op13_dyadic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordruns.runs_digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_role_repair": op2_role_repair,
@@ -67,9 +79,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_sainte_lague_mix": op9_sainte_lague_mix,
     "op10_wavelet_tokens": op10_wavelet_tokens,
+    "op11_burst_prefix_trie": op11_burst_prefix_trie,
+    "op12_grouped_prefix_join": op12_grouped_prefix_join,
+    "op13_dyadic_runs": op13_dyadic_runs,
 }
 ORACLES: dict[str, str] = {
     "op7_line_quality": quality.ORACLE,
     "op8_revisit_resolution": warc.ORACLE,
     "op9_sainte_lague_mix": mixing.ORACLE,
+    "op11_burst_prefix_trie": prefixtrie.ORACLE,
+    "op12_grouped_prefix_join": groupjoin.ORACLE,
 }

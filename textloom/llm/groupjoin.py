@@ -8,7 +8,8 @@
    prefix (the first ``n - ceil(J n) + 1`` shingles) are one group.
 3. Similar sets share a prefix shingle, so groups that share one are compared: first
    with one leader of each shingle's groups, the one that shares most. Sizes and
-   the shingle's positions filter pairs of groups.
+   the shingle's positions filter pairs of groups. A shingle whose groups all hold one
+   and the same earlier shingle is nobody's first common one and is left out.
 4. Pairs that stay are expanded to members. A member of a group meets the group's first
    class and the leader's. The parities of the set's shingles in 512 buckets bound
    the symmetric difference from below and filter pairs of members; full sets verify.
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import hashed_texts, row_key, saved, shingle_hashes
@@ -45,6 +46,8 @@ BUCKETS = 1 << 20
 BLOCK = 1 << 16            # buckets of a row of the frequency table
 PARITIES = 512
 SLOTS = 8
+PARTNERS = 256             # pairs of a leader that one task verifies together
+BITS, PAGE = 1 << 23, 1 << 15      # places of the key filter, and of one row of it
 
 
 def _sets(col: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -152,53 +155,75 @@ def sketches(docs: DataFrame, levels: np.ndarray, similar_pct: int, width: int)
 
 # ---- verification --------------------------------------------------------------------------------
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(fp, items) of each text with shingles."""
+def sets_in_cells(texts: DataFrame, width: int) -> DataFrame:
+    """(cell, lead, fp, items): the set of each text, once for every cell it is sent to."""
+    names, types = ["cell", "lead", "fp", "items"], (pa.string(), pa.bool_(), pa.binary(), pa.binary())
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = lambda a, b: pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["fp", "items"])
+        out: list[tuple] = []
+        size = 0
         for b in batches:
-            fp, items, size = [], [], 0
-            for _, s in _sets(b.column("text"), width):
-                if len(s):
-                    fp.append(_digest(s))
-                    items.append(s.tobytes())
-                    size += s.nbytes
-                if size > 1 << 22:
-                    yield pack(fp, items)
-                    fp, items, size = [], [], 0
-            yield pack(fp, items)
-
-    return docs.select("text").mapInArrow(job, "fp binary, items binary")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the similarity. The set of an ``a`` travels once for
-    each of 16 salts, however many partners it has."""
-    salt = F.pmod(F.hash("b"), F.lit(16))
-    pairs = pairs.select("a", "b", salt.alias("salt"))
-    none = F.lit(None).cast("binary")
-    left = pairs.select("a", "salt").distinct().join(sets, F.col("a") == F.col("fp")).select("a", "salt", none.alias("b"), "items")
-    right = pairs.join(sets, F.col("b") == F.col("fp")).select("a", "salt", "b", "items")
+            cells = b.column("cells")
+            for r, s in _sets(b.column("text"), width):
+                fp, items = _digest(s), s.tobytes()
+                for c in cells[r].as_py():
+                    out.append((c["cell"], c["lead"], fp, items))
+                    size += len(items)
+                    if size > 1 << 22:
+                        yield batch(out)
+                        out, size = [], 0
+        if out:
+            yield batch(out)
+
+    return texts.select("text", "cells").mapInArrow(job, "cell string, lead boolean, fp binary, items binary")
+
+
+def rows_with_key(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The text of one row of ``docs`` for each row of ``keys`` (key, ...). A bitmap of ``BITS`` places (1 MB in 256 rows,
+    however many keys) drops most other rows before texts are shuffled; the join on the key decides."""
+    spot = lambda: F.pmod(F.xxhash64("key"), F.lit(BITS))
+    page = F.floor(spot() / PAGE).cast("int")
+    bitmap = keys.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(spot() % PAGE).alias("bits"))
+    rows = docs.withColumn("page", page).withColumn("spot", (spot() % PAGE).cast("int")).join(F.broadcast(bitmap), "page")
+    byte = F.conv(F.hex(F.expr("substring(bits, spot div 8 + 1, 1)")), 16, 10).cast("int")
+    held = rows.filter(byte.bitwiseAND(F.expr("shiftleft(1, spot % 8)")) != 0).select("key", "text")
+    return held.dropDuplicates(["key"]).join(keys, "key")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similar_pct: int, width: int) -> DataFrame:
+    """The pairs (a, b) whose full sets meet the similarity. A cell is an ``a`` with up to about
+    ``PARTNERS`` of its ``b``; every set travels once to each of its cells."""
+    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
+    cell = F.concat_ws("-", F.hex("a"), F.pmod(F.hash("b"), F.ceil(F.col("c") / PARTNERS).cast("int")))
+    dealt = pairs.join(many, "a").select("a", "b", cell.alias("cell"))
+    sent = dealt.select(F.col("a").alias("fp"), "cell", F.lit(True).alias("lead")).distinct() \
+        .union(dealt.select("b", "cell", F.lit(False)))
+    cells = sent.groupBy("fp").agg(F.collect_list(F.struct("cell", "lead")).alias("cells"))
+    keys = saved(classes.select("fp", "key").join(cells, "fp").select("key", "cells"), "join-keys")
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, mine = None, np.zeros(0, np.uint64)
+        here, lead, mine = None, b"", np.zeros(0, np.uint64)
         for batch in batches:
             out_a, out_b = [], []
-            for a, b, items in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("items"), strict=True):
+            for c, first, fp, items in zip(*[batch.column(k).to_pylist() for k in ("cell", "lead", "fp")], batch.column("items"),
+                                           strict=True):
                 s = np.frombuffer(items.as_buffer(), np.uint64)
-                if b is None:
-                    lead, mine = a, s.copy()
+                if first:
+                    here, lead, mine = c, fp, s.copy()
                     continue
                 z = np.concatenate([mine, s])
                 z.sort(kind="stable")
                 both = int(np.count_nonzero(z[1:] == z[:-1]))
-                if a == lead and 100 * both >= similar_pct * (len(z) - both):
-                    out_a.append(a)
-                    out_b.append(b)
+                if c == here and 100 * both >= similar_pct * (len(z) - both):
+                    out_a.append(lead)
+                    out_b.append(fp)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], ["a", "b"])
 
-    x = left.union(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-    return x.select("a", "b", "items").mapInArrow(job, "a binary, b binary")
+    x = sets_in_cells(rows_with_key(docs, keys), width).repartition("cell").sortWithinPartitions("cell", F.desc("lead"))
+    return saved(x.mapInArrow(job, "a binary, b binary"), "join-links")
 
 
 # ---- candidates ----------------------------------------------------------------------------------
@@ -260,23 +285,34 @@ def open_members(lists: DataFrame, classes: DataFrame, roots: DataFrame) -> tupl
     return rows, saved(rows.join(most, "item").filter("root <> most").drop("most"), "join-rest")
 
 
-def similar_components(classes: DataFrame, docs: DataFrame, similar_pct: int, width: int) -> DataFrame:
-    """(fp, root) of every class with a partner; other classes are alone."""
-    gid = F.xxhash64("n", "prefix")
-    classes = saved(classes.withColumn("gid", gid), "join-classes")
-    groups = saved(classes.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.min("fp").alias("first"), F.first("n").alias("n"),
-                                              F.first("prefix").alias("prefix")), "join-groups")
-    tokens = groups.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "item"))
-    often = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    lists = tokens.join(often, "item").select("item", "gid", "n", "pos", "size")
-    alone = groups.filter("members > 1").select(F.xxhash64(F.lit(1), "gid").alias("item"), "gid", F.col("n").cast("int").alias("n"),
-                                                F.lit(0).alias("pos"), F.lit(1).cast("long").alias("size"))
-    lists = saved(lists.union(alone), "join-lists")
-    slim = classes.select("fp", "gid", "n", "bits")
+def shared_items(groups: DataFrame) -> DataFrame:
+    """(item, gid, n, pos, size): the prefix items that several groups hold, and one item for each
+    group with several members. An item whose holders all have the same item just before it, or the
+    same first item, is no pair's first common one and is dropped."""
+    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "item"))
+    by_item, by_group = Window.partitionBy("item"), Window.partitionBy("gid").orderBy("pos")
+    tokens = tokens.withColumn("size", F.count(F.lit(1)).over(by_item)).filter("size > 1")
+    tokens = tokens.withColumn("prev", F.lag("item").over(by_group)).withColumn("head", F.first("item").over(by_group))
+    same = lambda c: F.min(c).over(by_item) == F.max(c).over(by_item)
+    behind = (same("prev") & (F.count("prev").over(by_item) == F.col("size"))) | (same("head") & (F.min("head").over(by_item) != F.col("item")))
+    kept = tokens.withColumn("behind", F.coalesce(behind, F.lit(False))).filter(~F.col("behind")).select("item", "gid", "n", "pos", "size")
+    alone = groups.filter("members > 1").select(F.xxhash64(F.lit(1), "gid").alias("item"), "gid", "n", F.lit(0).alias("pos"),
+                                                F.lit(1).cast("long").alias("size"))
+    return kept.union(alone)
+
+
+def similar_components(sk: DataFrame, classes: DataFrame, docs: DataFrame, similar_pct: int, width: int) -> DataFrame:
+    """(fp, root) of every class with a partner; other classes are alone. ``sk``: gid, n_shingles,
+    prefix of every document; ``classes``: fp, n, key, bits, gid; ``docs``: key and text."""
+    held = classes.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.min("fp").alias("first"))
+    prefixes = sk.filter("fp IS NOT NULL").groupBy("gid").agg(F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
+    groups = saved(prefixes.join(held, "gid"), "join-groups")
+    lists = saved(shared_items(groups), "join-lists")
+    slim = classes.select("fp", "gid", "n", "bits", "key")
     tried = saved(leader_pairs(lists, groups, slim, similar_pct), "join-pairs")
-    involved = lists.select("gid").distinct().join(classes, "gid").select("key")
-    sets = saved(shingle_sets(docs.join(involved, "key", "left_semi"), width).dropDuplicates(["fp"]), "join-sets")
-    roots = components(saved(verified(tried, sets, similar_pct), "join-links")).withColumnRenamed("node", "fp")
+
+    confirmed = lambda pairs: verified(pairs, slim, docs, similar_pct, width)
+    roots = components(confirmed(tried)).withColumnRenamed("node", "fp")
     popular = F.struct("seen", "fp")
     for last in (False, True):
         rows, rest = open_members(lists, slim, roots)
@@ -296,7 +332,7 @@ def similar_components(classes: DataFrame, docs: DataFrame, similar_pct: int, wi
         pairs = saved(pairs.join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "join-pairs")
         tried = tried.union(pairs)
         label = lambda c: F.coalesce(F.col(f"{c}.root"), F.col(f"e.{c[1]}"))
-        links = verified(pairs, sets, similar_pct).alias("e")
+        links = confirmed(pairs).alias("e")
         links = links.join(roots.alias("ra"), F.col("e.a") == F.col("ra.fp"), "left") \
             .join(roots.alias("rb"), F.col("e.b") == F.col("rb.fp"), "left").select(label("ra").alias("a"), label("rb").alias("b"))
         links = saved(links.distinct(), "join-links")
@@ -311,12 +347,12 @@ def similarity_join(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach, its own included)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     docs = docs.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    sk = saved(sketches(docs, shingle_levels(docs, width), similar_pct, width), "join-sketches")
-    classes = sk.filter("fp IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.min("key").alias("key"), F.first("bits").alias("bits"),
-        F.first("prefix").alias("prefix"))
-    classes = saved(classes, "join-equal-sets")
-    roots = similar_components(classes, docs, similar_pct, width)
+    sk = sketches(docs, shingle_levels(docs, width), similar_pct, width)
+    sk = saved(sk.withColumn("gid", F.xxhash64("n_shingles", "prefix")), "join-sketches")
+    classes = saved(sk.filter("fp IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("id"), F.first("n_shingles").cast("int").alias("n"), F.min("key").alias("key"),
+        F.first("bits").alias("bits"), F.first("gid").alias("gid")), "join-classes")
+    roots = similar_components(sk, classes, docs, similar_pct, width)
     named = saved(classes.select("fp", "id").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "join-named")
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     out = sk.select("doc_id", "n_shingles", "fp").join(named.join(least, "root").select("fp", "component"), "fp", "left")

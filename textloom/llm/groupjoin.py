@@ -86,9 +86,9 @@ def _counted(docs: DataFrame, width: int) -> DataFrame:
             part = total[k * BLOCK:(k + 1) * BLOCK]
             spot = np.flatnonzero(part)
             if len(spot) > BLOCK // 2:
-                out.append((k, None, part.tobytes()))
+                out.append((k, None, part.astype(np.uint32).tobytes()))
             elif len(spot):
-                out.append((k, spot.astype(np.uint16).tobytes(), part[spot].tobytes()))
+                out.append((k, spot.astype(np.uint16).tobytes(), part[spot].astype(np.uint32).tobytes()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["block", "spot", "n"])
@@ -104,7 +104,7 @@ def _summed(counts: DataFrame) -> DataFrame:
             for k, spot, n in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 mine = sums.setdefault(k, np.zeros(BLOCK, np.int64))
                 at = slice(None) if spot is None else np.frombuffer(spot, np.uint16)
-                mine[at] += np.frombuffer(n, np.int64)
+                mine[at] += np.frombuffer(n, np.int64 if spot is None and len(n) == 8 * BLOCK else np.uint32)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int32()), pa.nulls(len(sums), pa.binary()),
@@ -181,16 +181,32 @@ def sets_in_cells(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("text", "cells").mapInArrow(job, "cell string, lead boolean, fp binary, items binary")
 
 
+def marked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``hit``: false for rows whose key is surely not in ``keys``. The keys' hashes are a
+    bitmap of ``BITS`` places (1 MB in 256 rows, however many keys), so no row is shuffled."""
+    spot = F.pmod(F.xxhash64(key), F.lit(BITS))
+    page = F.floor(spot / PAGE).cast("int")
+    bitmap = keys.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(spot % PAGE).alias("held"))
+    x = rows.withColumn("page", page).withColumn("spot", (spot % PAGE).cast("int")).join(F.broadcast(bitmap), "page", "left")
+    byte = F.conv(F.hex(F.expr("substring(held, spot div 8 + 1, 1)")), 16, 10).cast("int")
+    return x.withColumn("hit", F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, spot % 8)")) != 0, F.lit(False))).drop("page", "spot", "held")
+
+
 def rows_with_key(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The text of one row of ``docs`` for each row of ``keys`` (key, ...). A bitmap of ``BITS`` places (1 MB in 256 rows,
-    however many keys) drops most other rows before texts are shuffled; the join on the key decides."""
-    spot = lambda: F.pmod(F.xxhash64("key"), F.lit(BITS))
-    page = F.floor(spot() / PAGE).cast("int")
-    bitmap = keys.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(spot() % PAGE).alias("bits"))
-    rows = docs.withColumn("page", page).withColumn("spot", (spot() % PAGE).cast("int")).join(F.broadcast(bitmap), "page")
-    byte = F.conv(F.hex(F.expr("substring(bits, spot div 8 + 1, 1)")), 16, 10).cast("int")
-    held = rows.filter(byte.bitwiseAND(F.expr("shiftleft(1, spot % 8)")) != 0).select("key", "text")
-    return held.dropDuplicates(["key"]).join(keys, "key")
+    """The text of one row of ``docs`` for each row of ``keys`` (key, ...). Most other rows are dropped
+    before texts are shuffled; the join on the key decides."""
+    held = marked(docs, keys, "key").filter("hit").select(F.col("key.a").alias("ka"), F.col("key.b").alias("kb"), "text")
+    return held.dropDuplicates(["ka", "kb"]).join(keys.withColumns({"ka": F.col("key.a"), "kb": F.col("key.b")}), ["ka", "kb"])
+
+
+def one_of_each(sk: DataFrame) -> DataFrame:
+    """(gid, n, prefix) of every group: its first row. Only rows that may be copies are shuffled."""
+    known = sk.filter("fp IS NOT NULL").select("gid", "row", F.col("n_shingles").cast("int").alias("n"), "prefix")
+    first = saved(known.groupBy("gid").agg(F.min("row").alias("first")), "join-first")
+    copies = saved(known.select("gid", "row").join(first, "gid").filter("row > first").select("row"), "join-copies")
+    rows = marked(known, copies, "row")
+    more = rows.filter("hit").join(first.select(F.col("first").alias("row")), "row", "left_semi")
+    return rows.filter(~F.col("hit")).select("gid", "n", "prefix").union(more.select("gid", "n", "prefix"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similar_pct: int, width: int) -> DataFrame:
@@ -272,42 +288,42 @@ def leader_pairs(lists: DataFrame, groups: DataFrame, classes: DataFrame, pct: i
 
 
 def open_members(lists: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (item, fp, n, pos, bits, root) of lists that still hold several components, and those of
+    """Members (item, pos, fp, n, bits, root) of lists that still hold several components, and those of
     them outside the list's largest component."""
-    placed = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    spread = lists.join(placed.select("gid", "root").distinct(), "gid").select("item", "root").distinct()
-    contested = spread.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("item")
-    rows = lists.join(contested, "item", "left_semi").select("item", "gid", "pos").join(
-        placed.select("gid", "fp", "n", "bits", "root"), "gid").drop("gid")
-    rows = saved(rows, "join-open")
+    placed = classes.select("gid", "fp", "n", "bits").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rows = saved(lists.select("item", "gid", "pos").join(placed, "gid").drop("gid"), "join-open")
     most = (rows.groupBy("item", "root").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("item").agg(F.max_by("root", F.struct("k", "root")).alias("most")))
-    return rows, saved(rows.join(most, "item").filter("root <> most").drop("most"), "join-rest")
+            .groupBy("item").agg(F.count(F.lit(1)).alias("c"), F.max_by("root", F.struct("k", "root")).alias("most"))
+            .filter("c > 1").drop("c"))
+    rows = saved(rows.join(most, "item").withColumn("rest", F.col("root") != F.col("most")).drop("most"), "join-open")
+    return rows.drop("rest"), rows.filter("rest").drop("rest")
 
 
-def shared_items(groups: DataFrame) -> DataFrame:
+def shared_items(prefixes: DataFrame, groups: DataFrame) -> DataFrame:
     """(item, gid, n, pos, size): the prefix items that several groups hold, and one item for each
     group with several members. An item whose holders all have the same item just before it, or the
     same first item, is no pair's first common one and is dropped."""
-    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "item"))
-    by_item, by_group = Window.partitionBy("item"), Window.partitionBy("gid").orderBy("pos")
+    tokens = prefixes.select("gid", "n", F.posexplode("prefix").alias("pos", "item"))
+    tokens = tokens.select("item", "gid", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("at"))
+    by_item, by_group = Window.partitionBy("item"), Window.partitionBy("gid").orderBy("at")
     tokens = tokens.withColumn("size", F.count(F.lit(1)).over(by_item)).filter("size > 1")
     tokens = tokens.withColumn("prev", F.lag("item").over(by_group)).withColumn("head", F.first("item").over(by_group))
     same = lambda c: F.min(c).over(by_item) == F.max(c).over(by_item)
     behind = (same("prev") & (F.count("prev").over(by_item) == F.col("size"))) | (same("head") & (F.min("head").over(by_item) != F.col("item")))
-    kept = tokens.withColumn("behind", F.coalesce(behind, F.lit(False))).filter(~F.col("behind")).select("item", "gid", "n", "pos", "size")
+    kept = tokens.withColumn("behind", F.coalesce(behind, F.lit(False))).filter(~F.col("behind")).select(
+        "item", "gid", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).cast("int").alias("pos"), "size")
     alone = groups.filter("members > 1").select(F.xxhash64(F.lit(1), "gid").alias("item"), "gid", "n", F.lit(0).alias("pos"),
                                                 F.lit(1).cast("long").alias("size"))
     return kept.union(alone)
 
 
 def similar_components(sk: DataFrame, classes: DataFrame, docs: DataFrame, similar_pct: int, width: int) -> DataFrame:
-    """(fp, root) of every class with a partner; other classes are alone. ``sk``: gid, n_shingles,
-    prefix of every document; ``classes``: fp, n, key, bits, gid; ``docs``: key and text."""
-    held = classes.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.min("fp").alias("first"))
-    prefixes = sk.filter("fp IS NOT NULL").groupBy("gid").agg(F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
-    groups = saved(prefixes.join(held, "gid"), "join-groups")
-    lists = saved(shared_items(groups), "join-lists")
+    """(fp, root) of every class with a partner; other classes are alone. ``sk``: row, gid, fp,
+    n_shingles, prefix of every document; ``classes``: fp, n, key, bits, gid; ``docs``: key and text."""
+    held = classes.groupBy("gid").agg(F.count(F.lit(1)).alias("members"), F.min("fp").alias("first"),
+                                      F.first("n").alias("n"))
+    groups = saved(held, "join-groups")
+    lists = saved(shared_items(one_of_each(sk), groups), "join-lists")
     slim = classes.select("fp", "gid", "n", "bits", "key")
     tried = saved(leader_pairs(lists, groups, slim, similar_pct), "join-pairs")
 
@@ -323,7 +339,7 @@ def similar_components(sk: DataFrame, classes: DataFrame, docs: DataFrame, simil
             seen = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("seen"))
             slot = F.pmod(F.xxhash64("fp"), F.lit(SLOTS))
             others = rows.join(seen, "fp").groupBy("item", slot.alias("slot")).agg(
-                F.max_by(F.struct("fp", "n", "pos", "bits", "root"), popular).alias("k")).select("item", "k.*")
+                F.max_by(F.struct("pos", "fp", "n", "bits", "root"), popular).alias("k")).select("item", "k.*")
         x, y = rest.alias("x"), others.alias("y")
         more = x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.root") != F.col("y.root"))
                       & _sizes_allow("x", "y", similar_pct) & _places_allow("x", "y", similar_pct)
@@ -348,7 +364,7 @@ def similarity_join(docs: DataFrame, text: str = "text", similar_pct: int = SIMI
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     docs = docs.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     sk = sketches(docs, shingle_levels(docs, width), similar_pct, width)
-    sk = saved(sk.withColumn("gid", F.xxhash64("n_shingles", "prefix")), "join-sketches")
+    sk = saved(sk.withColumns({"gid": F.xxhash64("n_shingles", "prefix"), "row": F.monotonically_increasing_id()}), "join-sketches")
     classes = saved(sk.filter("fp IS NOT NULL").groupBy("fp").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").cast("int").alias("n"), F.min("key").alias("key"),
         F.first("bits").alias("bits"), F.first("gid").alias("gid")), "join-classes")

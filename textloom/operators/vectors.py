@@ -1,8 +1,16 @@
-"""Dense vectors: normalisation, embedding hook, exact inner-product top-k (H1-H4)."""
+"""Dense vectors: normalisation, embedding hook, exact inner-product top-k (H1-H4).
+
+Top-k over many items is exact and pruned. Items lie in coarse clusters with a centre c and
+a radius r (their largest distance from c), so no item of a cluster scores more than
+``q.c + |q| r`` against a query q (Cauchy-Schwarz). The clusters nearest to a query that
+hold k items give its first threshold, the k-th score; of the other clusters only those
+whose bound reaches it are scored. A query travels only to the clusters it must see.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,10 +21,13 @@ from pyspark.sql import types as T
 from textloom.functions.text import l2_normalize
 from textloom.operators import blocked
 from textloom.operators.rank import topk
+from textloom.session import saved
 
 # Rows of a block: a task holds one query block and one item block.
 QUERY_BLOCK = 4_096
 ITEM_BLOCK = 32_768
+MAX_CLUSTERS = 1_024       # centres are broadcast: MAX_CLUSTERS x dimensions numbers
+SLACK = 1e-8               # covers rounding of scores and bounds
 
 
 def normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
@@ -38,21 +49,136 @@ def embed(df: DataFrame, id_col: str, text: str, fn: Callable[[list[str]], np.nd
     return df.select(id_col, text).mapInPandas(run, schema)
 
 
+@dataclass
+class Clusters:
+    """Items in coarse clusters: ``items`` is (id, _iv, _cl); the arrays describe cluster 0, 1, ..."""
+    items: DataFrame
+    centres: np.ndarray
+    radii: np.ndarray
+    sizes: np.ndarray
+
+
+def fit_clusters(items: DataFrame, iid: str, vec: str, count: int, rounds: int = 2, seed: int = 42) -> Clusters:
+    """H4: coarse clusters. Centres start at the ``count`` items that a hash orders first and move to
+    their members' means; the radius is exact for the centres used, so results do not depend on the fit."""
+    count = max(1, min(count, MAX_CLUSTERS))
+    x = items.select(iid, F.col(vec).cast("array<double>").alias("_iv"))
+    first = x.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(iid).cast("string"))), iid).limit(count).collect()
+    dims = len(first[0]["_iv"]) if first else 0
+    centres = np.array([r["_iv"] for r in first], dtype=np.float64).reshape(len(first), dims)
+    schema = T.StructType([*x.schema.fields, T.StructField("_cl", T.IntegerType()), T.StructField("_d", T.DoubleType())])
+
+    def assigned(c: np.ndarray) -> DataFrame:
+        table = items.sparkSession.sparkContext.broadcast(c)     # at most MAX_CLUSTERS rows
+
+        def run(batches):
+            c = table.value
+            for pdf in batches:
+                if len(pdf):
+                    v = np.stack(pdf["_iv"].to_numpy()).astype(np.float64)
+                    near = ((c * c).sum(1)[None, :] - 2 * v @ c.T).argmin(1)
+                    yield pdf.assign(_cl=near.astype(np.int32), _d=np.sqrt(((v - c[near]) ** 2).sum(1)))
+
+        return x.mapInPandas(run, schema)
+
+    for _ in range(rounds if len(first) > 1 else 0):
+        means = (assigned(centres).select("_cl", F.posexplode("_iv").alias("p", "v")).groupBy("_cl", "p").agg(F.avg("v").alias("v"))
+                 .groupBy("_cl").agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("c"))).collect()
+        for r in means:
+            centres[r["_cl"]] = [v["v"] for v in r["c"]]
+    held = saved(assigned(centres), "vector-clusters") if len(first) else x.withColumns({"_cl": F.lit(0), "_d": F.lit(0.0)})
+    radii, sizes = np.zeros(len(first)), np.zeros(len(first), np.int64)
+    for r in held.groupBy("_cl").agg(F.max("_d").alias("r"), F.count(F.lit(1)).alias("n")).collect():
+        radii[r["_cl"]], sizes[r["_cl"]] = r["r"], r["n"]
+    return Clusters(held.drop("_d"), centres, radii, sizes)
+
+
+def _probes(queries: DataFrame, c: Clusters, need: int, threshold: str | None) -> DataFrame:
+    """``queries`` (id, _qv) with each cluster to score: first the nearest that hold ``need`` items,
+    later (with a ``threshold`` column) all others whose bound reaches it."""
+    model = queries.sparkSession.sparkContext.broadcast((c.centres, c.radii, c.sizes))
+    schema = T.StructType([*[f for f in queries.schema.fields if f.name != threshold], T.StructField("_cl", T.IntegerType())])
+
+    def run(batches):
+        centres, radii, sizes = model.value
+        for pdf in batches:
+            if not len(pdf) or not len(centres):
+                continue
+            q = np.stack(pdf["_qv"].to_numpy()).astype(np.float64)
+            near = q @ centres.T
+            order = np.argsort(-near, axis=1, kind="stable")
+            held = np.cumsum(sizes[order], axis=1)
+            take = np.zeros(near.shape, bool)
+            np.put_along_axis(take, order, np.c_[np.zeros(len(q)), held[:, :-1]] < need, axis=1)
+            if threshold is not None:
+                bound = near + np.linalg.norm(q, axis=1)[:, None] * radii[None, :]
+                take = ~take & (bound >= pdf[threshold].to_numpy()[:, None] - SLACK) & (sizes > 0)[None, :]
+            row, cl = np.nonzero(take)
+            yield pdf.drop(columns=[threshold] if threshold else []).iloc[row].assign(_cl=cl.astype(np.int32))
+
+    return queries.mapInPandas(run, schema)
+
+
+def _score_cells(probes: DataFrame, c: Clusters, qid: str, iid: str, k: int, exclude_self: bool,
+                 query_block: int, item_block: int) -> DataFrame:
+    """Top-k of each probed cluster. A cluster's items and its queries are cut into cells of bounded
+    size, so a cluster with a third of the items, or one that all queries ask for, is many tasks."""
+    spark = probes.sparkSession
+    asked = probes.groupBy("_cl").agg(F.count(F.lit(1)).alias("n")).collect()       # at most MAX_CLUSTERS rows
+    cells = [(r["_cl"], blocked.blocks_of(r["n"], query_block), blocked.blocks_of(int(c.sizes[r["_cl"]]), item_block)) for r in asked]
+    cut = lambda: F.broadcast(spark.createDataFrame(cells, "_cl int, _qps int, _ips int"))
+    q = probes.join(cut(), "_cl").withColumn("_qp", F.pmod(F.xxhash64(qid), "_qps").cast("int")) \
+        .withColumn("_ip", F.explode(F.sequence(F.lit(0), F.col("_ips") - 1)))
+    i = c.items.join(cut(), "_cl").withColumn("_ip", F.pmod(F.xxhash64(iid), "_ips").cast("int")) \
+        .withColumn("_qp", F.explode(F.sequence(F.lit(0), F.col("_qps") - 1)))
+    schema = T.StructType([probes.schema[qid], c.items.schema[iid], T.StructField("score", T.DoubleType())])
+    key = ["_cl", "_ip", "_qp"]
+    return q.groupBy(*key).cogroup(i.groupBy(*key)).applyInPandas(
+        blocked.dense_block(qid, "_qv", iid, "_iv", k, exclude_self), schema)
+
+
+def pruned_topk(queries: DataFrame, clusters: Clusters, qid: str, iid: str, vec: str, k: int = 3, exclude_self: bool = False,
+                query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """H4: the exact top-k of :func:`vector_topk`, and the probes (qid, _cl) that were scored."""
+    q = queries.select(qid, F.col(vec).cast("array<double>").alias("_qv"))
+    order = [F.round("score", blocked.SCORE_DECIMALS).desc(), F.col(iid).asc()]
+    sizes = (qid, iid, k, exclude_self, query_block, item_block)
+    need = k + int(exclude_self)
+    near = _probes(q, clusters, need, None)
+    first = saved(_score_cells(near, clusters, *sizes), "vector-first")
+    kth = topk(first, [qid], order, k).groupBy(F.col(qid).alias("_k")).agg(
+        F.when(F.count(F.lit(1)) == k, F.min("score")).alias("_t"))
+    bar = q.join(kth, F.col(qid).eqNullSafe(F.col("_k")), "left").withColumn("_t", F.coalesce("_t", F.lit(float("-inf"))))
+    more = saved(_probes(bar.select(qid, "_qv", "_t"), clusters, need, "_t"), "vector-probes")
+    rest = _score_cells(more, clusters, *sizes)
+    return topk(first.union(rest), [qid], order, k), near.select(qid, "_cl").union(more.select(qid, "_cl"))
+
+
+def scored_pairs(probes: DataFrame, clusters: Clusters, n_queries: int) -> DataFrame:
+    """Pairs of query and item that were scored, of all pairs."""
+    sizes = probes.sparkSession.createDataFrame([(i, int(n)) for i, n in enumerate(clusters.sizes)], "_cl int, _n long")
+    return probes.join(F.broadcast(sizes), "_cl").agg(F.sum("_n").alias("scored")).select(
+        "scored", F.lit(int(n_queries) * int(clusters.sizes.sum())).cast("long").alias("pairs"))
+
+
 def vector_topk(queries: DataFrame, items: DataFrame, qid: str, iid: str, vec: str,
                 k: int = 3, exclude_self: bool = False, item_vec: str | None = None,
                 query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """Exact top-k items per query by inner product.
+    """Exact top-k items per query by inner product (ties: smaller item id).
 
-    Queries and items are hashed into blocks; each pair of blocks is one task's
-    matrix product and keeps its exact top-k per query (ties: smaller item id);
-    a partial + global top-k merges the blocks. Returns ``qid, iid, score, rank``
-    with ``min(k, items)`` rows per query.
+    Items of one block are scored as one, block of queries by block of queries. More are put into
+    about ``sqrt(n)`` clusters and pruned by their bounds (:func:`pruned_topk`), so rows of
+    neither side are copied to all blocks of the other. Returns ``qid, iid, score, rank`` with
+    ``min(k, items)`` rows per query.
     """
     item_vec = item_vec or vec
+    n_items = items.count()
+    if n_items > item_block:
+        held = fit_clusters(items.select(iid, item_vec), iid, item_vec, int(n_items ** 0.5))
+        return pruned_topk(queries, held, qid, iid, vec, k, exclude_self, query_block, item_block)[0]
     schema = T.StructType([queries.schema[qid], items.schema[iid], T.StructField("score", T.DoubleType())])
     pairs = blocked.grid(queries.select(qid, F.col(vec).alias("_qv")), items.select(iid, F.col(item_vec).alias("_iv")),
-                         [qid], iid, blocked.blocks_of(queries.count(), query_block),
-                         blocked.blocks_of(items.count(), item_block))
+                         [qid], iid, blocked.blocks_of(queries.count(), query_block), 1)
     cands = pairs.applyInPandas(blocked.dense_block(qid, "_qv", iid, "_iv", k, exclude_self), schema)
     order = [F.round("score", blocked.SCORE_DECIMALS).desc(), F.col(iid).asc()]
     return topk(cands, [qid], order, k)

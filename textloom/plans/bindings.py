@@ -16,10 +16,10 @@ from pyspark.sql import types as T
 
 from textloom import defaults as D
 from textloom.functions import text as X
-from textloom.operators import catalog, encode, expand, features, metrics, model, scoring, split
-from textloom.operators import vectors
+from textloom.operators import catalog, encode, expand, features, group_split, metrics, model, scoring, split
+from textloom.operators import trees, vectors
 from textloom.plans.tables import table
-from textloom.session import shared_path
+from textloom.session import saved, shared_path
 from textloom.sources import html, io
 from textloom.streaming import scoring as stream
 
@@ -35,7 +35,9 @@ PART_PHRASES_10 = [
 DOC_KEYWORDS = [("license", "license"), ("network", "network"), ("mit", "mit"), ("ip", "ip")]
 VALID_LABEL_MIN = 15
 HASH_DIMS = 256
-FOREST_DIMS = 1024
+FOREST_MIN_ROWS = 5       # words of fewer training documents are no feature of the text forest
+STORED_TREES = 20
+VECTOR_CLUSTERS = 64
 # ----------------------------------------------------------------------------
 
 
@@ -347,6 +349,15 @@ def split_grouped(spark, sf):
         .select("conv_id", "turn", "split")
 
 
+def split_stratified_grouped(spark, sf):
+    """J2 with groups: whole orders on one side, stratified by the return flag of their lines. Per flag:
+    its quota of lines, groups on both sides, and whether its test lines are within one group of the quota."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    tagged = group_split.split_stratified_grouped(lines, "l_orderkey", "l_returnflag")
+    return group_split.split_report(tagged, "l_orderkey", "l_returnflag").select(
+        "l_returnflag", "n_label", "n_test", F.col("n_split_groups").cast("long").alias("n_split_groups"), "within")
+
+
 def split_tenth(spark, sf):
     """Exact 10 % held-out split of user turns (seed required, 42)."""
     return split.split_exact(_user_turns(spark, sf).select("conv_id", "turn"), ["conv_id", "turn"],
@@ -421,6 +432,16 @@ def vector_topk(spark, sf):
     return r.select("q", _long("rank"), "vec_id", F.round("score", 6).alias("score"))
 
 
+def vector_topk_clusters(spark, sf):
+    """H4 pruned: the same neighbours through clusters, scoring only clusters whose bound reaches the
+    third score found so far."""
+    e = table(spark, sf, "embeddings")
+    held = vectors.fit_clusters(e, "vec_id", "embedding", VECTOR_CLUSTERS)
+    r, _ = vectors.pruned_topk(e.select(F.col("vec_id").alias("q"), "embedding"), held, "q", "vec_id", "embedding",
+                               k=3, exclude_self=True)
+    return r.select("q", _long("rank"), "vec_id", F.round("score", 6).alias("score"))
+
+
 # --- L: encoding -------------------------------------------------------------
 
 def _explode2(df, key, a, b, out_a, out_b):
@@ -552,20 +573,25 @@ def suffix_dispatch(spark, sf):
     return out
 
 
-def text_forest_report(spark, sf):
-    """K1-K8 + F12: TF-IDF of documents -> forest on their quality -> support of the held-out labels."""
+def _text_forest(spark, sf):
+    """Held-out predictions (doc_id, quality, prediction) of a forest on the documents' TF-IDF."""
     docs = table(spark, sf, "documents").select("doc_id", "text").join(
         table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     s = split.split_exact(docs, "doc_id")
     train = s.filter(F.col("split") == "train")
     fit = features.fit_tfidf(train.select("doc_id", "text"), "doc_id", "text", (1, 1), materialize=True)
-    vec = model.hashed_vectors(features.transform_tfidf(fit, s.select("doc_id", "text"), "doc_id", "text"),
-                               s.select("doc_id", "quality", "split"), "doc_id", FOREST_DIMS)
-    forest = model.fit_forest(vec.filter("split = 'train'"), "features", "quality", trees=20, depth=8)
+    weights = features.transform_tfidf(fit, s.select("doc_id", "text"), "doc_id", "text")
+    numbers = model.term_numbers(fit.counts, FOREST_MIN_ROWS)
+    vec = saved(model.sparse_vectors(weights, s.select("doc_id", "quality", "split"), "doc_id", numbers), "text-vectors")
+    forest = model.fit_forest(vec.filter("split = 'train'"), "features", "quality")
     path = shared_path(spark, "forest")
     model.save_forest(forest, path)
-    pred = model.predict(model.load_forest(path), vec.filter("split = 'test'"), "features", ["doc_id", "quality"])
-    rep = metrics.class_report(pred, "quality", "prediction")
+    return model.predict(model.load_forest(path), vec.filter("split = 'test'"), "features", ["doc_id", "quality"])
+
+
+def text_forest_report(spark, sf):
+    """K1-K8 + F12: TF-IDF of documents -> 100 trees on their quality -> support of the held-out labels."""
+    rep = metrics.class_report(_text_forest(spark, sf), "quality", "prediction")
     # the label rows and their support do not depend on how well the forest learned
     labels = rep.filter(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))
     return labels.filter("support > 0").select(F.col("label").cast("string").alias("label"), _long("support"))
@@ -582,6 +608,21 @@ def forest_predict(spark, sf):
     return model.predict(m, s.filter(F.col("split") == "test"), "embedding", "vec_id")
 
 
+def forest_tables(spark, sf):
+    """K8: a saved forest's node table gives every held-out vector the class probabilities of the
+    reloaded model itself (to 9 decimals)."""
+    e = table(spark, sf, "embeddings")
+    s = saved(split.split_exact(e, "vec_id"), "forest-split")
+    path = shared_path(spark, "stored-forest")
+    model.save_forest(model.fit_forest(s.filter("split = 'train'"), "embedding", "label", trees=STORED_TREES, seed=42), path)
+    test = s.filter("split = 'test'")
+    mine = trees.class_probabilities(trees.forest_nodes(spark, path), test, ["vec_id"], "embedding")
+    own = model.load_forest(path).transform(test.withColumn("_features", model.array_to_vector("embedding")))
+    own = own.select("vec_id", F.posexplode(model.vector_to_array("probability")).alias("class", "p"))
+    return mine.join(own, ["vec_id", "class"], "full").select("vec_id", _long("class"), F.coalesce(
+        F.abs(F.col("probability") - F.col("p")) < 1e-9, F.lit(False)).alias("agrees"))
+
+
 def scored_batch(spark, sf):
     """M1: a user model (label centroids, computed by Spark) scoring every row."""
     e = table(spark, sf, "embeddings")
@@ -698,6 +739,7 @@ QUERIES = {
     "split_exact": split_exact,
     "split_stratified": split_stratified,
     "split_grouped": split_grouped,
+    "split_stratified_grouped": split_stratified_grouped,
     "split_tenth": split_tenth,
     "rare_label_report": rare_label_report,
     "ngrams": ngrams,
@@ -707,6 +749,7 @@ QUERIES = {
     "hash_embed": hash_embed,
     "vector_normalize": vector_normalize,
     "vector_topk": vector_topk,
+    "vector_topk_clusters": vector_topk_clusters,
     "encode_fixed": encode_fixed,
     "encode_targets": encode_targets,
     "encode_lm": encode_lm,
@@ -722,6 +765,7 @@ QUERIES = {
     "suffix_dispatch": suffix_dispatch,
     "text_forest_report": text_forest_report,
     "forest_predict": forest_predict,
+    "forest_tables": forest_tables,
     "scored_batch": scored_batch,
     "csv_json_roundtrip": csv_json_roundtrip,
     "label_map_roundtrip": label_map_roundtrip,

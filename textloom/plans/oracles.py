@@ -224,6 +224,14 @@ r AS (SELECT doc_id, lang,
       FROM documents)
 SELECT doc_id, lang, CASE WHEN rk < ntest THEN 'test' ELSE 'train' END AS split FROM r JOIN q USING (lang)"""
 
+SPLIT_STRATIFIED_GROUPED = f"""
+WITH c AS (SELECT l_returnflag, count(*) AS nl FROM lineitem GROUP BY l_returnflag),
+t AS (SELECT sum(nl) AS n, CAST(ceil({_F} * sum(nl)) AS BIGINT) AS nt FROM c),
+b AS (SELECT l_returnflag, nl, (nl * (n - nt)) // n AS base, (nl * (n - nt)) % n AS rem, n - nt AS ntrain FROM c, t)
+SELECT l_returnflag, nl AS n_label, CAST(nl - base - CASE WHEN row_number() OVER (ORDER BY rem DESC, l_returnflag)
+           <= (SELECT max(ntrain) - sum(base) FROM b) THEN 1 ELSE 0 END AS BIGINT) AS n_test,
+       CAST(0 AS BIGINT) AS n_split_groups, true AS within FROM b"""
+
 SPLIT_GROUPED = f"""
 WITH u AS (SELECT conv_id, row_number() OVER (ORDER BY {_h('conv_id')}, conv_id) - 1 AS rk,
                   count(*) OVER () AS n FROM (SELECT DISTINCT conv_id FROM conversations))
@@ -370,6 +378,7 @@ ORACLES = {
     "split_exact": SPLIT_EXACT,
     "split_stratified": SPLIT_STRATIFIED,
     "split_grouped": SPLIT_GROUPED,
+    "split_stratified_grouped": SPLIT_STRATIFIED_GROUPED,
     "split_tenth": SPLIT_TENTH,
     "rare_label_report": f"""SELECT count(*) AS n_excluded FROM (SELECT p_brand, p_type FROM part
         GROUP BY p_brand, p_type HAVING count(*) < {B.VALID_LABEL_MIN})""",
@@ -443,3 +452,8 @@ ORACLES = {
     "model_roundtrip": TFIDF_TRANSFORM,
     "stream_scoring": f"SELECT t.* FROM ({TFIDF_TOPK}) t JOIN conversations c USING (conv_id, turn) WHERE {strip_sql('c.text')} <> '' AND lower({strip_sql('c.text')}) NOT IN ('exit', 'quit', 'q')",
 }
+ORACLES["vector_topk_clusters"] = ORACLES["vector_topk"]
+ORACLES["forest_tables"] = f"""
+WITH r AS (SELECT vec_id, row_number() OVER (ORDER BY {_h('vec_id')}, vec_id) - 1 AS rk, count(*) OVER () AS n FROM embeddings)
+SELECT vec_id, c AS class, true AS agrees FROM r, (SELECT unnest(range((SELECT max(label) + 1 FROM embeddings))) AS c)
+WHERE rk < ceil({_F} * n)"""

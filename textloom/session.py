@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
 
 def local_session(cores: str | int = "*", partitions: int = 8, app: str = "textloom",
                   extra: dict | None = None) -> SparkSession:
@@ -63,6 +64,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under :func:`shared_path` and read it back: later jobs and
+    recomputed tasks start from the written table."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/textloom-{spark.sparkContext.applicationId}"
 

@@ -78,3 +78,38 @@ def test_model_is_loaded_once_per_worker(spark):
         assert score_batch(df, "id", "f", load, scorer, f"loads-{folder}").count() == 64
     pids = [f.split("-")[0] for f in os.listdir(folder)]
     assert len(pids) == len(set(pids))
+
+
+def test_stopped_between_sink_and_commit(spark):
+    """A failure after the sinks are written and before the commit: the restarted stream runs the batch
+    again, and every turn is in one sink once."""
+    src = "/root/testdata/sf0.001/conversations.parquet"
+    data = spark.read.parquet(src).select("conv_id", "turn", "role", "text")
+    poison = spark.createDataFrame([(10_000, 0, "user", "\u2603 \u2603"), (None, 1, "user", "?")], data.schema)
+    folder = shared_path(spark, "t-in")
+    data.union(poison).repartition(4, "conv_id").write.parquet(folder)
+    sink, ckpt, errs = (shared_path(spark, n) for n in ("t-sink", "t-ckpt", "t-err"))
+    calls = []
+
+    def score(batch):
+        users = batch.filter("role = 'user'").select("conv_id", "turn", "text")
+        hits = users.filter(F.col("text").rlike("[a-z]")).select("conv_id", "turn", F.lit(1.0).alias("score"))
+        return stream.with_errors(hits, users, ["conv_id", "turn"], "no words")
+
+    def stop_once(epoch):
+        calls.append(epoch)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+
+    def start():
+        stream.score_stream(stream.file_stream(spark, folder, "*.parquet", data.schema, files_per_batch=1), score, sink, ckpt,
+                            error_sink=errs, after_batch=stop_once).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        start()
+    start()
+    assert len(calls) > len(set(calls))                  # one batch ran twice
+    key = lambda df: sorted((tuple(r) for r in df.select("conv_id", "turn").collect()), key=repr)
+    good, bad = spark.read.parquet(sink), spark.read.parquet(errs)
+    assert key(bad) == [(10_000, 0), (None, 1)] and {r.error for r in bad.collect()} == {"no words"}
+    assert key(good) == key(data.filter("role = 'user'"))

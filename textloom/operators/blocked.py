@@ -1,15 +1,19 @@
-"""Exact top-k scoring of query blocks against item blocks.
+"""Exact top-k scoring of queries against blocks of items.
 
-Used by sparse (H5) and dense (H4) retrieval. Both sides are hashed into
-blocks of bounded size, every (query block, item block) pair is one group of a
-cogroup, and the group's task scores it with NumPy and emits its exact top-k
-per query (ties broken by item id). Neither side passes through the driver.
+Used by sparse (H5) and dense (H4) retrieval. Sparse: a task gets a block's document rows
+first, then the queries that ask for the block as a stream, and scores them a few
+thousand at a time (:func:`stream_blocks`). Dense: every (query block, item block) is one
+group of a cogroup. Tasks use NumPy and emit the exact top-k per query (ties broken by item
+id). Neither side passes through the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +92,67 @@ def grid(queries: DataFrame, items: DataFrame, qids: list[str], iid: str, n_q: i
     return q.groupBy("_qb", "_ib").cogroup(i.groupBy("_qb", "_ib"))
 
 
+def stream_blocks(queries: DataFrame, docs: DataFrame, qids: list[str], did: str, k: int, query_block: int, schema) -> DataFrame:
+    """Top-k of each query in each block it asks for. ``queries``: (qids, _ib, _t, _w); ``docs``: (did, _t,
+    _wd, _ib). Rows meet by block: a task reads a block's documents, then streams its queries."""
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    left = docs.select("_ib", F.lit(0).alias("_kind"), *[none(queries, c) for c in qids], F.col(did).alias("_did"), "_t", F.col("_wd").alias("_w"))
+    right = queries.select("_ib", F.lit(1).alias("_kind"), *qids, none(docs, did).alias("_did"), "_t", "_w")
+    rows = left.union(right).repartition("_ib").sortWithinPartitions("_ib", "_kind", *qids)
+    score = sparse_block(qids, did, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, doc_parts, ddf, parts, seen = None, [], None, [], 0
+
+        def scores() -> Iterator[pa.RecordBatch]:
+            nonlocal ddf, parts, seen
+            if parts and (doc_parts or ddf is not None):
+                if ddf is None:
+                    ddf = pd.concat(doc_parts, ignore_index=True).sort_values(did, kind="stable")
+                    doc_parts.clear()
+                out = score(pd.concat(parts, ignore_index=True), ddf)
+                if len(out):
+                    yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+            parts, seen = [], 0
+
+        for b in batches:
+            at = b.column("_ib").to_numpy(zero_copy_only=False)
+            kind = b.column("_kind").to_numpy()
+            cuts = np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for i, j in zip(np.r_[0, cuts], np.r_[cuts, len(b)], strict=True):
+                if j <= i:
+                    continue
+                if at[i] != block:
+                    yield from scores()
+                    block, doc_parts, ddf = at[i], [], None
+                part = b.slice(i, j - i)
+                if kind[i] == 0:
+                    doc_parts.append(part.select(["_did", "_t", "_w"]).to_pandas().set_axis([did, "_t", "_wd"], axis=1))
+                    continue
+                pdf = part.select([*qids, "_t", "_w"]).to_pandas().rename(columns={"_w": "weight"})
+                new = pdf[qids].ne(pdf[qids].shift()).any(axis=1).to_numpy()
+                starts = np.flatnonzero(new)
+                if seen and len(starts) and (parts[-1][qids].iloc[-1] == pdf[qids].iloc[0]).all():
+                    starts = starts[1:]                  # a query that began in the batch before
+                if seen and len(starts) and seen + len(starts) > query_block:
+                    if starts[0]:
+                        parts.append(pdf.iloc[:starts[0]])
+                    yield from scores()
+                    pdf = pdf.iloc[starts[0]:]
+                if len(pdf):
+                    parts.append(pdf)
+                    seen += len(starts)
+        yield from scores()
+
+    arrow = _arrow(schema)
+    return rows.mapInArrow(run, schema)
+
+
+def _arrow(schema) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(schema)
+
+
 def sparse_block(qids: list[str], item_col: str, k: int):
     """cogroup function: query rows ``(qids, _t, weight)`` and item rows
     ``(item, _t, _wd)``, where ``_t`` numbers a term."""

@@ -37,6 +37,7 @@ VALID_LABEL_MIN = 15
 HASH_DIMS = 256
 FOREST_MIN_ROWS = 5       # words of fewer training documents are no feature of the text forest
 STORED_TREES = 20
+NO_TERM = "no term in common with any document"
 VECTOR_CLUSTERS = 64
 # ----------------------------------------------------------------------------
 
@@ -673,11 +674,8 @@ def model_roundtrip(spark, sf):
 
 # --- N1: streaming -------------------------------------------------------------
 
-def stream_scoring(spark, sf):
-    """Conversations as a file stream; every micro-batch of user turns
-    (without blank and exit-word queries) scored against the documents. The
-    static side (fitted counts, document weights) is saved once in the shared
-    folder and reused by every batch."""
+def _stream_scoring(spark, sf):
+    """The stream's sinks: results, and queries that could not be scored."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True).materialize_norms()
     weights = shared_path(spark, "doc-weights")
@@ -685,19 +683,33 @@ def stream_scoring(spark, sf):
     dw = spark.read.parquet(weights)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
-    sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
+    sink, errors, ckpt = (shared_path(spark, n) for n in ("stream-sink", "stream-errors", "stream-ckpt"))
 
     def score(batch):
         turns = batch.filter(F.col("role") == "user").select("conv_id", "turn", "text")
         r = features.tfidf_topk(fit, turns, ["conv_id", "turn"], "text", None, "doc_id",
                                 k=3, doc_weights=dw)
-        return r.select("conv_id", "turn", _long("rank"), "doc_id",
-                        F.round("score", 6).alias("score"))
+        r = r.select("conv_id", "turn", _long("rank"), "doc_id", F.round("score", 6).alias("score"))
+        return stream.with_errors(r, turns, ["conv_id", "turn"], NO_TERM)
 
-    q = stream.score_stream(src, score, sink, ckpt, query_col="text")
+    q = stream.score_stream(src, score, sink, ckpt, query_col="text", error_sink=errors)
     q.awaitTermination()
-    return (spark.read.parquet(sink)
-            .select("conv_id", "turn", "rank", "doc_id", "score"))
+    return spark.read.parquet(sink), spark.read.parquet(errors)
+
+
+def stream_scoring(spark, sf):
+    """Conversations as a file stream; every micro-batch of user turns
+    (without blank and exit-word queries) scored against the documents. The
+    static side (fitted counts, document weights) is saved once in the shared
+    folder and reused by every batch."""
+    return _stream_scoring(spark, sf)[0].select("conv_id", "turn", "rank", "doc_id", "score")
+
+
+def stream_errors(spark, sf):
+    """The same stream's error sink, and the number of results of every turn that has any."""
+    good, bad = _stream_scoring(spark, sf)
+    rows = good.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).withColumn("error", F.lit(None).cast("string"))
+    return rows.unionByName(bad.select("conv_id", "turn", F.lit(0).cast("long").alias("n"), "error"))
 
 
 QUERIES = {
@@ -771,4 +783,5 @@ QUERIES = {
     "label_map_roundtrip": label_map_roundtrip,
     "model_roundtrip": model_roundtrip,
     "stream_scoring": stream_scoring,
+    "stream_errors": stream_errors,
 }

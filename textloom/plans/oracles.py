@@ -457,3 +457,9 @@ ORACLES["forest_tables"] = f"""
 WITH r AS (SELECT vec_id, row_number() OVER (ORDER BY {_h('vec_id')}, vec_id) - 1 AS rk, count(*) OVER () AS n FROM embeddings)
 SELECT vec_id, c AS class, true AS agrees FROM r, (SELECT unnest(range((SELECT max(label) + 1 FROM embeddings))) AS c)
 WHERE rk < ceil({_F} * n)"""
+ORACLES["stream_errors"] = f"""
+WITH u AS (SELECT conv_id, turn FROM conversations WHERE role = 'user' AND {strip_sql('text')} <> ''
+           AND lower({strip_sql('text')}) NOT IN ('exit', 'quit', 'q')),
+r AS (SELECT conv_id, turn, count(*) AS n FROM ({TFIDF_TOPK}) GROUP BY ALL)
+SELECT conv_id, turn, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN {_sq(B.NO_TERM)} END AS error
+FROM u LEFT JOIN r USING (conv_id, turn)"""

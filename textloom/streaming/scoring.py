@@ -11,9 +11,11 @@ the engine itself fails the batch, which Spark then runs again.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textloom.functions.text import not_blank
 
@@ -21,12 +23,14 @@ from textloom.functions.text import not_blank
 def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sink: str,
                  checkpoint: str, query_col: str | None = None,
                  stop_words: Sequence[str] | None = None, available_now: bool = True,
-                 error_sink: str | None = None):
+                 error_sink: str | None = None, after_batch: Callable[[int], None] | None = None):
     """Start the streaming job; returns the ``StreamingQuery``.
 
     ``score(batch_df)`` maps a static batch of queries to result rows, written
     to ``sink/batch_id=<epoch>`` (idempotent per batch). Rows with a non-null
     ``error`` column, if the scorer has one, are written to ``error_sink`` instead.
+    ``after_batch(epoch)`` is called when a batch is in its sinks and Spark has not committed it yet;
+    if it (or the driver) fails there, the restarted stream runs the batch again into the same folders.
     ``query_col``: optional blank / exit-word filter (C13) before scoring.
     """
     src = stream
@@ -44,12 +48,23 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sin
             out.unpersist()
         else:
             out.write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
+        if after_batch is not None:
+            after_batch(epoch)
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 
 
+def with_errors(results: DataFrame, queries: DataFrame, keys: Sequence[str], reason: str) -> DataFrame:
+    """``results`` with a null ``error``, and one row with ``reason`` for each query that has no result
+    (null-safe on the keys), so that every query of a batch leaves a row in one of the sinks."""
+    found = results.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    missed = queries.select(*keys).distinct().join(found, same, "left_anti").withColumn("error", F.lit(reason))
+    return results.withColumn("error", F.lit(None).cast("string")).unionByName(missed, allowMissingColumns=True)
+
+
 def file_stream(spark, folder: str, file_glob: str, schema, files_per_batch: int = 1000) -> DataFrame:
     """A Parquet file-source stream over ``folder`` limited to ``file_glob``."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)

@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 from textloom.llm.common import saved, text_pieces
 
 SHARD_TOKENS = 1 << 18
-PIECE_BYTES = 8 << 20      # text encoded at once
+PIECE_BYTES = 3 << 20      # text encoded at once
 RANK_STEP = 512
 END_ID = 1
-CACHE_WORDS = 400_000      # distinct words a worker remembers before it starts anew
+CACHE_BYTES = 16 << 20     # of the distinct words a worker remembers before it starts anew
 _MAGIC = b"TLWM0001"
 SHARDS = "part int, seq int, n_docs long, n_tokens long, image binary"
 
@@ -67,10 +67,10 @@ class WordEncoder:
     distinct words of a batch are looked up, and only unknown ones encoded.
     """
 
-    def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, end_id: int = END_ID, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.end_id, self.cache_words = end_id, cache_words
+        self.end_id, self.cache_bytes = end_id, cache_bytes
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.signs = os.path.commonprefix(self.special)       # begins every special token
         self.letters = _byte_letters()
@@ -80,8 +80,9 @@ class WordEncoder:
     def _reset(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.runs: dict[str, list[int]] = {}
+        self.held = 0
         self.flat = np.zeros(0, np.uint32)
-        self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int32)
 
     def _word(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word) or (self.signs in word and any(t in word for t in self.special)):
@@ -96,13 +97,14 @@ class WordEncoder:
         return out
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.index) > self.cache_words:
+        if self.held > self.cache_bytes:
             self._reset()
         new = [w for w in words if w not in self.index]
         if new:
             ids = [self._word(w) for w in new]
-            length = np.array([len(x) for x in ids], np.int64)
-            start = len(self.flat) + np.cumsum(length) - length
+            self.held += sum(map(len, new))
+            length = np.array([len(x) for x in ids], np.int32)
+            start = len(self.flat) + np.cumsum(length, dtype=np.int64) - length
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
             self.index.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
             self.start, self.length = np.r_[self.start, start], np.r_[self.length, length]
@@ -116,7 +118,7 @@ class WordEncoder:
         at = self._numbers(found.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(found.indices)]
         length, start = self.length[at], self.start[at]
         length, start = np.insert(length, ends, 1), np.insert(start, ends, len(self.flat))
-        to = np.cumsum(length)
+        to = np.cumsum(length, dtype=np.int64)
         flat = np.append(self.flat, np.uint32(self.end_id))
         ids = flat[np.repeat(start - (to - length), length) + np.arange(to[-1] if len(to) else 0)]
         last = ends + np.arange(len(ends))

@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 from textloom.llm.common import saved, text_pieces
 
 SHARD_TOKENS = 1 << 18
-PIECE_BYTES = 3 << 20      # text encoded at once
+PIECE_BYTES = 6 << 20      # text encoded at once
 RANK_STEP = 512
 END_ID = 1
-CACHE_BYTES = 16 << 20     # of the distinct words a worker remembers before it starts anew
+CACHE_WORDS = 200_000      # distinct words a worker remembers before it starts anew
 _MAGIC = b"TLWM0001"
 SHARDS = "part int, seq int, n_docs long, n_tokens long, image binary"
 
@@ -67,10 +67,10 @@ class WordEncoder:
     distinct words of a batch are looked up, and only unknown ones encoded.
     """
 
-    def __init__(self, path: str, end_id: int = END_ID, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.end_id, self.cache_bytes = end_id, cache_bytes
+        self.end_id, self.cache_words = end_id, cache_words
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.signs = os.path.commonprefix(self.special)       # begins every special token
         self.letters = _byte_letters()
@@ -80,29 +80,33 @@ class WordEncoder:
     def _reset(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.runs: dict[str, list[int]] = {}
-        self.held = 0
         self.flat = np.zeros(0, np.uint32)
         self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int32)
 
     def _word(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word) or (self.signs in word and any(t in word for t in self.special)):
             return self.tok.encode(word, add_special_tokens=False).ids
+        low = word.lower()
+        if low.isascii() and low.isalpha():             # one run
+            return self._run(low)
         out: list[int] = []
-        for run in _RUNS.findall(word.lower()):
-            ids = self.runs.get(run)
-            if ids is None:
-                spelled = run if run.isascii() else "".join(self.letters[b] for b in run.encode())
-                ids = self.runs[run] = [t.id for t in self.tok.model.tokenize(spelled)]
-            out += ids
+        for run in _RUNS.findall(low):
+            out += self.runs.get(run) or self._run(run)
         return out
 
+    def _run(self, run: str) -> list[int]:
+        ids = self.runs.get(run)
+        if ids is None:
+            spelled = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
+            ids = self.runs[run] = [t.id for t in self.tok.model.tokenize(spelled)]
+        return ids
+
     def _numbers(self, words: list[str]) -> np.ndarray:
-        if self.held > self.cache_bytes:
+        if len(self.index) > self.cache_words:
             self._reset()
         new = [w for w in words if w not in self.index]
         if new:
             ids = [self._word(w) for w in new]
-            self.held += sum(map(len, new))
             length = np.array([len(x) for x in ids], np.int32)
             start = len(self.flat) + np.cumsum(length, dtype=np.int64) - length
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
@@ -249,7 +253,7 @@ class Shard:
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             v[int(self.zeros[level]):] |= wide(1 << (self.bits - 1 - level))
             up = np.empty(self.n, wide)
-            up[np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])] = v
+            up[~one], up[one] = v[:int(self.zeros[level])], v[int(self.zeros[level]):]
             v = up
         return v
 

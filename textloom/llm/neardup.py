@@ -159,6 +159,31 @@ def _paired(members: DataFrame, leaders: DataFrame, similar_pct: int) -> DataFra
     return pairs.filter(fits).select(*out).distinct()
 
 
+def parities(sets: DataFrame) -> DataFrame:
+    """(fp, bits): whether the number of shingles in each of 512 buckets is odd."""
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bits = []
+            for x in b.column("items"):
+                spot = (np.frombuffer(x.as_buffer(), np.uint64) & np.uint64(511)).astype(np.int64)
+                bits.append(np.packbits((np.bincount(spot, minlength=512) & 1).astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("fp"), pa.array(bits, pa.list_(pa.int64()))], ["fp", "bits"])
+
+    return sets.select("fp", "items").mapInArrow(job, "fp binary, bits array<long>")
+
+
+def _may_be_similar(x: str, y: str, pct: int) -> Column:
+    """Bounds that similar sets meet: places of their first common item, and the parities, whose
+    differences are at most the shingles that only one of the sets has."""
+    size = F.col(f"{x}.n") + F.col(f"{y}.n")
+    after = F.least(F.col(f"{x}.n") - F.col(f"{x}.rank"), F.col(f"{y}.n") - F.col(f"{y}.rank"))
+    odd = None
+    for k in range(8):
+        d = F.bit_count(F.get(f"{x}.bits", F.lit(k)).bitwiseXOR(F.get(f"{y}.bits", F.lit(k))))
+        odd = d if odd is None else odd + d
+    return ((1 + after) * (100 + pct) >= size * pct) & (odd * (100 + pct) <= size * (100 - pct))
+
+
 def _prefix_pairs(contested: DataFrame, sets: DataFrame, similar_pct: int) -> DataFrame:
     """All pairs of classes from different components that can be similar: two such sets share an
     item among the n - ceil(J n) + 1 rarest of each. In an item's group, classes outside the
@@ -177,14 +202,15 @@ def _prefix_pairs(contested: DataFrame, sets: DataFrame, similar_pct: int) -> Da
     rank = F.row_number().over(Window.partitionBy("fp").orderBy("c", "item"))
     prefix = F.col("n") - F.ceil(F.col("n") * similar_pct / 100) + 1
     ranked = (rows.join(often, "item").withColumn("rank", rank).join(contested, "fp")
-              .filter((F.col("rank") <= prefix) & (F.col("c") > 1)).select("item", "fp", "n", "root"))
-    ranked = saved(ranked, "neardup-prefixes")
+              .filter((F.col("rank") <= prefix) & (F.col("c") > 1)).select("item", "fp", "n", "root", "rank"))
+    ranked = saved(ranked.join(parities(mine), "fp"), "neardup-prefixes")
     most = (ranked.groupBy("item", "root").agg(F.count(F.lit(1)).alias("k"))
             .groupBy("item").agg(F.max_by("root", F.struct("k", "root")).alias("most")))
     rest = ranked.join(most, "item").filter("root <> most")
     x, y = rest.alias("x"), ranked.alias("y")
     fits, out = _canonical("x", "y", similar_pct, roots=True)
-    return x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.root") != F.col("y.root")) & fits).select(*out).distinct()
+    return x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.root") != F.col("y.root")) & fits
+                  & _may_be_similar("x", "y", similar_pct)).select(*out).distinct()
 
 
 def forest_regions(classes: DataFrame) -> DataFrame:

@@ -40,8 +40,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 def _is_array_json(spark: SparkSession, path: str) -> bool:
     """Peek at the first non-blank character of a JSON file or folder."""
-    head = (spark.read.text(path).filter(F.trim("value") != "").limit(1).collect())
-    return bool(head) and head[0][0].lstrip().startswith("[")
+    first = F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1)        # one character reaches the driver
+    head = spark.read.text(path).select(first.alias("c")).filter("c <> ''").limit(1).collect()
+    return bool(head) and head[0]["c"] == "["
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error",

@@ -9,7 +9,7 @@ windows) reject outright.
 Defined results: a null text counts as empty; empty and blank texts have no
 words and are rejected; repeated rows are each judged; an empty table gives an
 empty table; other columns of the input are kept and new ones are only added by
-``line_quality`` under the names in ``COLUMNS`` (a clash raises).
+``line_quality`` under the names in ``COLUMNS`` (an input column of such a name is left out).
 No shuffle: a text is judged inside its row.
 """
 

@@ -37,6 +37,7 @@ VALID_LABEL_MIN = 15
 HASH_DIMS = 256
 FOREST_MIN_ROWS = 5       # words of fewer training documents are no feature of the text forest
 STORED_TREES = 20
+JSON_ARRAY_ROWS = 5_000
 NO_TERM = "no term in common with any document"
 VECTOR_CLUSTERS = 64
 # ----------------------------------------------------------------------------
@@ -555,19 +556,18 @@ def find_command(spark, sf):
 
 
 def json_array_read(spark, sf):
-    """A2: the nation table as one JSON array file, read back."""
-    nat = table(spark, sf, "nation")
-    path = shared_path(spark, "nation-array")
-    rec = F.to_json(F.array_sort(F.collect_list(F.struct(*nat.columns))))      # one file, as the format asks
-    nat.agg(rec.alias("value")).coalesce(1).write.text(path)
-    return io.read_table(spark, path, nat.schema, "json")
+    """A2: the orders table as JSON array files of bounded size, read back."""
+    orders = table(spark, sf, "orders")
+    path = shared_path(spark, "orders-array")
+    io.write_json_arrays(orders, path, "o_orderkey", JSON_ARRAY_ROWS)
+    return io.read_table(spark, path, orders.schema, "json")
 
 
 def suffix_dispatch(spark, sf):
-    """A3: the region table written and read in each format by its suffix."""
-    reg, out = table(spark, sf, "region"), None
+    """A3: the customer table written and read in each format by its suffix."""
+    reg, out = table(spark, sf, "customer"), None
     for fmt in ("csv", "json", "parquet"):
-        path = shared_path(spark, "region") + f".{fmt}"
+        path = shared_path(spark, "customer") + f".{fmt}"
         io.write_table(reg, path, fmt)
         got = io.read_table(spark, path, reg.schema).withColumn("format", F.lit(fmt))
         out = got if out is None else out.unionByName(got)

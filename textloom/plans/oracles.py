@@ -435,8 +435,8 @@ ORACLES = {
         s AS (SELECT q.k AS p_partkey, d.k AS command, sum(q.w * d.w) AS score FROM q JOIN d USING (b) GROUP BY ALL)
         SELECT p_partkey, command, round(score, 6) AS score FROM s
         QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY round(score, 9) DESC, command) = 1""",
-    "json_array_read": "SELECT * FROM nation",
-    "suffix_dispatch": "SELECT region.*, f.format FROM region, (VALUES ('csv'), ('json'), ('parquet')) f(format)",
+    "json_array_read": "SELECT * FROM orders",
+    "suffix_dispatch": "SELECT customer.*, f.format FROM customer, (VALUES ('csv'), ('json'), ('parquet')) f(format)",
     "text_forest_report": f"""
         WITH d AS (SELECT doc_id, quality, row_number() OVER (ORDER BY {_h('doc_id')}, doc_id) - 1 AS rk, count(*) OVER () AS n
           FROM documents JOIN labels USING (doc_id))

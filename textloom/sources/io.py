@@ -65,6 +65,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     return path
 
 
+def write_json_arrays(df: DataFrame, path: str, key: str, rows: int, mode: str = "error") -> str:
+    """A5: files of one JSON array of about ``rows`` records each, as :func:`read_table` reads them.
+    Records are dealt by a hash of the key, so a task holds an array at a time; rows of one key
+    stay together."""
+    arrays = -(-df.count() // rows) or 1
+    part = F.pmod(F.xxhash64(key), F.lit(arrays))
+    out = df.groupBy(part.alias("_p")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    out.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 LABELS_SCHEMA = "label string, label_id bigint"
 
 

@@ -240,6 +240,17 @@ def dataset_stats(spark, sf):
     return metrics.dataset_stats(table(spark, sf, "documents"), "source")
 
 
+def dataset_stats_merged(spark, sf):
+    """statistics of lineitem from sketches stored per ship month, and whether the estimated number of
+    orders is within 4 % of the exact one."""
+    lines = table(spark, sf, "lineitem")
+    path = shared_path(spark, "sketches")
+    metrics.stats_sketch(lines, "l_orderkey", [F.date_format("l_shipdate", "yyyy-MM").alias("month")]).write.parquet(path)
+    got = metrics.merged_stats(spark.read.parquet(path))
+    exact = lines.select(F.countDistinct("l_orderkey")).scalar()
+    return got.select("n_rows", (F.abs(F.col("n_keys") - exact) <= 0.04 * exact).alias("within"))
+
+
 def distinct_candidates(spark, sf):
     """Distinct (user, event type)."""
     return scoring.distinct_candidates(table(spark, sf, "events"), "user_id", "event_type") \
@@ -738,6 +749,7 @@ QUERIES = {
     "keyword_fallback": keyword_fallback,
     "label_counts": label_counts,
     "dataset_stats": dataset_stats,
+    "dataset_stats_merged": dataset_stats_merged,
     "distinct_candidates": distinct_candidates,
     "candidate_mode": candidate_mode,
     "resolve_candidates": resolve_candidates,

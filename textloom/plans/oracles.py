@@ -463,3 +463,4 @@ WITH u AS (SELECT conv_id, turn FROM conversations WHERE role = 'user' AND {stri
 r AS (SELECT conv_id, turn, count(*) AS n FROM ({TFIDF_TOPK}) GROUP BY ALL)
 SELECT conv_id, turn, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN {_sq(B.NO_TERM)} END AS error
 FROM u LEFT JOIN r USING (conv_id, turn)"""
+ORACLES["dataset_stats_merged"] = "SELECT count(*) AS n_rows, true AS within FROM lineitem"

@@ -6,11 +6,14 @@ before it. The validators must agree (ETag if both have one, else Last-Modified,
 else the payload digest); then the revisit takes the response's payload, and the
 headers that a 304 may update replace those of the response.
 
-Records are looked at in two levels: inside (URL, time slice) and, by each
-slice's last response, across the slices of a URL. Slices follow the number of
-records, so a URL with a third of all records is many small groups, and only
-ids, times and validators are shuffled; payloads meet at the end by ``uid``, a hash
-of all columns, so records need no id of their own.
+Records are looked at in two levels: inside (URL, slice) and, by each slice's last
+response, across the slices of a URL. Slices are ranges of records by URL and time
+of about equal numbers, wherever the times lie, so a URL with a third of all records
+is many small groups. This search moves ids, times and validators only. Records meet
+at the end by ``uid``, a hash of all columns, so they need no id of their own: full
+responses stay where they are, and one join takes the payload of a base to its
+revisits. Only if some rows are equal in all columns are whole records told apart,
+and written once, before.
 
 Defined results: a null or unparsable URL is its own text and matches equal
 text only, a null URL matches nothing; a null time sorts first; of responses at
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import row_key, saved
 
-RECORDS_PER_SLICE = 2_000
+RECORDS_PER_SLICE = 200_000
 # Headers (lower case) that a not-modified answer may update.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "server",
              "set-cookie", "vary", "warning")
@@ -66,16 +69,13 @@ def _agree(a: str, b: str) -> Column:
 def latest_responses(records: DataFrame) -> DataFrame:
     """(uid, base) of each revisit: the latest earlier response of its URL (null: none).
     ``records``: uid, record_id, type, key, time, check (validators)."""
-    span = records.agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("lo"), F.max("time").alias("hi")).first()
-    lo, hi = span["lo"] or 0, span["hi"] or 0
-    width = max(1, (hi - lo + 1) * RECORDS_PER_SLICE // max(span["n"], 1))
     # revisits come before responses of the same time: a response must be earlier
     response = F.col("type") == "response"
-    r = (records.filter("key IS NOT NULL").dropDuplicates(["uid"])
-         .withColumn("slice", F.coalesce(F.floor((F.col("time") - lo) / width), F.lit(-1)).cast("long"))
-         .withColumn("late", response.cast("int"))
-         .withColumn("own", F.when(response, F.struct("record_id", "uid", "check"))))
     order = [F.col("time").asc_nulls_first(), "late", "record_id", "uid"]
+    slices = max(1, -(-records.count() // RECORDS_PER_SLICE))
+    r = saved(records.filter("key IS NOT NULL").dropDuplicates(["uid"]).withColumn("late", response.cast("int"))
+              .repartitionByRange(slices, "key", *order).withColumn("slice", F.spark_partition_id()), "warc-slices")
+    r = r.withColumn("own", F.when(response, F.struct("record_id", "uid", "check")))
     inside = Window.partitionBy("key", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("near", F.last("own", ignorenulls=True).over(inside))
     ends = r.groupBy("key", "slice").agg(F.max_by("own", F.when(response, F.struct(
@@ -98,24 +98,25 @@ def resolve(records: DataFrame) -> DataFrame:
     check = F.struct(F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("modified"),
                      F.col("digest").alias("digest"))
     slim = saved(rec.select("uid", "record_id", "type", "key", F.col("time").cast("long").alias("time"), check.alias("check")), "warc-slim")
+    if slim.select("uid").distinct().count() < slim.count():
+        rec = saved(rec.dropDuplicates(["uid"]), "warc-records")
     base = latest_responses(slim)
     ok = F.col("base").isNotNull() & _agree("check", "base.check")
-    base = base.select("uid", F.col("base.uid").alias("base_uid"), F.col("base.record_id").alias("base_id"),
-                       F.when(F.col("base").isNull(), "missing").when(ok, "resolved").otherwise("mismatch").alias("found"))
-    links = saved(base, "warc-links")
-    got = (links.filter("found = 'resolved'").join(
-        rec.filter("type = 'response'").dropDuplicates(["uid"]).select(
-            F.col("uid").alias("base_uid"), F.col("headers").alias("base_headers"), F.col("payload").alias("base_payload")),
-        "base_uid").select("uid", "base_headers", "base_payload"))
-    out = rec.dropDuplicates(["uid"]).join(links, "uid", "left").join(got, "uid", "left")
-    resolved = F.col("found") == "resolved"
+    links = saved(base.select(
+        "uid", F.col("base.uid").alias("base_uid"), F.col("base.record_id").alias("base_id"),
+        F.when(F.col("base").isNull(), "missing").when(ok, "resolved").otherwise("mismatch").alias("found")), "warc-links")
+    response = F.coalesce(F.col("type") == "response", F.lit(False))
+    own = ["record_id", "type", "key", "time"]
+    full = rec.filter(response).select(*own, F.lit("full").alias("status"), F.lit(None).cast(rec.schema["record_id"].dataType).alias("base_id"),
+                                       "headers", "payload")
+    again = rec.filter(~response).join(links, "uid", "left").withColumn("found", F.coalesce("found", F.lit("missing")))
+    left = again.filter("found <> 'resolved'").select(*own, F.col("found").alias("status"), "base_id", "headers", "payload")
     updates = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
-    merged = F.map_concat(F.map_filter("base_headers", lambda k, _: ~F.map_contains_key(updates, k)), updates)
-    return out.select(
-        "record_id", "type", "key", "time",
-        F.when(F.col("type") == "response", "full").otherwise(F.coalesce("found", F.lit("missing"))).alias("status"),
-        "base_id", F.when(resolved, merged).otherwise(F.col("headers")).alias("headers"),
-        F.when(resolved, F.col("base_payload")).otherwise(F.col("payload")).alias("payload"))
+    merged = F.map_concat(F.map_filter("base_headers", lambda k, _: ~F.map_contains_key("updates", k)), F.col("updates"))
+    got = (again.filter("found = 'resolved'").select(*own, "base_id", "base_uid", updates.alias("updates")).join(
+        rec.filter(response).select(F.col("uid").alias("base_uid"), F.col("headers").alias("base_headers"), "payload"), "base_uid")
+        .select(*own, F.lit("resolved").alias("status"), "base_id", merged.alias("headers"), "payload"))
+    return full.unionByName(left).unionByName(got)
 
 
 def crawl_records(pages: DataFrame) -> DataFrame:

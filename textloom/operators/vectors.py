@@ -36,14 +36,14 @@ def normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
 
 
 def embed(df: DataFrame, id_col: str, text: str, fn: Callable[[list[str]], np.ndarray],
-          out: str = "embedding") -> DataFrame:
-    """H2: apply a user encoder to text batches (Arrow, once per batch)."""
-    schema = T.StructType([df.schema[id_col],
-                           T.StructField(out, T.ArrayType(T.FloatType()))])
+          out: str = "embedding", element: T.DataType = T.FloatType()) -> DataFrame:
+    """H2: apply a user encoder to text batches (Arrow, once per batch); ``element`` is float or double."""
+    schema = T.StructType([df.schema[id_col], T.StructField(out, T.ArrayType(element))])
+    kind = np.float64 if isinstance(element, T.DoubleType) else np.float32
 
     def run(batches):
         for pdf in batches:
-            vecs = np.asarray(fn(pdf[text].tolist()), dtype=np.float32)
+            vecs = np.asarray(fn(pdf[text].tolist()), dtype=kind)
             yield pd.DataFrame({id_col: pdf[id_col], out: list(vecs)})
 
     return df.select(id_col, text).mapInPandas(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from textloom import defaults as D
 from textloom.functions import text as X
 from textloom.operators import catalog, encode, expand, features, group_split, metrics, model, scoring, split
-from textloom.operators import trees, vectors
+from textloom.operators import keywords, projection, trees, vectors
 from textloom.plans.tables import table
 from textloom.session import saved, shared_path
 from textloom.sources import html, io
@@ -40,6 +40,8 @@ STORED_TREES = 20
 JSON_ARRAY_ROWS = 5_000
 NO_TERM = "no term in common with any document"
 VECTOR_CLUSTERS = 64
+PROJECTED_DIMS = 64
+CSV_FILES = 8
 # ----------------------------------------------------------------------------
 
 
@@ -230,6 +232,17 @@ def keyword_fallback(spark, sf):
     return catalog.keyword_fallback(docs, "text", DOC_KEYWORDS).select("doc_id", "command", "score")
 
 
+def keyword_table(spark, sf):
+    """E8 by table: the first two words of every turn are keywords, in order of the turns; the first that
+    each document contains."""
+    turns = table(spark, sf, "conversations")
+    kw = turns.select(F.regexp_extract("text", r"^[^ ]+ [^ ]+", 0).alias("keyword"),
+                      F.concat_ws("-", "role", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("command"),
+                      F.struct("conv_id", "turn").alias("pos")).filter("keyword <> ''")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return keywords.keyword_table_fallback(docs, "text", kw).select("doc_id", "command", "score")
+
+
 def label_counts(spark, sf):
     """documents per source."""
     return metrics.label_counts(table(spark, sf, "documents"), "source")
@@ -455,6 +468,29 @@ def vector_topk_clusters(spark, sf):
     return r.select("q", _long("rank"), "vec_id", F.round("score", 6).alias("score"))
 
 
+def _projected(spark, sf):
+    """The encoder fitted on documents, saved and loaded, and the documents' vectors, saved and loaded."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    path = projection.save_projection(projection.fit_projection(docs, "text"), shared_path(spark, "projection"))
+    idf = projection.load_projection(spark, path)
+    return idf, saved(projection.project(docs, "doc_id", "text", idf, PROJECTED_DIMS), "projected")
+
+
+def projected_embed(spark, sf):
+    """H2 + A7: documents by the fitted encoder, through a saved model; components, exploded."""
+    _, vec = _projected(spark, sf)
+    return vec.select("doc_id", F.posexplode("embedding").alias("pos", "x")).select("doc_id", _long("pos"), F.round("x", 6).alias("x"))
+
+
+def projected_topk(spark, sf):
+    """H2 + A7 + H4: the 3 documents nearest to each first user turn, over saved and reloaded vectors."""
+    idf, vec = _projected(spark, sf)
+    first = table(spark, sf, "conversations").filter("turn = 0").select("conv_id", "text")
+    q = projection.project(first, "conv_id", "text", idf, PROJECTED_DIMS)
+    r = vectors.vector_topk(q, vec, "conv_id", "doc_id", "embedding", k=3)
+    return r.select("conv_id", _long("rank"), "doc_id", F.round("score", 6).alias("score"))
+
+
 # --- L: encoding -------------------------------------------------------------
 
 def _explode2(df, key, a, b, out_a, out_b):
@@ -666,6 +702,16 @@ def csv_json_roundtrip(spark, sf):
     return a.join(b, list(schema.names), "inner").select(*schema.names)
 
 
+def csv_split_read(spark, sf):
+    """A1 + A4: documents as CSV files, those with line breaks in files of their own, read back: files
+    without a quoted line break are split."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    path = shared_path(spark, "documents-csv")
+    breaks = F.coalesce(F.col("text").rlike(r"[\r\n]"), F.lit(False))
+    io.write_table(docs.repartitionByRange(CSV_FILES, breaks, "doc_id"), path, "csv")
+    return io.read_table(spark, path, docs.schema, "csv")
+
+
 def label_map_roundtrip(spark, sf):
     """A6 + A8: label dictionary written and read back as typed Parquet."""
     path = shared_path(spark, "labels")
@@ -747,6 +793,7 @@ QUERIES = {
     "encode_labels": encode_labels,
     "dedup_last": dedup_last,
     "keyword_fallback": keyword_fallback,
+    "keyword_table": keyword_table,
     "label_counts": label_counts,
     "dataset_stats": dataset_stats,
     "dataset_stats_merged": dataset_stats_merged,
@@ -771,6 +818,8 @@ QUERIES = {
     "tfidf": tfidf,
     "tfidf_transform": tfidf_transform,
     "hash_embed": hash_embed,
+    "projected_embed": projected_embed,
+    "projected_topk": projected_topk,
     "vector_normalize": vector_normalize,
     "vector_topk": vector_topk,
     "vector_topk_clusters": vector_topk_clusters,
@@ -792,6 +841,7 @@ QUERIES = {
     "forest_tables": forest_tables,
     "scored_batch": scored_batch,
     "csv_json_roundtrip": csv_json_roundtrip,
+    "csv_split_read": csv_split_read,
     "label_map_roundtrip": label_map_roundtrip,
     "model_roundtrip": model_roundtrip,
     "stream_scoring": stream_scoring,

@@ -7,6 +7,7 @@ Binding parameters are imported from ``bindings`` so both sides use one list.
 from __future__ import annotations
 
 from textloom import defaults as D
+from textloom.operators import projection as P
 from textloom.plans import bindings as B
 
 WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -464,3 +465,35 @@ r AS (SELECT conv_id, turn, count(*) AS n FROM ({TFIDF_TOPK}) GROUP BY ALL)
 SELECT conv_id, turn, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN {_sq(B.NO_TERM)} END AS error
 FROM u LEFT JOIN r USING (conv_id, turn)"""
 ORACLES["dataset_stats_merged"] = "SELECT count(*) AS n_rows, true AS within FROM lineitem"
+ORACLES["csv_split_read"] = "SELECT doc_id, source, lang, text FROM documents"
+ORACLES["keyword_table"] = f"""
+WITH k AS (SELECT lower(regexp_extract(text, '^[^ ]+ [^ ]+')) AS kw, role || '-' || conv_id || '-' || turn AS command, conv_id, turn
+           FROM conversations),
+m AS (SELECT d.doc_id, arg_min(command, (conv_id, turn)) AS command
+      FROM documents d JOIN k ON k.kw <> '' AND contains(lower(d.text), k.kw) GROUP BY d.doc_id)
+SELECT doc_id, coalesce(command, {_sq(D.FALLBACK_NONE)}) AS command, CASE WHEN command IS NULL THEN 0.0 ELSE {D.FALLBACK_HIT_SCORE} END AS score
+FROM documents LEFT JOIN m USING (doc_id)"""
+
+
+def _hex(digits: str) -> str:
+    return f"('0x' || {digits})::BIGINT"
+
+
+# The signed parts of each word, per text; vectors of words that cancel out stay zero.
+_PROJECTED = f"""
+x AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'q', conv_id, text FROM conversations WHERE turn = 0),
+w AS (SELECT kind, id, md5(unnest(regexp_extract_all(lower(text), '{TOKEN}'))) AS h FROM x),
+b AS (SELECT *, {_hex('substr(h, 1, 4)')} AS bucket FROM w),
+f AS (SELECT bucket, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(DISTINCT id))) + 1 AS idf FROM b WHERE kind = 'd' GROUP BY bucket),
+p AS (SELECT kind, id, {_hex('substr(h, 5 + 7 * r, 7)')} AS v, coalesce(idf, ln(1.0 + (SELECT count(*) FROM documents)) + 1) AS idf
+      FROM b LEFT JOIN f USING (bucket), range({P.PARTS}) g(r)),
+s AS (SELECT kind, id, (v >> 1) % {B.PROJECTED_DIMS} AS pos, sum(CASE WHEN v % 2 = 1 THEN -idf ELSE idf END) AS y FROM p GROUP BY ALL),
+n AS (SELECT kind, id, sqrt(sum(y * y)) AS nrm FROM s GROUP BY ALL),
+c AS (SELECT x.kind, x.id, g.pos, coalesce(y / nullif(nrm, 0), 0.0) AS x FROM x CROSS JOIN range({B.PROJECTED_DIMS}) g(pos)
+      LEFT JOIN s ON s.kind = x.kind AND s.id = x.id AND s.pos = g.pos LEFT JOIN n ON n.kind = x.kind AND n.id = x.id)"""
+ORACLES["projected_embed"] = f"WITH {_PROJECTED} SELECT id AS doc_id, pos, round(x, 6) AS x FROM c WHERE kind = 'd'"
+ORACLES["projected_topk"] = f"""
+WITH {_PROJECTED},
+t AS (SELECT q.id AS conv_id, d.id AS doc_id, sum(q.x * d.x) AS score FROM c q JOIN c d ON q.kind = 'q' AND d.kind = 'd' AND q.pos = d.pos GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM t)
+SELECT conv_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 3"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,21 +25,50 @@ def _fmt(path: str, fmt: str | None) -> str:
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str | None = None) -> DataFrame:
     """A1-A3: read by suffix. CSV: header, RFC-4180 quoting (a quote inside a
-    field is doubled, not backslash-escaped), multi-line fields, UTF-8.
+    field is doubled, not backslash-escaped), multi-line fields, UTF-8; only files
+    that hold a quoted line break are read whole (:func:`csv_files`).
     JSON: an array of records (multi-line) or JSON lines."""
     f = _fmt(path, fmt)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     if f == "csv":
-        return (r.option("header", True).option("quote", '"').option("escape", '"')
-                .option("multiLine", True).option("encoding", "UTF-8").csv(path))
+        r = r.option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+        return _read_csv(spark, r, path)
     if f == "json":
         return r.option("multiLine", True).json(path) if _is_array_json(spark, path) \
             else r.json(path)
     return r.parquet(path)
 
 
+_GLOB = r"([*?{}\[\]\\])"
+
+
+def csv_files(spark: SparkSession, path: str) -> dict[str, bool]:
+    """The files of a CSV path, and whether each holds a line break inside quotes: whether it has a line
+    with an odd number of quotes. A doubled quote is two, so a line that begins outside quotes ends
+    inside them only if its number is odd; if no line's is, every line is a whole record. (An
+    unquoted field with a lone quote counts too; such a file is read whole, with equal rows.)
+
+    One scan, split by byte ranges. One row a file, as any reader lists them on the driver."""
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    files = spark.read.text(path).groupBy("_metadata.file_path").agg(F.max(quotes % 2 == 1).alias("broken"))
+    return {unquote(r["file_path"]): r["broken"] for r in files.collect()}
+
+
+def _read_csv(spark: SparkSession, reader, path: str) -> DataFrame:
+    files = csv_files(spark, path)
+    if not any(files.values()):
+        return reader.csv(path)
+    if all(files.values()):
+        return reader.option("multiLine", True).csv(path)
+    if not re.search(_GLOB, path):
+        reader = reader.option("basePath", path)             # columns of folders named key=value stay
+    names = {broken: sorted(re.sub(_GLOB, r"\\\1", f) for f, b in files.items() if b == broken) for broken in (False, True)}
+    lines = reader.csv(names[False])
+    return lines.unionByName(reader.option("multiLine", True).csv(names[True]))
+
+
 def _is_array_json(spark: SparkSession, path: str) -> bool:
     """Peek at the first non-blank character of a JSON file or folder."""
     first = F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1)        # one character reaches the driver
@@ -47,7 +78,7 @@ def _is_array_json(spark: SparkSession, path: str) -> bool:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error",
                 array_join: Sequence[str] = ()) -> str:
-    """A4/A5: write CSV (header, RFC-4180 quoting), JSON lines or Parquet.
+    """A4/A5: write CSV (header, RFC-4180 quoting, white space kept), JSON lines or Parquet.
     CSV cannot hold arrays: name them in ``array_join`` to join with spaces."""
     out = df
     if fmt == "csv":
@@ -57,7 +88,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
                     raise ValueError(f"array column {c!r} needs array_join for CSV")
                 out = out.withColumn(c, F.array_join(c, " "))
         out.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"') \
-            .csv(path)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     elif fmt == "json":
         out.write.mode(mode).json(path)
     else:

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import saved, text_pieces, word_bounds
+from textloom.llm.common import first_by_hash, saved, text_pieces, word_bounds
 
 FIT_ROWS = 4000            # labelled documents per language
 BUCKETS = 1 << 16
@@ -142,8 +142,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", fit_rows: int =
     """The model, from at most ``fit_rows`` documents per language that are not held out."""
     ids = docs.select("doc_id", F.col(lang).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = saved(ids.withColumn("rank", rank).filter(F.col("rank") <= fit_rows).select("doc_id", "lang").distinct(), "langid-rows")
+    ids = saved(first_by_hash(ids, "lang", fit_rows), "langid-rows")
     rows = docs.select("doc_id", F.col(lang).alias("lang"), F.col(text).alias("text")).join(
         F.broadcast(ids), ["doc_id", "lang"], "left_semi")           # languages x fit_rows ids at most
     got = _counted(rows.select("lang", "text")).groupBy("lang", "kind", "bucket").agg(F.sum("n").alias("n")).toPandas()

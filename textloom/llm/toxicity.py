@@ -26,10 +26,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import hashed_texts, saved, shingle_hashes, text_pieces, word_hashes
+from textloom.llm.common import first_by_hash, hashed_texts, saved, shingle_hashes, text_pieces, word_hashes
 from textloom.llm.langid import held_out
 
 FIT_TOXIC, FIT_CLEAN = 4000, 8000
@@ -201,11 +201,7 @@ def _sample(docs: DataFrame, labels: DataFrame, text: str, fit_toxic: int, fit_c
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    most = max(fit_toxic, fit_clean)
-    ids = ids.withColumn("rank", rank).filter(F.col("rank") <= most).filter(
-        F.col("rank") <= F.when(F.col("toxic") == 1, fit_toxic).otherwise(fit_clean)).select("doc_id", "toxic")
-    ids = saved(ids, "toxicity-rows")
+    ids = saved(first_by_hash(ids, "toxic", F.when(F.col("toxic") == 1, fit_toxic).otherwise(fit_clean)), "toxicity-rows")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(ids), "doc_id")                              # fit_toxic + fit_clean ids at most
 

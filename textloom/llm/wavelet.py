@@ -1,6 +1,6 @@
 """Token ids in wavelet matrices: one succinct file image per shard of documents.
 
-Documents are range-partitioned by doc_id; each task encodes its texts in order
+Documents are range-partitioned by doc_id and text hash; each task encodes its texts in order
 and cuts the ids into shards of about ``SHARD_TOKENS``. A shard's image holds a
 document table and one bit-plane per bit of a token id, highest first, each
 stably sorted by the bits before (a wavelet matrix), with ones counted at every
@@ -18,6 +18,7 @@ empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -51,6 +52,25 @@ SHARDS = "part int, seq int, n_docs long, n_tokens long, image binary"
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
+# The normalizer and the pre-tokenizer that these rules stand for. A file with others has
+# its texts encoded whole.
+_SPLITS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+
+
+def _by_words(path: str) -> bool:
+    """Whether white space ends every token of this tokenizer file and its words may be encoded one by one."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return (all(spec.get(k) == v for k, v in _SPLITS.items()) and not spec.get("truncation")
+            and all(t["special"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) and not re.search(r"\s", t["content"])
+                    for t in spec.get("added_tokens", ())))
+
 
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: itself where printable, else one from 256 up."""
@@ -62,14 +82,14 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Encodes texts word by word through the tokenizer, remembering words and runs.
 
-    White space ends every token of this tokenizer, so a text's ids are its
-    words' ids in turn. Words are split and numbered by Arrow; only the
+    White space ends every token of a tokenizer with ``_SPLITS``, so a text's ids are
+    its words' ids in turn; for any other file texts are encoded whole. Words are split and numbered by Arrow; only the
     distinct words of a batch are looked up, and only unknown ones encoded.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
+        self.tok, self.by_words = Tokenizer.from_file(path), _by_words(path)
         self.end_id, self.cache_words = end_id, cache_words
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.signs = os.path.commonprefix(self.special)       # begins every special token
@@ -116,6 +136,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text) of an array of strings without nulls; every text ends with the end id."""
+        if not self.by_words:
+            got = [np.array([*self.tok.encode(t, add_special_tokens=False).ids, self.end_id], np.uint32) for t in texts.to_pylist()]
+            return np.concatenate(got or [np.zeros(0, np.uint32)]), np.array([len(g) for g in got], np.int64)
         lists = pc.ascii_split_whitespace(texts)
         ends = np.asarray(lists.offsets)[1:].astype(np.int64) - lists.offsets[0].as_py()
         found = pc.dictionary_encode(lists.flatten())
@@ -266,7 +289,7 @@ def write_shards(docs: DataFrame, path: str, text: str = "text", end_id: int = E
     ``path`` is the tokenizer file, present on every executor."""
     t = F.coalesce(F.col(text), F.lit(""))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("text"))
-            .repartitionByRange(F.col("doc_id").asc_nulls_first())
+            .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"))
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -113,3 +113,15 @@ def test_stopped_between_sink_and_commit(spark):
     good, bad = spark.read.parquet(sink), spark.read.parquet(errs)
     assert key(bad) == [(10_000, 0), (None, 1)] and {r.error for r in bad.collect()} == {"no words"}
     assert key(good) == key(data.filter("role = 'user'"))
+
+
+def test_a_table_of_part_files_is_streamed_whole(spark):
+    """A table stored as a folder of part files, as large tables are, has every row in the stream."""
+    data = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    folder = shared_path(spark, "t-parts")
+    data.repartition(5, "conv_id").write.parquet(f"{folder}/conversations.parquet")
+    data.limit(3).write.parquet(f"{folder}/other.parquet")
+    sink, ckpt = shared_path(spark, "t-sink"), shared_path(spark, "t-ckpt")
+    src = stream.file_stream(spark, folder, "conversations.parquet", data.schema, files_per_batch=2)
+    stream.score_stream(src, lambda batch: batch.select("conv_id", "turn"), sink, ckpt).awaitTermination()
+    assert rows(spark.read.parquet(sink), "conv_id", "turn") == rows(data, "conv_id", "turn")

@@ -66,6 +66,11 @@ def with_errors(results: DataFrame, queries: DataFrame, keys: Sequence[str], rea
 
 
 def file_stream(spark, folder: str, file_glob: str, schema, files_per_batch: int = 1000) -> DataFrame:
-    """A Parquet file-source stream over ``folder`` limited to ``file_glob``."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+    """A Parquet file-source stream over what ``file_glob`` names in ``folder``: files, or a table that is
+    a folder of part files."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{file_glob}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ()
+    if any(f.isDirectory() for f in found):
+        return r.parquet(path.toString())
+    return r.option("pathGlobFilter", file_glob).parquet(folder)

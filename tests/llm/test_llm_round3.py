@@ -221,3 +221,17 @@ def test_prefix_length_is_the_least_that_keeps_every_pair():
         p = groupjoin.prefix_length(n, 85)
         need = -(-85 * n // 100)                   # a similar set holds at least this many of n
         assert n - p + 1 == need
+
+
+def test_words_of_several_batches_are_remembered():
+    """A full memory forgets words of one batch, not those that keep coming; ids are the tokenizer's."""
+    from textloom.llm import wavelet
+    from textloom.llm.queries import tokenizer_file
+
+    enc = wavelet.WordEncoder(tokenizer_file(), cache_words=60)
+    batches = [["common, Old " + " ".join(f"w{b}x{i}" for i in range(40)), "common, don't \u65e5 <|endoftext|>"] for b in range(3)]
+    for texts in batches:
+        ids, sizes = enc.encode(pa.array(texts))
+        whole = [enc.tok.encode(t, add_special_tokens=False).ids + [enc.end_id] for t in texts]
+        assert ids.tolist() == sum(whole, []) and sizes.tolist() == [len(w) for w in whole]
+    assert "common," in enc.index and "w0x1" not in enc.index and len(enc.index) <= 60

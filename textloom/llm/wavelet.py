@@ -49,8 +49,9 @@ SHARDS = "part int, seq int, n_docs long, n_tokens long, image binary"
 
 # What the tokenizer does to a word of these characters, as long as no special token is in it: lower
 # case, then these runs, each spelled in byte letters. All other words go to the tokenizer whole.
-_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+# The words of a batch are split at once, with a space between words, which is a run of its own.
+_PLAIN = "^[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+| ")
 
 # The normalizer and the pre-tokenizer that these rules stand for. A file with others has
 # its texts encoded whole.
@@ -79,12 +80,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _segments(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The pieces of ``flat`` that begin at ``start``, one after the other."""
+    to = np.cumsum(length, dtype=np.int64)
+    return flat[np.repeat(start - (to - length), length) + np.arange(to[-1] if len(to) else 0)]
+
+
 class WordEncoder:
     """Encodes texts word by word through the tokenizer, remembering words and runs.
 
     White space ends every token of a tokenizer with ``_SPLITS``, so a text's ids are
     its words' ids in turn; for any other file texts are encoded whole. Words are split and numbered by Arrow; only the
-    distinct words of a batch are looked up, and only unknown ones encoded.
+    distinct words of a batch are looked up, and only unknown ones encoded, all of a batch at once. When
+    too many are known, those that came in one batch only are forgotten.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
@@ -96,43 +104,88 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.bits = max(1, int(self.tok.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self._reset()
+        self._reset_runs()
 
     def _reset(self) -> None:
         self.index: dict[str, int] = {"": 0}
-        self.runs: dict[str, list[int]] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int32)
+        self.seen = np.zeros(1, np.uint8)               # batches that held the word, 2 at most
 
-    def _word(self, word: str) -> list[int]:
-        if not _PLAIN.fullmatch(word) or (self.signs in word and any(t in word for t in self.special)):
-            return self.tok.encode(word, add_special_tokens=False).ids
-        low = word.lower()
-        if low.isascii() and low.isalpha():             # one run
-            return self._run(low)
-        out: list[int] = []
-        for run in _RUNS.findall(low):
-            out += self.runs.get(run) or self._run(run)
-        return out
+    def _reset_runs(self) -> None:
+        self.runs: dict[str, int] = {" ": 0}
+        self.run_flat = np.zeros(0, np.uint32)
+        self.run_start, self.run_length = np.zeros(1, np.int64), np.zeros(1, np.int32)
 
-    def _run(self, run: str) -> list[int]:
-        ids = self.runs.get(run)
-        if ids is None:
-            spelled = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
-            ids = self.runs[run] = [t.id for t in self.tok.model.tokenize(spelled)]
-        return ids
+    def _forget(self) -> None:
+        """Words of one batch go; if those of several are too many, all go."""
+        keep = np.flatnonzero(self.seen > 1)
+        if len(keep) * 2 > self.cache_words:
+            self._reset()
+            return
+        keep = np.r_[0, keep[keep > 0]]
+        words = np.array(list(self.index), object)[keep]        # numbered in the order they came
+        length = self.length[keep]
+        self.flat = _segments(self.flat, self.start[keep], length)
+        self.index = dict(zip(words.tolist(), range(len(keep)), strict=True))
+        self.start, self.length = np.cumsum(length, dtype=np.int64) - length, length
+        self.seen = np.ones(len(keep), np.uint8)
+
+    def _runs_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per word) of words of plain characters."""
+        if len(self.runs) > self.cache_words:
+            self._reset_runs()
+        found = _RUNS.findall(" ".join(words).lower())
+        new = [r for r in dict.fromkeys(found) if r not in self.runs]
+        if new:
+            spelled = [r if r.isascii() else "".join([self.letters[b] for b in r.encode()]) for r in new]
+            ids = [[t.id for t in self.tok.model.tokenize(r)] for r in spelled]
+            length = np.array([len(x) for x in ids], np.int32)
+            start = len(self.run_flat) + np.cumsum(length, dtype=np.int64) - length
+            self.run_flat = np.concatenate([self.run_flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
+            self.runs.update(zip(new, range(len(self.run_start), len(self.run_start) + len(new)), strict=True))
+            self.run_start, self.run_length = np.r_[self.run_start, start], np.r_[self.run_length, length]
+        at = np.fromiter(map(self.runs.__getitem__, found), np.int64, len(found))
+        length = self.run_length[at]
+        upto = np.r_[0, np.cumsum(length, dtype=np.int64)]
+        ends = np.r_[np.flatnonzero(at == 0), len(at)]
+        return _segments(self.run_flat, self.run_start[at], length), np.diff(np.r_[0, upto[ends]]).astype(np.int32)
+
+    def _encoded(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per word) of words."""
+        words = pa.array(new, pa.large_string())
+        plain = np.asarray(pc.match_substring_regex(words, _PLAIN))
+        for i in np.flatnonzero(plain & np.asarray(pc.match_substring(words, self.signs))) if self.special else ():
+            plain[i] = not any(t in new[i] for t in self.special)
+        own = np.flatnonzero(plain)
+        if len(own) == len(new):
+            return self._runs_of(new)
+        length = np.zeros(len(new), np.int32)
+        whole = {i: self.tok.encode(new[i], add_special_tokens=False).ids for i in np.flatnonzero(~plain)}
+        ids, sizes = self._runs_of([new[i] for i in own]) if len(own) else (np.zeros(0, np.uint32), np.zeros(0, np.int32))
+        length[own] = sizes
+        length[list(whole)] = [len(x) for x in whole.values()]
+        start = np.zeros(len(new), np.int64)
+        start[own] = np.cumsum(sizes, dtype=np.int64) - sizes
+        rest = length[list(whole)]
+        start[list(whole)] = len(ids) + np.cumsum(rest, dtype=np.int64) - rest
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(whole.values()), np.uint32, int(rest.sum()))])
+        return _segments(ids, start, length), length
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         if len(self.index) > self.cache_words:
-            self._reset()
+            self._forget()
         new = [w for w in words if w not in self.index]
         if new:
-            ids = [self._word(w) for w in new]
-            length = np.array([len(x) for x in ids], np.int32)
+            ids, length = self._encoded(new)
             start = len(self.flat) + np.cumsum(length, dtype=np.int64) - length
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
+            self.flat = np.concatenate([self.flat, ids])
             self.index.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
             self.start, self.length = np.r_[self.start, start], np.r_[self.length, length]
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            self.seen = np.r_[self.seen, np.zeros(len(new), np.uint8)]
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.seen[at] = np.minimum(self.seen[at] + 1, 2)
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text) of an array of strings without nulls; every text ends with the end id."""
@@ -146,8 +199,7 @@ class WordEncoder:
         length, start = self.length[at], self.start[at]
         length, start = np.insert(length, ends, 1), np.insert(start, ends, len(self.flat))
         to = np.cumsum(length, dtype=np.int64)
-        flat = np.append(self.flat, np.uint32(self.end_id))
-        ids = flat[np.repeat(start - (to - length), length) + np.arange(to[-1] if len(to) else 0)]
+        ids = _segments(np.append(self.flat, np.uint32(self.end_id)), start, length)
         last = ends + np.arange(len(ends))
         return ids, np.diff(np.r_[0, to[last]]) if len(ends) else np.zeros(0, np.int64)
 

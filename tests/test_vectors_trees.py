@@ -98,3 +98,20 @@ def test_text_forest_on_its_own_terms(spark):
     again = model.fit_forest(vec.filter("k % 4 > 0").repartition(11), "features", "label", trees=20)
     grown = lambda f: f.stages[0].toDebugString.split("\n", 1)[1]  # noqa: E731 - the first line holds the model's name
     assert grown(again) == grown(forest)             # the same forest however rows lie
+
+
+def test_a_query_is_one_row_however_many_clusters_it_sees(spark):
+    """Points without clusters: every query must see nearly all of them, and its vector is not copied to each."""
+    X = np.random.default_rng(5).normal(size=(300, 6))
+    held = vectors.fit_clusters(_df(spark, X, "i"), "i", "v", 40)
+    q = _df(spark, X, "q").select("q", F.col("v").alias("_qv"), F.lit(-1e9).alias("_t"))
+    probes = vectors._probes(q, held, 3, "_t")
+    assert probes.count() == 300 and probes.agg(F.sum(F.size("_cls"))).head()[0] > 300 * 30
+    assert max(b for _, b, _ in vectors._bins(held, 100)) < 6 and [n for _, _, n in vectors._bins(held, 5)].count(1) < 40
+
+
+def test_repeated_queries_leave_out_their_own_items(spark, points):
+    items, q = _df(spark, points, "i"), _df(spark, points[:40], "q")
+    held = vectors.fit_clusters(items, "i", "v", 16)
+    got, _ = vectors.pruned_topk(q.union(q), held, "q", "i", "v", k=2, exclude_self=True)
+    assert got.filter("q = i").count() == 0 and got.count() == 80

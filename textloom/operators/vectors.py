@@ -4,7 +4,8 @@ Top-k over many items is exact and pruned. Items lie in coarse clusters with a c
 a radius r (their largest distance from c), so no item of a cluster scores more than
 ``q.c + |q| r`` against a query q (Cauchy-Schwarz). The clusters nearest to a query that
 hold k items give its first threshold, the k-th score; of the other clusters only those
-whose bound reaches it are scored. A query travels only to the clusters it must see.
+whose bound reaches it are scored. Clusters lie in bins of bounded size, and a query travels once to
+each bin that holds a cluster it must see. A task holds one bin and streams its queries.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,8 @@ QUERY_BLOCK = 4_096
 ITEM_BLOCK = 32_768
 MAX_CLUSTERS = 1_024       # centres are broadcast: MAX_CLUSTERS x dimensions numbers
 SLACK = 1e-8               # covers rounding of scores and bounds
+PROBE_CELLS = 1_000_000    # (query, centre) pairs looked at at once
+CELL_BLOCKS = 4            # query blocks that a task scores against its bin, one after the other
 
 
 def normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
@@ -94,47 +98,76 @@ def fit_clusters(items: DataFrame, iid: str, vec: str, count: int, rounds: int =
 
 
 def _probes(queries: DataFrame, c: Clusters, need: int, threshold: str | None) -> DataFrame:
-    """``queries`` (id, _qv) with each cluster to score: first the nearest that hold ``need`` items,
-    later (with a ``threshold`` column) all others whose bound reaches it."""
+    """``queries`` (id, _qv) with the clusters to score, ``_cls``: first the nearest that hold ``need`` items,
+    later (with a ``threshold`` column, kept) all others whose bound reaches it. A query without any is left out."""
     model = queries.sparkSession.sparkContext.broadcast((c.centres, c.radii, c.sizes))
-    schema = T.StructType([*[f for f in queries.schema.fields if f.name != threshold], T.StructField("_cl", T.IntegerType())])
+    schema = T.StructType([*queries.schema.fields, T.StructField("_cls", T.ArrayType(T.IntegerType()))])
+    arrow = blocked.arrow_schema(schema)
+    step = max(1, PROBE_CELLS // max(1, len(c.centres)))
 
     def run(batches):
         centres, radii, sizes = model.value
-        for pdf in batches:
-            if not len(pdf) or not len(centres):
-                continue
-            q = np.stack(pdf["_qv"].to_numpy()).astype(np.float64)
-            near = q @ centres.T
-            order = np.argsort(-near, axis=1, kind="stable")
-            held = np.cumsum(sizes[order], axis=1)
-            take = np.zeros(near.shape, bool)
-            np.put_along_axis(take, order, np.c_[np.zeros(len(q)), held[:, :-1]] < need, axis=1)
-            if threshold is not None:
-                bound = near + np.linalg.norm(q, axis=1)[:, None] * radii[None, :]
-                take = ~take & (bound >= pdf[threshold].to_numpy()[:, None] - SLACK) & (sizes > 0)[None, :]
-            row, cl = np.nonzero(take)
-            yield pdf.drop(columns=[threshold] if threshold else []).iloc[row].assign(_cl=cl.astype(np.int32))
-
-    return queries.mapInPandas(run, schema)
+        for b in batches if len(centres) else ():
+            for s in range(0, len(b), step):
+                part = b.slice(s, step)
+                q = blocked.matrix(part.column("_qv"))
+                near = q @ centres.T
+                order = np.argsort(-near, axis=1, kind="stable")
+                held = np.cumsum(sizes[order], axis=1)
+                take = np.zeros(near.shape, bool)
+                np.put_along_axis(take, order, np.c_[np.zeros(len(q)), held[:, :-1]] < need, axis=1)
+                if threshold is not None:
+                    bound = near + np.linalg.norm(q, axis=1)[:, None] * radii[None, :]
+                    bar = part.column(threshold).to_numpy(zero_copy_only=False)
+                    take = ~take & (bound >= bar[:, None] - SLACK) & (sizes > 0)[None, :]
+                some = np.flatnonzero(take.any(axis=1))
+                cl = pa.array(np.nonzero(take)[1].astype(np.int32))
+                ends = np.r_[0, np.cumsum(take[some].sum(axis=1))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.take(pa.array(some)).columns, pa.ListArray.from_arrays(pa.array(ends), cl)], schema=arrow)
+
+    return queries.mapInArrow(run, schema)
+
+
+def _bins(c: Clusters, item_block: int) -> list[tuple[int, int, int]]:
+    """(cluster, first bin, bins): small clusters share a bin of about ``item_block`` items, a larger one
+    has several of its own."""
+    out, at, full = [], -1, item_block
+    for cl, n in enumerate(c.sizes.tolist()):
+        parts = blocked.blocks_of(n, item_block)
+        if parts > 1 or full + n > item_block:
+            at, full = at + 1, 0
+        out.append((cl, at, parts))
+        at, full = (at + parts - 1, item_block) if parts > 1 else (at, full + n)
+    return out
 
 
 def _score_cells(probes: DataFrame, c: Clusters, qid: str, iid: str, k: int, exclude_self: bool,
-                 query_block: int, item_block: int) -> DataFrame:
-    """Top-k of each probed cluster. A cluster's items and its queries are cut into cells of bounded
-    size, so a cluster with a third of the items, or one that all queries ask for, is many tasks."""
+                 query_block: int, item_block: int, threshold: str | None = None) -> DataFrame:
+    """Top-k of each bin of the probed clusters. Items lie in bins of bounded size; a query goes once to
+    each bin that holds a cluster it must see, whatever the number of its clusters there. A bin's queries
+    are cut into cells of ``CELL_BLOCKS`` query blocks, so a bin that all queries ask for is many tasks."""
     spark = probes.sparkSession
-    asked = probes.groupBy("_cl").agg(F.count(F.lit(1)).alias("n")).collect()       # at most MAX_CLUSTERS rows
-    cells = [(r["_cl"], blocked.blocks_of(r["n"], query_block), blocked.blocks_of(int(c.sizes[r["_cl"]]), item_block)) for r in asked]
-    cut = lambda: F.broadcast(spark.createDataFrame(cells, "_cl int, _qps int, _ips int"))
-    q = probes.join(cut(), "_cl").withColumn("_qp", F.pmod(F.xxhash64(qid), "_qps").cast("int")) \
-        .withColumn("_ip", F.explode(F.sequence(F.lit(0), F.col("_ips") - 1)))
-    i = c.items.join(cut(), "_cl").withColumn("_ip", F.pmod(F.xxhash64(iid), "_ips").cast("int")) \
-        .withColumn("_qp", F.explode(F.sequence(F.lit(0), F.col("_qps") - 1)))
     schema = T.StructType([probes.schema[qid], c.items.schema[iid], T.StructField("score", T.DoubleType())])
-    key = ["_cl", "_ip", "_qp"]
-    return q.groupBy(*key).cogroup(i.groupBy(*key)).applyInPandas(
-        blocked.dense_block(qid, "_qv", iid, "_iv", k, exclude_self), schema)
+    bins = _bins(c, item_block)
+    if not bins:
+        return spark.createDataFrame([], schema)
+    table = F.broadcast(spark.createDataFrame(bins, "_cl int, _b0 int, _bs int"))    # at most MAX_CLUSTERS rows
+    first = F.array(*[F.lit(b) for _, b, _ in bins])
+    last = F.array(*[F.lit(b + n - 1) for _, b, n in bins])
+    to = F.array_distinct(F.flatten(F.transform("_cls", lambda x: F.sequence(F.get(first, x), F.get(last, x)))))
+    bar = F.col(threshold) if threshold else F.lit(float("-inf"))
+    q = probes.select(F.explode(to).alias("_bin"), F.col(qid).alias("_q"), F.col("_qv").alias("_v"), bar.alias("_t"), "_cls")
+    asked = saved(q.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")), "vector-bins")     # one row a bin
+    cut = asked.select("_bin", F.ceil(F.col("_n") / (query_block * CELL_BLOCKS)).cast("int").alias("_qps"))
+    q = q.join(F.broadcast(cut), "_bin").withColumn("_cell", F.pmod(F.xxhash64("_q"), "_qps").cast("int"))
+    i = c.items.join(table, "_cl").withColumn("_bin", F.col("_b0") + F.pmod(F.xxhash64(iid), "_bs").cast("int"))
+    i = i.join(F.broadcast(cut), "_bin").withColumn("_cell", F.explode(F.sequence(F.lit(0), F.col("_qps") - 1)))
+    none = lambda df, col: F.lit(None).cast(df.schema[col].dataType)
+    rows = i.select("_bin", "_cell", F.lit(0).alias("_kind"), none(q, "_q").alias("_q"), F.col(iid).alias("_i"), F.col("_iv").alias("_v"),
+                    none(q, "_t").alias("_t"), F.array("_cl").alias("_cls")).union(
+        q.select("_bin", "_cell", F.lit(1).alias("_kind"), "_q", none(c.items, iid).alias("_i"), "_v", "_t", "_cls"))
+    rows = rows.repartition("_bin", "_cell").sortWithinPartitions("_bin", "_cell", "_kind")
+    return rows.mapInArrow(blocked.stream_cells(k, exclude_self, query_block, schema), schema)
 
 
 def pruned_topk(queries: DataFrame, clusters: Clusters, qid: str, iid: str, vec: str, k: int = 3, exclude_self: bool = False,
@@ -144,14 +177,15 @@ def pruned_topk(queries: DataFrame, clusters: Clusters, qid: str, iid: str, vec:
     order = [F.round("score", blocked.SCORE_DECIMALS).desc(), F.col(iid).asc()]
     sizes = (qid, iid, k, exclude_self, query_block, item_block)
     need = k + int(exclude_self)
-    near = _probes(q, clusters, need, None)
+    near = saved(_probes(q, clusters, need, None), "vector-near")
     first = saved(_score_cells(near, clusters, *sizes), "vector-first")
     kth = topk(first, [qid], order, k).groupBy(F.col(qid).alias("_k")).agg(
         F.when(F.count(F.lit(1)) == k, F.min("score")).alias("_t"))
     bar = q.join(kth, F.col(qid).eqNullSafe(F.col("_k")), "left").withColumn("_t", F.coalesce("_t", F.lit(float("-inf"))))
     more = saved(_probes(bar.select(qid, "_qv", "_t"), clusters, need, "_t"), "vector-probes")
-    rest = _score_cells(more, clusters, *sizes)
-    return topk(first.union(rest), [qid], order, k), near.select(qid, "_cl").union(more.select(qid, "_cl"))
+    rest = _score_cells(more, clusters, *sizes, "_t")
+    scored = [p.select(qid, F.explode("_cls").alias("_cl")) for p in (near, more)]
+    return topk(first.union(rest), [qid], order, k), scored[0].union(scored[1])
 
 
 def scored_pairs(probes: DataFrame, clusters: Clusters, n_queries: int) -> DataFrame:

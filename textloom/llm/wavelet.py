@@ -23,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -40,7 +41,7 @@ SHARD_TOKENS = 1 << 18
 PIECE_BYTES = 6 << 20      # text encoded at once
 RANK_STEP = 512
 END_ID = 1
-CACHE_WORDS = 200_000      # distinct words a worker remembers before it starts anew
+CACHE_WORDS = 300_000      # distinct words a worker remembers before it starts anew
 _MAGIC = b"TLWM0001"
 SHARDS = "part int, seq int, n_docs long, n_tokens long, image binary"
 
@@ -133,16 +134,23 @@ class WordEncoder:
 
     def _runs_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per word) of words of plain characters."""
-        if len(self.runs) > self.cache_words:
+        if len(self.runs) > 2 * self.cache_words:
             self._reset_runs()
         found = _RUNS.findall(" ".join(words).lower())
         new = [r for r in dict.fromkeys(found) if r not in self.runs]
         if new:
             spelled = [r if r.isascii() else "".join([self.letters[b] for b in r.encode()]) for r in new]
-            ids = [[t.id for t in self.tok.model.tokenize(r)] for r in spelled]
-            length = np.array([len(x) for x in ids], np.int32)
+            ids, length = array("I"), array("i")
+            for r in spelled:
+                got = self.tok.model.tokenize(r)
+                length.append(len(got))
+                if len(got) == 1:
+                    ids.append(got[0].id)
+                else:
+                    ids.extend([t.id for t in got])
+            length = np.array(length, np.int32)
             start = len(self.run_flat) + np.cumsum(length, dtype=np.int64) - length
-            self.run_flat = np.concatenate([self.run_flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(length.sum()))])
+            self.run_flat = np.concatenate([self.run_flat, np.array(ids, np.uint32)])
             self.runs.update(zip(new, range(len(self.run_start), len(self.run_start) + len(new)), strict=True))
             self.run_start, self.run_length = np.r_[self.run_start, start], np.r_[self.run_length, length]
         at = np.fromiter(map(self.runs.__getitem__, found), np.int64, len(found))

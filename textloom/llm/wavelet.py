@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from textloom.llm.common import saved, text_pieces
 
 SHARD_TOKENS = 1 << 18
-PIECE_BYTES = 6 << 20      # text encoded at once
+PIECE_BYTES = 4 << 20      # text encoded at once
 RANK_STEP = 512
 END_ID = 1
 CACHE_WORDS = 300_000      # distinct words a worker remembers before it starts anew
@@ -87,13 +87,23 @@ def _segments(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nda
     return flat[np.repeat(start - (to - length), length) + np.arange(to[-1] if len(to) else 0)]
 
 
+def _places(values: pa.Array, known: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The place of each distinct value in ``known`` with the unknown ones put at its end, and these."""
+    at = pc.index_in(values, value_set=known)
+    new = values.filter(at.is_null())
+    at = np.asarray(at.fill_null(-1)).astype(np.int64)
+    at[at < 0] = len(known) + np.arange(len(new))
+    return at, new
+
+
 class WordEncoder:
     """Encodes texts word by word through the tokenizer, remembering words and runs.
 
     White space ends every token of a tokenizer with ``_SPLITS``, so a text's ids are
     its words' ids in turn; for any other file texts are encoded whole. Words are split and numbered by Arrow; only the
-    distinct words of a batch are looked up, and only unknown ones encoded, all of a batch at once. When
-    too many are known, those that came in one batch only are forgotten.
+    distinct words of a batch are looked up, and only unknown ones encoded, all of a batch at once. Known words and
+    runs are Arrow strings, numbered by their place: a few bytes each. When too many are known, those that came in
+    one batch only are forgotten.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
@@ -107,14 +117,19 @@ class WordEncoder:
         self._reset()
         self._reset_runs()
 
+    @property
+    def index(self) -> dict[str, int]:
+        """The words known and their numbers."""
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
     def _reset(self) -> None:
-        self.index: dict[str, int] = {"": 0}
+        self.words = pa.array([""], pa.large_string())
         self.flat = np.zeros(0, np.uint32)
         self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int32)
         self.seen = np.zeros(1, np.uint8)               # batches that held the word, 2 at most
 
     def _reset_runs(self) -> None:
-        self.runs: dict[str, int] = {" ": 0}
+        self.runs = pa.array([" "], pa.large_string())
         self.run_flat = np.zeros(0, np.uint32)
         self.run_start, self.run_length = np.zeros(1, np.int64), np.zeros(1, np.int32)
 
@@ -125,10 +140,9 @@ class WordEncoder:
             self._reset()
             return
         keep = np.r_[0, keep[keep > 0]]
-        words = np.array(list(self.index), object)[keep]        # numbered in the order they came
         length = self.length[keep]
         self.flat = _segments(self.flat, self.start[keep], length)
-        self.index = dict(zip(words.tolist(), range(len(keep)), strict=True))
+        self.words = self.words.take(pa.array(keep))
         self.start, self.length = np.cumsum(length, dtype=np.int64) - length, length
         self.seen = np.ones(len(keep), np.uint8)
 
@@ -136,9 +150,10 @@ class WordEncoder:
         """(all ids, ids per word) of words of plain characters."""
         if len(self.runs) > 2 * self.cache_words:
             self._reset_runs()
-        found = _RUNS.findall(" ".join(words).lower())
-        new = [r for r in dict.fromkeys(found) if r not in self.runs]
-        if new:
+        found = pa.array(_RUNS.findall(" ".join(words).lower()), pa.large_string()).dictionary_encode()
+        number, unknown = _places(found.dictionary, self.runs)
+        if len(unknown):
+            new = unknown.to_pylist()
             spelled = [r if r.isascii() else "".join([self.letters[b] for b in r.encode()]) for r in new]
             ids, length = array("I"), array("i")
             for r in spelled:
@@ -151,17 +166,17 @@ class WordEncoder:
             length = np.array(length, np.int32)
             start = len(self.run_flat) + np.cumsum(length, dtype=np.int64) - length
             self.run_flat = np.concatenate([self.run_flat, np.array(ids, np.uint32)])
-            self.runs.update(zip(new, range(len(self.run_start), len(self.run_start) + len(new)), strict=True))
+            self.runs = pa.concat_arrays([self.runs, unknown])
             self.run_start, self.run_length = np.r_[self.run_start, start], np.r_[self.run_length, length]
-        at = np.fromiter(map(self.runs.__getitem__, found), np.int64, len(found))
+        at = number[np.asarray(found.indices)]
         length = self.run_length[at]
         upto = np.r_[0, np.cumsum(length, dtype=np.int64)]
         ends = np.r_[np.flatnonzero(at == 0), len(at)]
         return _segments(self.run_flat, self.run_start[at], length), np.diff(np.r_[0, upto[ends]]).astype(np.int32)
 
-    def _encoded(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per word) of words."""
-        words = pa.array(new, pa.large_string())
+        new = words.to_pylist()
         plain = np.asarray(pc.match_substring_regex(words, _PLAIN))
         for i in np.flatnonzero(plain & np.asarray(pc.match_substring(words, self.signs))) if self.special else ():
             plain[i] = not any(t in new[i] for t in self.special)
@@ -180,18 +195,17 @@ class WordEncoder:
         ids = np.concatenate([ids, np.fromiter(chain.from_iterable(whole.values()), np.uint32, int(rest.sum()))])
         return _segments(ids, start, length), length
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.index) > self.cache_words:
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        if len(self.words) > self.cache_words:
             self._forget()
-        new = [w for w in words if w not in self.index]
-        if new:
+        at, new = _places(words, self.words)
+        if len(new):
             ids, length = self._encoded(new)
             start = len(self.flat) + np.cumsum(length, dtype=np.int64) - length
             self.flat = np.concatenate([self.flat, ids])
-            self.index.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
+            self.words = pa.concat_arrays([self.words, new])
             self.start, self.length = np.r_[self.start, start], np.r_[self.length, length]
             self.seen = np.r_[self.seen, np.zeros(len(new), np.uint8)]
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         self.seen[at] = np.minimum(self.seen[at] + 1, 2)
         return at
 
@@ -203,7 +217,7 @@ class WordEncoder:
         lists = pc.ascii_split_whitespace(texts)
         ends = np.asarray(lists.offsets)[1:].astype(np.int64) - lists.offsets[0].as_py()
         found = pc.dictionary_encode(lists.flatten())
-        at = self._numbers(found.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(found.indices)]
+        at = self._numbers(found.dictionary.cast(pa.large_string()))[np.asarray(found.indices)]
         length, start = self.length[at], self.start[at]
         length, start = np.insert(length, ends, 1), np.insert(start, ends, len(self.flat))
         to = np.cumsum(length, dtype=np.int64)
@@ -372,6 +386,7 @@ def write_shards(docs: DataFrame, path: str, text: str = "text", end_id: int = E
             known, docs = ~np.asarray(ids.is_null()), np.asarray(ids.fill_null(0))
             for i, j, *_ in text_pieces(b.column("text"), PIECE_BYTES):
                 got, sizes = enc.encode(b.column("text").slice(i, j - i))
+                pa.default_memory_pool().release_unused()      # else Arrow keeps the largest piece's share
                 end = np.cumsum(sizes)
                 while i < j:                      # documents up to the one that fills the shard
                     k = min(j, i + 1 + int(np.searchsorted(end, shard_tokens - tokens)))

@@ -57,3 +57,13 @@ def test_a_hundred_thousand_keywords(spark):
     got = {r.i: r.command for r in keywords.keyword_table_fallback(docs, "t", table).collect()}
     place = {p * 7919 % 100_000: p for p in range(100_000)}
     assert got == {i: f"c{min(place[i * 137 % 100_000], place[(i * 31 + 5) % 100_000])}" for i in range(300)}
+
+
+def test_only_grams_that_keywords_wait_for_are_moved(spark):
+    texts = spark.createDataFrame([("a", "the network is down, the license too"), ("b", "x" * 5_000), ("c", "")], "_k string, _text string")
+    kw = keywords.prepared(spark.createDataFrame([("network", "n", 1), ("license too", "l", 0)], KEYS), "keyword", "command", "pos")
+    grams = keywords._keyword_grams(kw)
+    assert grams.count() == 3 + 4                       # network by 5 bytes, the other by 8
+    held = keywords._held_grams(texts, grams, [5, 8])
+    assert held.join(grams, "_gram").count() == 7 and held.count() <= 9
+    assert keywords._gram_counts(texts, grams, [5, 8]).join(grams, "_gram").count() == 7

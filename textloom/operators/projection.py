@@ -12,16 +12,17 @@ applies it to Arrow batches. All choices are digits of md5, so any engine gives
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.text import tokens
-from textloom.operators import vectors
+from textloom.operators import grams, vectors
 
 BUCKETS = 1 << 16
 PARTS = 4                 # md5 has 32 hex digits: 4 for the cell of a word, 7 for each part
@@ -35,8 +36,19 @@ def word_bucket(word: Column) -> Column:
 def fit_projection(docs: DataFrame, text: str) -> DataFrame:
     """(bucket, df, idf, n): of the cells that hold a word of ``docs``; null texts hold none but are counted."""
     n = docs.count()
-    cells = docs.select(F.array_distinct(F.transform(F.coalesce(tokens(text), F.array().cast("array<string>")), word_bucket)).alias("b"))
-    counted = cells.select(F.explode("b").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory: dict[str, int] = {}
+        total = np.zeros(BUCKETS, np.int64)
+        for b in batches:
+            for held in grams.cell_rows(b.column("words"), BUCKETS, memory):
+                total += held
+        bucket = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(total[bucket])], ["bucket", "df"])
+
+    # a task counts the cells of its texts: at most BUCKETS rows of each go on
+    cells = docs.select(tokens(text).alias("words")).mapInArrow(run, "bucket int, df long")
+    counted = cells.groupBy("bucket").agg(F.sum("df").alias("df"))
     idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0
     return counted.select("bucket", "df", idf.alias("idf"), F.lit(n).cast("long").alias("n"))
 
@@ -82,9 +94,10 @@ def projection_encoder(spark: SparkSession, idf: np.ndarray, dims: int) -> Calla
             parts.append(memory[w])
         weight = idf[np.array([p[0] for p in parts])]
         place, sign = np.array([p[1] for p in parts]), np.array([p[2] for p in parts])
-        row = np.repeat(np.arange(len(sizes)), sizes)
+        row = np.repeat(np.arange(len(sizes)) * dims, sizes)
+        signed = sign * weight[:, None]
         for p in range(PARTS):
-            np.add.at(out, (row, place[code, p]), sign[code, p] * weight[code])
+            np.add.at(out.reshape(-1), row + place[code, p], signed[code, p])
         norm = np.sqrt((out * out).sum(1))
         return out / np.where(norm > 0, norm, 1.0)[:, None]
 

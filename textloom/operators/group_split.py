@@ -15,6 +15,9 @@ largest first, as long as they fit into its distance from the quota; labels that
 none move the one group that lowers the sum of all distances most, and of such moves
 that touch the same label the better one is made. Rounds stop when no move helps.
 
+Groups with the same label counts on the same side are of one kind: a move helps by as much for
+each of them, so a round works on the kinds and looks only for groups of the best ones.
+
 Tables of groups are only counted, joined and hashed; what one task sees is a cell's
 boundary (:func:`textloom.operators.split.assign_by_quota`), a label's distinct group
 sizes, or one row per label. A null label or group is a value of its own.
@@ -61,24 +64,32 @@ def _owed(groups: DataFrame, fraction: float) -> DataFrame:
     return groups.withColumn("g", F.to_json("_g")).join(picked, "g").select("_g", "side")
 
 
-def _improving(counts: DataFrame, sides: DataFrame, groups: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
-    """(_g) of the groups to move in this round; no two touch the same label."""
-    placed = counts.join(sides, "_g")
-    have = placed.groupBy("_l").agg(F.sum(F.when(F.col("side") == 1, F.col("_c")).otherwise(0)).alias("have"))
+def _improving(kinds: DataFrame, sides: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    """(_g) of the groups to move in this round; no two touch the same label. ``kinds`` is (same, main, p), a row
+    for all groups with the label counts ``p``; ``sides`` is (_g, same, side)."""
+    per = saved(sides.groupBy("same", "side").agg(F.count(F.lit(1)).alias("k")).join(kinds, "same"), "split-kinds")
+    placed = per.select("same", "side", "k", F.explode("p").alias("_p")).select(
+        "same", "side", "k", F.col("_p.l").alias("_l"), (-F.col("_p.m")).alias("_c"))
+    have = placed.groupBy("_l").agg(F.sum(F.when(F.col("side") == 1, F.col("_c") * F.col("k")).otherwise(0)).alias("have"))
     missing = saved(have.join(quotas, "_l").select("_l", (F.col("n_test") - F.col("have")).alias("d")), "split-missing")
     sign = 1 - 2 * F.col("side")
     gain = F.sum(F.abs("d") - F.abs(F.col("d") - sign * F.col("_c")))
-    gains = placed.join(missing, "_l").groupBy("_g").agg(
+    gains = placed.join(missing, "_l").groupBy("same", "side", "k").agg(
         gain.alias("gain"), F.count(F.lit(1)).alias("labels"), F.sum("_c").alias("n")).filter("gain > 0")
-    gains = saved(gains.join(groups.select("_g", "main"), "_g"), "split-gains")
-    pure = topk(gains.filter("labels = 1 AND gain = n"), ["main"], [F.desc("n"), F.md5(F.to_json("_g")), F.to_json("_g")], BATCH)
+    gains = saved(gains.join(kinds.select("same", "main"), "same"), "split-gains")
+    # of the kinds, those whose larger ones have fewer groups than a round moves
+    larger = F.sum("k").over(Window.partitionBy("main").orderBy(-F.col("n")).rangeBetween(Window.unboundedPreceding, -1))
+    alone = gains.filter("labels = 1 AND gain = n").withColumn("larger", F.coalesce(larger, F.lit(0))).filter(F.col("larger") < BATCH)
+    alone = sides.join(alone.drop("larger"), ["same", "side"])
+    pure = topk(alone, ["main"], [F.desc("n"), F.md5(F.to_json("_g")), F.to_json("_g")], BATCH)
     ahead = F.sum("n").over(Window.partitionBy("main").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     pure = pure.withColumn("ahead", ahead).join(missing, F.col("main") == F.col("_l")).filter(F.col("ahead") <= F.abs("d"))
     pure = saved(pure.select("_g", "main"), "split-pure")
     order = F.struct("gain", F.md5(F.concat_ws("|", F.lit(str(seed)), F.to_json("_g"))))
-    best = gains.groupBy("main").agg(F.max_by(F.struct("_g", "gain"), order).alias("m")) \
-        .select("m._g", "m.gain")
-    touched = saved(best.join(counts, "_g").select("_g", "_l", "gain"), "split-moves")       # one group a label
+    most = gains.withColumn("most", F.max("gain").over(Window.partitionBy("main"))).filter("gain = most").drop("most")
+    best = sides.join(most, ["same", "side"]).groupBy("main").agg(F.max_by(F.struct("_g", "same", "gain"), order).alias("m")) \
+        .select("m._g", "m.same", "m.gain")
+    touched = saved(best.join(kinds, "same").select("_g", F.explode("p.l").alias("_l"), "gain"), "split-moves")       # one group a label
     first = touched.groupBy("_l").agg(F.max_by("_g", order).alias("first"))
     busy = pure.select(F.col("main").alias("_l")).distinct().withColumn("busy", F.lit(True))
     free = (F.col("_g") == F.col("first")) & F.col("busy").isNull()
@@ -95,21 +106,22 @@ def split_stratified_grouped(df: DataFrame, group_key: str, label: str, fraction
     x = df.select(F.struct(group_key).alias("_g"), F.struct(label).alias("_l"))
     counts = saved(x.groupBy("_g", "_l").agg(F.count(F.lit(1)).alias("_c")), "split-counts")
     profile = F.array_sort(F.collect_list(F.struct((-F.col("_c")).alias("m"), F.col("_l").alias("l"))))
-    groups = counts.groupBy("_g").agg(F.sum("_c").alias("_n"), profile.alias("p")).select(
-        "_g", "_n", F.element_at("p", 1)["l"].alias("main"), F.xxhash64("p").alias("same"))
-    groups = saved(groups, "split-groups")
+    whole = saved(counts.groupBy("_g").agg(F.sum("_c").alias("_n"), profile.alias("p")).select(
+        "_g", "_n", F.element_at("p", 1)["l"].alias("main"), F.xxhash64("p").alias("same"), "p"), "split-groups")
+    groups = whole.drop("p")
+    kinds = saved(whole.groupBy("same").agg(F.first("main").alias("main"), F.first("p").alias("p")), "split-profiles")
     quotas = saved(stratified_quotas(df.select(label), label, fraction).select(F.struct(label).alias("_l"), "n_test"), "split-quotas")
     alike, rest = _take(groups, ["same"], fraction, seed)
     sized, rest = _take(rest, ["main", "_n"], fraction, seed)
-    sides = saved(alike.union(sized).union(_owed(rest, fraction)), "split-sides")
+    sides = saved(alike.union(sized).union(_owed(rest, fraction)).join(groups.select("_g", "same"), "_g"), "split-sides")
     for _ in range(rounds):
-        moves = saved(_improving(counts, sides, groups, quotas, seed), "split-exchange")
+        moves = saved(_improving(kinds, sides, quotas, seed), "split-exchange")
         if moves.isEmpty():
             break
         sides = saved(sides.join(moves.withColumn("moved", F.lit(1)), "_g", "left").select(
-            "_g", F.when(F.col("moved") == 1, 1 - F.col("side")).otherwise(F.col("side")).alias("side")), "split-sides")
+            "_g", "same", F.when(F.col("moved") == 1, 1 - F.col("side")).otherwise(F.col("side")).alias("side")), "split-sides")
     side = F.when(F.col("side") == 1, names[0]).otherwise(names[1])
-    return df.withColumn("_g", F.struct(group_key)).join(sides, "_g").withColumn(out, side).drop("_g", "side")
+    return df.withColumn("_g", F.struct(group_key)).join(sides.drop("same"), "_g").withColumn(out, side).drop("_g", "side")
 
 
 def split_report(tagged: DataFrame, group_key: str, label: str, fraction: float = D.TEST_FRACTION,

@@ -235,3 +235,16 @@ def test_words_of_several_batches_are_remembered():
         whole = [enc.tok.encode(t, add_special_tokens=False).ids + [enc.end_id] for t in texts]
         assert ids.tolist() == sum(whole, []) and sizes.tolist() == [len(w) for w in whole]
     assert "common," in enc.index and "w0x1" not in enc.index and len(enc.index) <= 60
+
+
+def test_known_words_take_few_bytes():
+    """Words and runs are remembered as Arrow strings: some twenty bytes each, not a Python object each."""
+    from textloom.llm import wavelet
+    from textloom.llm.queries import tokenizer_file
+
+    enc = wavelet.WordEncoder(tokenizer_file())
+    words = [f"Word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}," for i in range(10_000)]
+    enc.encode(pa.array([" ".join(words)]))
+    assert len(enc.words) >= 10_000 and enc.words.nbytes < 24 * len(enc.words) and enc.runs.nbytes < 24 * len(enc.runs)
+    again, sizes = enc.encode(pa.array([words[77]]))
+    assert again.tolist() == [*enc.tok.encode(words[77], add_special_tokens=False).ids, enc.end_id] and sizes.tolist() == [len(again)]

@@ -64,3 +64,15 @@ def test_order_partitions_nulls_and_empty(spark):
     report = group_split.split_report(out, "g", "label").collect()
     assert len(report) == 3 and all(r.within and r.n_split_groups == 0 for r in report)
     assert group_split.split_stratified_grouped(df.limit(0), "g", "label").count() == 0
+
+
+def test_a_round_works_on_kinds(spark):
+    """300 groups of two kinds, all on the train side: the moves come from one row a kind, and fill the quotas."""
+    sides = spark.createDataFrame([(i, i % 2, 0) for i in range(300)], "g long, same long, side int").select(
+        F.struct("g").alias("_g"), "same", "side")
+    label = F.struct(F.col("l").alias("label")).alias("l")
+    kinds = spark.createDataFrame([(0, "a", -2), (1, "b", -3)], "same long, l string, m long").select(
+        "same", label, "m").select("same", F.col("l").alias("main"), F.array(F.struct("m", "l")).alias("p"))
+    quotas = spark.createDataFrame([("a", 61), ("b", 9)], "l string, n_test long").select(label, "n_test").withColumnRenamed("l", "_l")
+    moved = sorted(r["_g"]["g"] % 2 for r in group_split._improving(kinds, sides, quotas, 42).collect())
+    assert moved == [0] * 30 + [1] * 3

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +78,31 @@ def test_null_labels_and_groups_keep_their_rows(spark):
     for out in (split.split_stratified(df, "id", "lab"), split.split_exact(df, "id", group_key="lab")):
         assert out.count() == 100 and out.filter("lab IS NULL").count() == 20
     assert split.split_stratified(df, "id", "lab").filter("lab IS NULL AND split = 'test'").count() == 4
+
+
+def test_only_the_distinct_terms_of_a_batch_meet_the_vocabulary(monkeypatch):
+    texts = [[["aa", "bb", "aa", "cc"]]] * 1000 + [[], [["bb"], ["aa", "bb"]]]
+    rows_ = pa.RecordBatch.from_arrays(
+        [pa.array([{"id": i} for i in range(1002)]), pa.array([1] * 1001 + [2]), pa.array(texts, pa.list_(pa.list_(pa.string())))],
+        ["key", "copies", "texts"])
+    one = list(encode._batched([rows_]))
+    assert [b.column("terms").to_pylist() for b in one] == [[["aa", "bb", "cc"]]]     # of 4,003 tokens
+    monkeypatch.setattr(encode, "BATCH_TOKENS", 400)
+    cut = list(encode._batched([rows_]))
+    assert [len(b.column("key")[0]) for b in cut] == [100] * 9 + [101, 1]
+    ids = {"aa": 7, "bb": 5, "cc": 2}
+    for batches in (one, cut):
+        got = []
+        for b in batches:
+            found = [{"at": i, "id": ids[t]} for i, t in enumerate(b.column("terms")[0].as_py())][::-1]
+            kind = pa.list_(pa.struct([("at", pa.int32()), ("id", pa.int32())]))
+            got += [x for y in encode._decoded([b.append_column("found", pa.array([found], kind))]) for x in y.column("got").to_pylist()]
+        assert got == [[7, 5, 7, 2]] * 1000 + [[], [5, 7, 5]]
+
+
+def test_encode_rows_that_share_an_id_and_rows_without_one(spark):
+    docs = spark.createDataFrame([(1, "bb zz"), (1, "aa"), (2, None), (None, "aa"), (3, "zz aa bb cc")], "id long, t string")
+    vocab = spark.createDataFrame([("aa", 2), ("bb", 3), ("cc", 4)], "term string, token_id int")
+    got = sorted((r.id or 0, r.input_ids, r.attention_mask) for r in encode.encode_fixed(docs, "id", "t", vocab, 3).collect())
+    assert got == [(0, [0, 0, 0], [0, 0, 0]), (1, [2, 3, 1], [1, 1, 1]), (1, [2, 3, 1], [1, 1, 1]),
+                   (2, [0, 0, 0], [0, 0, 0]), (3, [1, 2, 3], [1, 1, 1])]

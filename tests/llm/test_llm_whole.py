@@ -3,10 +3,12 @@
 import random
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from textloom.llm import decontam, langid, neardup, warc
-from textloom.llm.common import read
+from textloom.llm.common import hashed_texts, read
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -117,3 +119,31 @@ def test_every_letter_has_a_language(spark):
     assert len(got) > 0.9 * len(some) and "und" not in got.values()
     assert got[-2] == "zgh" and -1 not in got
     assert langid.identify(docs.filter("doc_id = -1"), model).first().spans == []
+
+
+def test_directions_of_the_benchmark_come_to_the_driver_as_narrow_rows(spark, monkeypatch):
+    """They span all passages' rows, and no result of the fit has a column for each direction."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 120, n)) for n in (5, 16, 17, 60, 100, 33)] * 3 + [None, ""]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id long, text string").repartition(4)
+    flat = [(h, offs) for _, _, h, offs in hashed_texts(pa.array(texts[:6], pa.string()))]
+    live = np.unique(np.concatenate([decontam._bucket(h) for h, _ in flat]))
+    idf = np.zeros(decontam.BUCKETS)
+    idf[live] = rng.uniform(0.5, 3, len(live))
+    widths = []
+    for name in ("toPandas", "toArrow", "collect"):
+        def spied(self, f=getattr(type(bench), name)):
+            widths.append(len(self.columns))
+            return f(self)
+        monkeypatch.setattr(type(bench), name, spied)
+    v = decontam.randomized_svd(bench.select("text"), "text", idf)
+    assert widths and max(widths) <= 2
+    rows = []
+    for h, offs in flat:
+        for words in (decontam._bucket(h[a:z]) for a, z in zip(offs[:-1], offs[1:], strict=True)):
+            steps = [words[i:i + decontam.STEP] for i in range(0, len(words), decontam.STEP)]
+            for passage in [np.r_[a, b] for a, b in zip(steps[:-1], steps[1:], strict=True)] or steps:
+                rows.append(np.bincount(np.searchsorted(live, passage), minlength=len(live)) * idf[live])
+    rows = np.array(rows)
+    assert v.shape == (len(live), np.linalg.matrix_rank(rows))
+    assert np.abs(v.T @ v - np.eye(v.shape[1])).max() < 1e-6 and np.abs(rows - rows @ v @ v.T).max() < 1e-3

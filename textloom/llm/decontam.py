@@ -28,7 +28,7 @@ The texts are read twice and never shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,11 +74,12 @@ def document_frequency(docs: DataFrame, text: str, wanted: np.ndarray) -> tuple[
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[total[at], n])], ["bucket", "n"])
 
     got = (docs.select(text).mapInArrow(job, "bucket long, n long").groupBy("bucket")
-           .agg(F.sum("n").alias("n")).toPandas())     # BUCKETS + 1 rows at most
-    df, at = np.zeros(BUCKETS, np.int64), got["bucket"].to_numpy(np.int64)
-    some = at >= 0
-    df[at[some]] = got["n"].to_numpy()[some]
-    return df, int(got["n"].to_numpy()[~some].sum())
+           .agg(F.sum("n").alias("n")).toArrow())      # BUCKETS + 1 rows at most
+    share.destroy()
+    at, count = (got.column(c).to_numpy() for c in ("bucket", "n"))
+    df, some = np.zeros(BUCKETS, np.int64), at >= 0
+    df[at[some]] = count[some]
+    return df, int(count[~some].sum())
 
 
 def _passages(h: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,10 +112,33 @@ def _embed(h: np.ndarray, offs: np.ndarray, slot: np.ndarray, rows: np.ndarray)
     return both[lead], starts[lead], text[lead]
 
 
+def _vector_sums(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums of the vectors (``width`` doubles each, as bytes) of each word of a partition."""
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, sums = np.zeros(0, np.int64), np.zeros((0, width))
+        for b in batches:
+            v = [np.frombuffer(x.as_buffer(), np.float64) for x in b.column("v")]
+            every, at = np.unique(np.r_[words, b.column("word").to_numpy()], return_inverse=True)
+            more = np.zeros((len(every), width))
+            np.add.at(more, at, np.concatenate([sums, np.reshape(v, (-1, width))]))
+            words, sums = every, more
+        yield from _vector_rows(words, sums)
+
+    return job
+
+
+def _vector_rows(words: np.ndarray, vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(words), 1024):
+        yield pa.RecordBatch.from_arrays([pa.array(words[a:a + 1024]), pa.array([v.tobytes() for v in vectors[a:a + 1024]], pa.binary())],
+                                         ["word", "v"])
+
+
 def randomized_svd(bench: DataFrame, text: str, idf: np.ndarray) -> np.ndarray:
     """(words, RANK or fewer) right singular directions of the benchmark's TF-IDF passages, which are
     spread over tasks; only sums by word bucket come together. Row i stands for the i-th bucket with
-    a weight; at most BUCKETS rows of RANK + EXTRA floats go to the tasks."""
+    a weight; at most BUCKETS rows of RANK + EXTRA floats go to the tasks. A sum is a row of bytes: a
+    column for each direction would make aggregates of hundreds of columns, whose plans, code and
+    results fill the driver's memory."""
     spark = bench.sparkSession
     live = np.flatnonzero(idf > 0)
     slot = np.zeros(BUCKETS, np.int32)
@@ -124,7 +148,6 @@ def randomized_svd(bench: DataFrame, text: str, idf: np.ndarray) -> np.ndarray:
 
     def applied(q: np.ndarray) -> np.ndarray:
         share = spark.sparkContext.broadcast((slot, weight, q.astype(np.float32)))
-        names = [f"v{i}" for i in range(q.shape[1])]
 
         def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             slot, weight, q = share.value
@@ -137,14 +160,16 @@ def randomized_svd(bench: DataFrame, text: str, idf: np.ndarray) -> np.ndarray:
                     for v, s, o in zip(y, starts, owner, strict=True):
                         np.add.at(out, at[s:min(s + 2 * STEP, offs[o + 1])], v)
             some = np.flatnonzero(out[1:].any(1))
-            got = out[1:][some] * weight[some, None]
-            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(c) for c in got.T.copy()]], ["word", *names])
+            yield from _vector_rows(some, out[1:][some] * weight[some, None])
 
-        kind = "word long, " + ", ".join(f"{c} double" for c in names)
-        got = (bench.select(text).mapInArrow(job, kind).groupBy("word")
-               .agg(*[F.sum(c).alias(c) for c in names]).toPandas())
+        kind = "word long, v binary"
+        sums = (bench.select(text).mapInArrow(job, kind).repartition("word")
+                .mapInArrow(_vector_sums(q.shape[1]), kind).toArrow())
+        share.destroy()                                 # its tasks are done
         z = np.zeros(q.shape)
-        z[got["word"].to_numpy(np.int64)] = got[names].to_numpy()
+        for b in sums.to_batches():
+            for word, v in zip(b.column("word").to_numpy(), b.column("v"), strict=True):
+                z[word] = np.frombuffer(v.as_buffer(), np.float64)
         return z
 
     if not len(live):
@@ -323,14 +348,16 @@ def contamination(docs: DataFrame, bench: DataFrame, text: str = "text") -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bucket(h)))], ["bucket"])
 
     wanted = np.zeros(BUCKETS, bool)
-    wanted[items.select("text").mapInArrow(buckets, "bucket long").distinct().toPandas()["bucket"].to_numpy(np.int64)] = True
+    wanted[items.select("text").mapInArrow(buckets, "bucket long").distinct().toArrow()["bucket"].to_numpy()] = True
     df, n = document_frequency(docs.select(F.col(f"`{text}`").alias("text")), "text", wanted)
     idf = np.where(wanted, np.log((n + 2) / (df + 1)), 0.0)
     directions = randomized_svd(items, "text", idf)
     live = np.flatnonzero(idf > 0)
     slot = np.zeros(BUCKETS, np.int32)
     slot[live] = np.arange(1, len(live) + 1)
-    rows = np.r_[np.zeros((1, directions.shape[1])), directions * idf[live, None]].astype(np.float32)
+    rows = np.zeros((len(live) + 1, directions.shape[1]), np.float32)
+    rows[1:] = directions * idf[live, None]
+    del directions
     emb = {"slot": slot, "rows": rows}
     blocks = max(1, -(-items.count() // (BLOCK // 4)))
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))

@@ -735,17 +735,13 @@ def _stream_scoring(spark, sf):
     """The stream's sinks: results, and queries that could not be scored."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     fit = features.fit_tfidf(docs, "doc_id", "text", materialize=True).materialize_norms()
-    weights = shared_path(spark, "doc-weights")
-    features.document_weights(fit, None, "doc_id", None).write.parquet(weights)
-    dw = spark.read.parquet(weights)
     schema = table(spark, sf, "conversations").schema
     src = stream.file_stream(spark, sf, "conversations.parquet", schema)
     sink, errors, ckpt = (shared_path(spark, n) for n in ("stream-sink", "stream-errors", "stream-ckpt"))
 
     def score(batch):
         turns = batch.filter(F.col("role") == "user").select("conv_id", "turn", "text")
-        r = features.tfidf_topk(fit, turns, ["conv_id", "turn"], "text", None, "doc_id",
-                                k=3, doc_weights=dw)
+        r = features.tfidf_topk(fit, turns, ["conv_id", "turn"], "text", None, "doc_id", k=3)
         r = r.select("conv_id", "turn", _long("rank"), "doc_id", F.round("score", 6).alias("score"))
         return stream.with_errors(r, turns, ["conv_id", "turn"], NO_TERM)
 
@@ -757,7 +753,7 @@ def _stream_scoring(spark, sf):
 def stream_scoring(spark, sf):
     """Conversations as a file stream; every micro-batch of user turns
     (without blank and exit-word queries) scored against the documents. The
-    static side (fitted counts, document weights) is saved once in the shared
+    static side (packed texts, document norms) is saved once in the shared
     folder and reused by every batch."""
     return _stream_scoring(spark, sf)[0].select("conv_id", "turn", "rank", "doc_id", "score")
 

@@ -67,3 +67,17 @@ def test_only_grams_that_keywords_wait_for_are_moved(spark):
     held = keywords._held_grams(texts, grams, [5, 8])
     assert held.join(grams, "_gram").count() == 7 and held.count() <= 9
     assert keywords._gram_counts(texts, grams, [5, 8]).join(grams, "_gram").count() == 7
+
+
+def test_keywords_in_rounds(spark, monkeypatch):
+    """Texts are asked for few keywords at a time, in list order; a text with a hit is not asked for more."""
+    monkeypatch.setattr(keywords, "FIRST_KEYWORDS", 3)
+    monkeypatch.setattr(keywords, "GROWTH", 2)
+    seen, held = [], keywords._held_grams
+    monkeypatch.setattr(keywords, "_held_grams", lambda t, a, s: (seen.append((t.count(), a.count())), held(t, a, s))[1])
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=6)) for _ in range(60)] + ["omega", "none of them"]
+    table = [("alpha", "a", 1), ("beta", "b", 2), ("gamma", "c", 3), ("gamma d", "e", 5), ("omega", "o", 30)]
+    table += [(f"alpha {w}", w, 10 + i) for i, w in enumerate(["beta", "gamma", "delta"])] + [("delta", "d", 4), ("delta", "x", 0)]
+    _check(spark, texts, table)
+    assert len(seen) > 1 and seen[0][1] == 3 and seen[1][0] < seen[0][0]

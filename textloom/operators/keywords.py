@@ -9,6 +9,9 @@ A gram is a run of q bytes of UTF-8, at most 8, and so one integer; a keyword's
 of ``SIZES`` that it is long enough for. Texts are read by NumPy where they are. Of their grams, only those
 go to a shuffle whose cell, one of ``CELLS`` by a hash, a keyword waits for: the cells are a bitmap of fixed size
 that is broadcast.
+
+Only the first keyword of a text counts, so keywords are looked for in rounds, in list order: each has ``GROWTH`` times as many
+as the one before, and a text with a hit is left out of the next.
 """
 
 from __future__ import annotations
@@ -22,11 +25,14 @@ from pyspark.sql import functions as F
 
 from textloom import defaults as D
 from textloom.operators.blocked import arrow_schema
+from textloom.operators.rank import global_rank
 from textloom.session import saved
 
 SIZES = (8, 5, 3, 2, 1)
 CELLS = 1 << 24
-PIECE_BYTES = 1 << 20      # text read at once; a longer text is a piece of its own
+FIRST_KEYWORDS = 1_024     # of the first round
+GROWTH = 8
+PIECE_BYTES = 1 << 17      # text read at once; a longer text is a piece of its own
 
 
 def _cell(codes: np.ndarray) -> np.ndarray:
@@ -133,13 +139,26 @@ def keyword_hits(texts: DataFrame, kw: DataFrame) -> DataFrame:
     rarest = wanted.join(_gram_counts(texts, wanted, sizes), "_gram", "left").groupBy("_kw").agg(
         F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"), F.col("_cell").alias("cell"))).alias("_a"))
     # a keyword with a gram that no text holds is in no text
-    anchors = saved(rarest.filter("_a.n > 0").join(kw, "_kw").select(
-        F.col("_a.gram").alias("_gram"), F.col("_a.cell").alias("_cell"), "_kw", "_first"), "keyword-anchors")
+    anchors = rarest.filter("_a.n > 0").join(kw, "_kw").select(
+        F.col("_a.gram").alias("_gram"), F.col("_a.cell").alias("_cell"), "_kw", "_first")
+    anchors = saved(global_rank(anchors, [F.col("_first"), F.col("_kw")], "_r"), "keyword-anchors")
+    n, at, size, hits = anchors.count(), 0, FIRST_KEYWORDS, None
+    while hits is None or at < n:
+        done = saved(_round(texts, anchors.filter((F.col("_r") > at) & (F.col("_r") <= at + size)).drop("_r"), sizes), "keyword-round")
+        found = done.filter("_first IS NOT NULL").select("_k", "_first")
+        hits = found if hits is None else hits.union(found)
+        texts = done.filter("_first IS NULL").select("_k", "_text")
+        at, size = at + size, size * GROWTH
+    return hits
+
+
+def _round(texts: DataFrame, anchors: DataFrame, sizes: list[int]) -> DataFrame:
+    """(_k, _first, _text): the first of the anchors' keywords that each text contains; or none, and the text."""
     pairs = _held_grams(texts, anchors, sizes).join(anchors, "_gram").select("_k", F.struct("_kw", "_first").alias("_c"))
     # a text's candidates go to the text, so it moves once
-    near = pairs.groupBy("_k").agg(F.collect_list("_c").alias("_c")).join(texts, "_k")
+    near = texts.join(pairs.groupBy("_k").agg(F.collect_list("_c").alias("_c")), "_k", "left")
     found = F.transform(F.filter("_c", lambda c: F.contains(F.col("_text"), c["_kw"])), lambda c: c["_first"])
-    return near.select("_k", F.array_min(found).alias("_first")).filter("_first IS NOT NULL")
+    return near.select("_k", F.array_min(found).alias("_first"), "_text").withColumn("_text", F.when(F.col("_first").isNull(), F.col("_text")))
 
 
 def keyword_table_fallback(df: DataFrame, query: str, keywords: DataFrame, keyword: str = "keyword", command: str = "command",

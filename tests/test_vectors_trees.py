@@ -115,3 +115,15 @@ def test_repeated_queries_leave_out_their_own_items(spark, points):
     held = vectors.fit_clusters(items, "i", "v", 16)
     got, _ = vectors.pruned_topk(q.union(q), held, "q", "i", "v", k=2, exclude_self=True)
     assert got.filter("q = i").count() == 0 and got.count() == 80
+
+
+def test_a_query_takes_only_a_bins_clusters_to_it(spark):
+    X = np.random.default_rng(7).normal(size=(400, 6))
+    held = vectors.fit_clusters(_df(spark, X, "i"), "i", "v", 40)
+    bins = vectors._bins(held, 60)
+    q = _df(spark, X, "q").select("q", F.col("v").alias("_qv"), F.lit(-1e9).alias("_t"))
+    probes = vectors._probes(q, held, 3, "_t")
+    got = vectors._by_bin(probes, bins).select("q", F.explode("_to").alias("b")).select("q", "b.bin", F.explode("b.cls").alias("c"))
+    where = {c: range(b, b + n) for c, b, n in bins}
+    want = sorted((r.q, b, c) for r in probes.collect() for c in r._cls for b in where[c])
+    assert rows(got) == want and len(want) > 400 * 30

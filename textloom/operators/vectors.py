@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,8 @@ ITEM_BLOCK = 32_768
 MAX_CLUSTERS = 1_024       # centres are broadcast: MAX_CLUSTERS x dimensions numbers
 SLACK = 1e-8               # covers rounding of scores and bounds
 PROBE_CELLS = 1_000_000    # (query, centre) pairs looked at at once
-CELL_BLOCKS = 4            # query blocks that a task scores against its bin, one after the other
+CELL_BLOCKS = 4            # query blocks that a task scores against its bin, one after the other, at least
+CELLS = 256                # cells of all bins, about: each cell of a bin is a copy of its items
 
 
 def normalize(df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
@@ -141,24 +143,53 @@ def _bins(c: Clusters, item_block: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def _by_bin(probes: DataFrame, bins: list[tuple[int, int, int]]) -> DataFrame:
+    """``probes`` with ``_to`` in place of ``_cls``: each bin that a query must see, with its clusters there."""
+    first, count = (np.array([b[c] for b in bins], np.int64) for c in (1, 2))
+    kind = T.StructType([T.StructField("bin", T.IntegerType()), T.StructField("cls", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*[f for f in probes.schema.fields if f.name != "_cls"], T.StructField("_to", T.ArrayType(kind))])
+    arrow = blocked.arrow_schema(schema)
+    step = max(1, PROBE_CELLS // max(1, len(bins)))
+
+    def run(batches):
+        for b in batches:
+            for s in range(0, len(b), step):
+                part = b.slice(s, step)
+                cl = part.column("_cls").flatten().to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(part.column("_cls")).to_numpy(zero_copy_only=False))
+                n = count[cl]
+                at = np.repeat(first[cl] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                row, cl = np.repeat(row, n), np.repeat(cl, n)
+                order = np.lexsort((at, row))
+                row, at, cl = row[order], at[order], cl[order]
+                new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (at[1:] != at[:-1])][:len(row)])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[new, len(row)].astype(np.int32)), pa.array(cl.astype(np.int32)))
+                to = pa.StructArray.from_arrays([pa.array(at[new].astype(np.int32)), lists], ["bin", "cls"])
+                ends = np.r_[0, np.cumsum(np.bincount(row[new], minlength=len(part)))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*[part.column(f) for f in arrow.names[:-1]], pa.ListArray.from_arrays(pa.array(ends), to)
+                                                  .cast(arrow.field("_to").type)], schema=arrow)
+
+    return probes.mapInArrow(run, schema)
+
+
 def _score_cells(probes: DataFrame, c: Clusters, qid: str, iid: str, k: int, exclude_self: bool,
                  query_block: int, item_block: int, threshold: str | None = None) -> DataFrame:
     """Top-k of each bin of the probed clusters. Items lie in bins of bounded size; a query goes once to
     each bin that holds a cluster it must see, whatever the number of its clusters there. A bin's queries
-    are cut into cells of ``CELL_BLOCKS`` query blocks, so a bin that all queries ask for is many tasks."""
+    are cut into cells of ``CELL_BLOCKS`` query blocks or more, so a bin that all queries ask for is many tasks; the
+    more bins, the fewer cells, since each has the bin's items."""
     spark = probes.sparkSession
     schema = T.StructType([probes.schema[qid], c.items.schema[iid], T.StructField("score", T.DoubleType())])
     bins = _bins(c, item_block)
     if not bins:
         return spark.createDataFrame([], schema)
     table = F.broadcast(spark.createDataFrame(bins, "_cl int, _b0 int, _bs int"))    # at most MAX_CLUSTERS rows
-    first = F.array(*[F.lit(b) for _, b, _ in bins])
-    last = F.array(*[F.lit(b + n - 1) for _, b, n in bins])
-    to = F.array_distinct(F.flatten(F.transform("_cls", lambda x: F.sequence(F.get(first, x), F.get(last, x)))))
     bar = F.col(threshold) if threshold else F.lit(float("-inf"))
-    q = probes.select(F.explode(to).alias("_bin"), F.col(qid).alias("_q"), F.col("_qv").alias("_v"), bar.alias("_t"), "_cls")
+    q = _by_bin(probes, bins).withColumn("_to", F.explode("_to")).select(
+        F.col("_to.bin").alias("_bin"), F.col(qid).alias("_q"), F.col("_qv").alias("_v"), bar.alias("_t"), F.col("_to.cls").alias("_cls"))
     asked = saved(q.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n")), "vector-bins")     # one row a bin
-    cut = asked.select("_bin", F.ceil(F.col("_n") / (query_block * CELL_BLOCKS)).cast("int").alias("_qps"))
+    most = blocked.blocks_of(CELLS, max(b + n for _, b, n in bins))
+    cut = asked.select("_bin", F.least(F.ceil(F.col("_n") / (query_block * CELL_BLOCKS)), F.lit(most)).cast("int").alias("_qps"))
     q = q.join(F.broadcast(cut), "_bin").withColumn("_cell", F.pmod(F.xxhash64("_q"), "_qps").cast("int"))
     i = c.items.join(table, "_cl").withColumn("_bin", F.col("_b0") + F.pmod(F.xxhash64(iid), "_bs").cast("int"))
     i = i.join(F.broadcast(cut), "_bin").withColumn("_cell", F.explode(F.sequence(F.lit(0), F.col("_qps") - 1)))
